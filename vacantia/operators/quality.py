@@ -77,12 +77,30 @@ def coverage(
 
 
 def best_provider(probes: DataFrame) -> DataFrame:
-    """Draft seed rows from probe hits: the provider with most jobs and the total."""
+    """Draft seed rows from probe hits ``(slug, provider, job_count)``.
+
+    The provider with most jobs wins, by name among equals. A slug has at most one
+    row per provider, so the list behind the note is bounded by the provider count.
+    """
     hits = probes.filter(F.col("job_count") > 0)
-    ranked = F.max_by("provider", F.struct("job_count", F.lit(0) - F.ord("provider")))
+    seen = F.sort_array(F.collect_list(F.struct("provider", "job_count")))
+    listed = F.array_join(
+        F.transform(
+            seen,
+            lambda h: F.concat(
+                F.lit("'"), h["provider"], F.lit("': "), h["job_count"].cast("string")
+            ),
+        ),
+        ", ",
+    )
+    total = F.sum("job_count")
     return hits.groupBy("slug").agg(
-        ranked.alias("ats_provider"),
-        F.sum("job_count").alias("total_jobs"),
+        F.min_by("provider", F.struct(-F.col("job_count"), "provider")).alias("ats_provider"),
+        total.alias("total_jobs"),
+        F.concat(
+            F.lit("draft: probe found {"), listed, F.lit("} ("), total.cast("string"),
+            F.lit(" jobs across providers)"),
+        ).alias("notes"),
     ).select(
         "slug",
         F.initcap(F.replace(F.col("slug"), F.lit("-"), F.lit(" "))).alias("name"),
@@ -90,6 +108,7 @@ def best_provider(probes: DataFrame) -> DataFrame:
         "ats_provider",
         F.col("slug").alias("ats_handle"),
         "total_jobs",
+        "notes",
     )
 
 

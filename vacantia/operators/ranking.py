@@ -53,13 +53,10 @@ def positions_within(
     """Exact 1-based position inside each group; a group may span many tasks."""
     spread = positions(df, [*[F.col(k) for k in keys], *order], "__global")
     starts = spread.groupBy(*keys).agg(F.min("__global").alias("__start"))
-    condition = [spread[k].eqNullSafe(starts[k]) for k in keys]
-    return (
-        spread.join(starts, condition, "left")
-        .select(
-            *[spread[c] for c in df.columns],
-            (F.col("__global") - F.col("__start") + 1).alias(name),
-        )
+    starts = starts.select("__start", *[F.col(k).alias(f"__key_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
+    return spread.join(starts, same, "left").select(
+        *df.columns, (F.col("__global") - F.col("__start") + 1).alias(name)
     )
 
 

@@ -151,7 +151,7 @@ def posting_json(site: str) -> Column:
             F.lit("https://schema.org").alias("@context"),
             F.lit("JobPosting").alias("@type"),
             F.col("title").alias("title"),
-            or_else(F.col("description_html"), F.col("title")).alias("description"),
+            F.coalesce(F.nullif("description_html", F.lit("")), "title").alias("description"),
             F.date_format("posted_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datePosted"),
             F.struct(
                 F.lit("Organization").alias("@type"), F.col("company_name").alias("name"),
