@@ -22,7 +22,10 @@ def epoch_millis(number: Column) -> Column:
 
 
 def epoch_seconds(number: Column) -> Column:
-    return F.timestamp_micros((number.try_cast("double") * 1000000).try_cast("bigint"))
+    """Null outside the years 1 to 9999."""
+    seconds = number.try_cast("double")
+    known = (seconds >= -62135596800) & (seconds < 253402300800)
+    return F.when(known, F.timestamp_micros((seconds * 1000000).cast("bigint")))
 
 
 def iso_or_epoch(text: Column, *, millis: str) -> Column:
