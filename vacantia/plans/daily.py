@@ -12,11 +12,6 @@ from vacantia.operators import changes, merge, quality
 from vacantia.sinks import writers
 from vacantia.sources import payloads as P, routes, snapshots
 
-# Sources whose listings repeat a posting, and what identifies it there.
-REPEATING_SOURCES = {
-    "workday": ["company_slug", "url"], "phenom": ["company_slug", "url"],
-    "wttj": ["id"], "fashionjobs": ["id"], "bof": ["url"],
-}
 AGGREGATOR_SLUG = "(aggregator)"
 
 
@@ -28,17 +23,6 @@ def source_rank(source: Column) -> Column:
     return chain.otherwise(0)
 
 
-def _without_repeats(found: DataFrame) -> DataFrame:
-    """First occurrence inside each repeating source; other rows pass through."""
-    plain = found.filter(~F.col("source").isin(list(REPEATING_SOURCES)))
-    for source, keys in REPEATING_SOURCES.items():
-        rows = found.filter(F.col("source") == source)
-        plain = plain.unionByName(
-            merge.first_per_key(rows, keys, [F.col("page"), F.col("item"), F.col("id")])
-        )
-    return plain
-
-
 @dataclass
 class Run:
     jobs: DataFrame
@@ -48,15 +32,14 @@ class Run:
     header: DataFrame
 
 
-def collect(payloads: DataFrame) -> DataFrame:
-    """Postings of every source with their priority, repeats inside a source removed.
+def collect(payloads: DataFrame, sources: list[str] | None = None) -> DataFrame:
+    """Postings of the landed sources with their priority, repeats inside one removed.
 
-    Land payloads partitioned by ``source``: every reader then scans only its own.
+    Write the result before building on it: everything downstream reads it more
+    than once, and parsing is the expensive part.
     """
-    found = P.read_boards(payloads).unionByName(
-        P.read_aggregators(payloads), allowMissingColumns=True
-    )
-    return _without_repeats(found).withColumn("source_rank", source_rank(F.col("source")))
+    found = P.read_all(payloads, sources)
+    return found.withColumn("source_rank", source_rank(F.col("source")))
 
 
 def build_snapshot(
@@ -123,14 +106,19 @@ def run_header(
 
 
 def run(
-    spark: SparkSession, curated: DataFrame, payloads: DataFrame, root: str, date: str
+    spark: SparkSession,
+    curated: DataFrame,
+    payloads: DataFrame,
+    root: str,
+    date: str,
+    sources: list[str] | None = None,
 ) -> None:
     """Build and write the snapshot of ``date``, carrying tags from the latest one.
 
     Parsed postings are staged once: dedupe, companies and run log all start there.
     """
     staged = f"{root}/postings/run_date={date}"
-    collect(payloads).write.mode("overwrite").parquet(staged)
+    collect(payloads, sources).write.mode("overwrite").parquet(staged)
     prior = snapshots.read_jobs(spark, root).filter(F.col("snapshot_date") < F.lit(date).cast("date"))
     out = build_snapshot(curated, spark.read.parquet(staged), snapshots.latest(prior))
     writers.write_snapshot(out.jobs, out.companies, root, date)

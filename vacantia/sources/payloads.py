@@ -13,12 +13,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vacantia import schemas
 from vacantia.functions.ids import stable_id
 from vacantia.functions.text import or_else, strip
+from vacantia.operators.merge import first_per_key
 
 Reader = Callable[[DataFrame], DataFrame]
 
 BOARD_READERS: dict[str, Reader] = {}
 AGGREGATOR_READERS: dict[str, Reader] = {}
 
+# Sources whose listings repeat a posting, and what identifies it there.
+REPEATING_SOURCES = {
+    "workday": ["company_slug", "url"], "phenom": ["company_slug", "url"],
+    "wttj": ["id"], "fashionjobs": ["id"], "bof": ["url"],
+}
+
 # Company columns an aggregator posting carries along, prefixed in its rows.
 COMPANY_FIELDS = [
     "name", "country", "categories", "industry_tags", "career_url", "notes",
@@ -80,36 +87,33 @@ def postings(rows: DataFrame, company: dict[str, Column] | None = None, **fields
     return out
 
 
-def read_boards(payloads: DataFrame, sources: list[str] | None = None) -> DataFrame:
-    """Jobs of all single-company sources."""
-    return _union(payloads, BOARD_READERS, sources)
-
+def read_source(payloads: DataFrame, source: str) -> DataFrame:
+    """Postings of one source, each once where its listings repeat them."""
+    reader = BOARD_READERS.get(source) or AGGREGATOR_READERS[source]
+    found = reader(payloads.filter(F.col("source") == source))
+    keys = REPEATING_SOURCES.get(source)
+    order = [F.col("page"), F.col("item"), F.col("id")]
+    return first_per_key(found, keys, order) if keys else found
 
-def read_aggregators(payloads: DataFrame, sources: list[str] | None = None) -> DataFrame:
-    """Jobs of all multi-company sources, company columns alongside."""
-    return _union(payloads, AGGREGATOR_READERS, sources)
 
+def read_all(payloads: DataFrame, sources: list[str] | None = None) -> DataFrame:
+    """Postings of the given sources (by default all), company columns alongside.
 
-def _union(payloads: DataFrame, readers: dict[str, Reader], sources: list[str] | None) -> DataFrame:
-    parts = [
-        readers[s](payloads.filter(F.col("source") == s)) for s in (sources or list(readers))
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    One narrow branch per source: land payloads partitioned by ``source`` and every
+    branch scans only its own.
+    """
+    names = sources or [*BOARD_READERS, *AGGREGATOR_READERS]
+    out = read_source(payloads, names[0])
+    for name in names[1:]:
+        out = out.unionByName(read_source(payloads, name), allowMissingColumns=True)
+    missing = [f"company_{n}" for n in COMPANY_FIELDS if f"company_{n}" not in out.columns]
+    return out.withColumns({c: F.lit(None).cast("string") for c in missing})
 
 
 def companies_of(found: DataFrame) -> DataFrame:
     """Company rows behind aggregator postings, one per posting (merge dedupes them)."""
-    have = [n for n in COMPANY_FIELDS if f"company_{n}" in found.columns]
     return found.select(
         F.col("company_slug").alias("slug"),
-        *[F.col(f"company_{n}").alias(n) for n in have],
+        *[F.col(f"company_{n}").alias(n) for n in COMPANY_FIELDS],
         "source", "page", "item",
     )
-
-
-def sequence(*parts: Column) -> Column:
-    """Ingest order as a struct, for use in tie-breaks."""
-    return F.struct(*parts)
