@@ -177,8 +177,10 @@ def _html_sql() -> str:
           "'(?is)<style\\b.*?</style>', '', 'g')"
     for pattern, repl in text._HTML_STEPS:
         sql_repl = repl.replace("$1", "\\1").replace("$2", "\\2").replace("'", "''")
-        newline = sql_repl.replace("\n", "' || chr(10) || '")
+        newline = sql_repl.replace("\n", "' || chr(10) || '").replace("\x01", "' || chr(1) || '")
         out = f"regexp_replace({out}, {rx(pattern)}, '{newline}', 'g')"
+    for mark, hashes in text._HEADING_MARKS:
+        out = f"replace({out}, chr(1) || '{mark[1]}', '{hashes}')"
     for entity, char in text._ENTITIES:
         out = f"replace({out}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     # RE2 has no lookahead: blank lines are cleaned by repeated replacement.

@@ -3,13 +3,7 @@
 from pyspark.sql import Column, functions as F
 
 from vacantia import fixed_values as V
-from vacantia.functions.regexes import (
-    ascii_regex,
-    contains_any,
-    first_rule,
-    matches,
-    unicode_regex,
-)
+from vacantia.functions.regexes import contains_any, first_rule, has, unicode_regex
 from vacantia.functions.text import or_else, strip
 
 
@@ -30,16 +24,13 @@ def non_eu_location(location: Column) -> Column:
     text = strip(F.coalesce(location, F.lit("")))
     return (
         F.when(text == "", False)
-        .when(text.rlike(unicode_regex(V.EU_OR_GLOBAL_PLACES)), False)
-        .otherwise(
-            text.rlike(unicode_regex(V.NON_EU_PLACES))
-            | text.rlike(unicode_regex(V.US_STATE_SUFFIX))
-        )
+        .when(has(text, V.EU_OR_GLOBAL_PLACES), False)
+        .otherwise(has(text, V.NON_EU_PLACES) | has(text, V.US_STATE_SUFFIX))
     )
 
 
 def off_scope_title(title: Column) -> Column:
-    return matches(title, unicode_regex(V.OFF_SCOPE_TITLE))
+    return has(title, V.OFF_SCOPE_TITLE)
 
 
 def keep_job(title: Column, remote_policy: Column, location: Column) -> Column:
@@ -72,11 +63,11 @@ def eu_or_remote(location: Column) -> Column:
     return (
         F.when(F.coalesce(location, F.lit("")) == "", verdict(False, F.lit(None), None))
         .when(
-            location.rlike(unicode_regex(V.REMOTE_GLOBAL_TEXT)),
+            has(location, V.REMOTE_GLOBAL_TEXT),
             verdict(True, F.lit("XX"), "remote-global"),
         )
         .when(
-            location.rlike(unicode_regex(V.REMOTE_EU_TEXT)),
+            has(location, V.REMOTE_EU_TEXT),
             verdict(True, F.lit("XX"), "remote-eu"),
         )
         .when(country == "", verdict(False, F.lit(None), None))
@@ -112,21 +103,17 @@ def country_name(code: Column) -> Column:
 # --- titles -------------------------------------------------------------------
 
 
-def _ascii_rules(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    return [(label, ascii_regex(pattern)) for label, pattern in rules]
-
-
 def employment_type(title: Column) -> Column:
-    return first_rule(title, _ascii_rules(V.EMPLOYMENT_RULES), F.lit("permanent"))
+    return first_rule(title, V.EMPLOYMENT_RULES, F.lit("permanent"))
 
 
 def role_of_title(title: Column) -> Column:
-    return first_rule(title, _ascii_rules(V.ROLE_RULES), F.lit(None).cast("string"))
+    return first_rule(title, V.ROLE_RULES, F.lit(None).cast("string"))
 
 
 def remote_of_text(title: Column, location: Column) -> Column:
     text = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(location, F.lit("")))
-    return first_rule(text, _ascii_rules(V.REMOTE_RULES), F.lit(None).cast("string"))
+    return first_rule(text, V.REMOTE_RULES, F.lit(None).cast("string"))
 
 
 def where_bucket(remote_policy: Column, location: Column, company_country: Column) -> Column:
@@ -161,8 +148,8 @@ def where_bucket(remote_policy: Column, location: Column, company_country: Colum
     return (
         F.when(remote_policy == "remote-global", V.WHERE_WORLDWIDE)
         .when(remote_policy == "remote-eu", V.WHERE_EUROPE)
-        .when(loc.rlike(ascii_regex(V.WHERE_WORLDWIDE_TEXT)), V.WHERE_WORLDWIDE)
-        .when(loc.rlike(ascii_regex(V.WHERE_EUROPE_TEXT)), V.WHERE_EUROPE)
+        .when(has(loc, V.WHERE_WORLDWIDE_TEXT, dialect="ascii"), V.WHERE_WORLDWIDE)
+        .when(has(loc, V.WHERE_EUROPE_TEXT, dialect="ascii"), V.WHERE_EUROPE)
         .otherwise(
             F.coalesce(
                 # An impossible empty-token list for empty text falls through by itself.
@@ -186,7 +173,7 @@ def tech_relevant(title: Column, sectors: Column) -> Column:
         F.transform(sectors, lambda m: F.flatten(F.array(F.map_keys(m), F.map_values(m))))
     )
     words = F.lower(F.concat_ws("\n", pairs))
-    return matches(title, unicode_regex(V.TECH_TITLE)) | contains_any(words, V.TECH_SECTOR_WORDS)
+    return has(title, V.TECH_TITLE) | contains_any(words, V.TECH_SECTOR_WORDS)
 
 
 def lane_relevant(sectors: Column) -> Column:
@@ -210,8 +197,8 @@ def lane_company(industry_tags: Column) -> Column:
 def lane_title(title: Column) -> Column:
     wanted = F.lit(False)
     for pattern in V.LANE_ROLE_PATTERNS:
-        wanted = wanted | matches(title, ascii_regex(pattern))
-    return wanted & ~matches(title, ascii_regex(V.LANE_EXCLUDED_TITLE))
+        wanted = wanted | has(title, pattern, dialect="ascii")
+    return wanted & ~has(title, V.LANE_EXCLUDED_TITLE, dialect="ascii")
 
 
 def france_or_remote(remote_policy: Column, location: Column, country: Column) -> Column:

@@ -6,6 +6,7 @@ from functools import cache
 from pyspark.sql import Column, functions as F
 
 from vacantia import fixed_values as V
+from vacantia.functions.regexes import is_ascii
 from vacantia.functions.text import or_else, strip
 
 
@@ -65,11 +66,19 @@ def fold_accents(low: Column) -> Column:
     spelled_out = F.array_join(
         F.transform(F.split(low, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
     )
-    rare = "[" + "".join(many) + "]"
-    expanded = F.when(low.rlike(rare), spelled_out).otherwise(low)
-    return F.when(low.rlike(r"^[\x00-\x7F]*\z"), low).otherwise(
-        F.translate(expanded, sources, targets)
-    )
+    expanded = F.when(low.rlike(_ranges(many)), spelled_out).otherwise(low)
+    return F.when(is_ascii(low), low).otherwise(F.translate(expanded, sources, targets))
+
+
+def _ranges(chars: dict[str, str]) -> str:
+    """A short character class covering at least ``chars``."""
+    spans: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if spans and code - spans[-1][1] < 32:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in spans) + "]"
 
 
 def path_slug(text: Column) -> Column:

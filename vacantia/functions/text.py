@@ -3,7 +3,6 @@
 from pyspark.sql import Column, functions as F
 
 from vacantia import fixed_values as V
-from vacantia.functions.regexes import unicode_regex
 
 # All characters the reference semantics treat as white space when trimming.
 WHITE_SPACE = "".join(
@@ -36,30 +35,24 @@ def join_present(sep: str, *cols: Column) -> Column:
 # --- HTML ---------------------------------------------------------------------
 
 _ENTITIES = [
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
     ("&apos;", "'"), ("&amp;", "&"),
 ]
+# Formatting white space collapses first; line structure then comes from the tags.
+# A heading's level is kept behind a control character until its marks are spelled.
 _HTML_STEPS = [
-    # Formatting white space collapses; line structure comes from the tags.
-    (r"(?is)<!--.*?-->", ""),
-    (r"(?is)<head\b.*?</head>|<!doctype[^>]*>", ""),
+    (r"(?is)<(?:!--.*?-->|head\b.*?</head>|!doctype[^>]*>)", ""),
     (r"[ \t\r\n]+", " "),
     (r"(?i) ?<br ?/?> ?", "  \n"),
-    (r"(?i)<h1\b[^>]*>\s*", "\n\n# "),
-    (r"(?i)<h2\b[^>]*>\s*", "\n\n## "),
-    (r"(?i)<h3\b[^>]*>\s*", "\n\n### "),
-    (r"(?i)<h4\b[^>]*>\s*", "\n\n#### "),
-    (r"(?i)<h5\b[^>]*>\s*", "\n\n##### "),
-    (r"(?i)<h6\b[^>]*>\s*", "\n\n###### "),
-    (r"(?i)\s*</h[1-6]>\s*", "\n\n"),
+    (r"(?i)<h([1-6])\b[^>]*>\s*", "\n\n\x01$1 "),
+    (r"(?i)\s*</h[1-6]>\s*|</?(?:ul|ol|p|div|section|article|table|tr|blockquote)\b[^>]*>", "\n\n"),
     (r"(?i)<li\b[^>]*>\s*", "\n* "),
-    (r"(?i)\s*</li>", ""),
-    (r"(?i)</?(?:ul|ol|p|div|section|article|table|tr|blockquote)\b[^>]*>", "\n\n"),
     (r"(?i)</?(?:b|strong)\b[^>]*>", "**"),
     (r"(?i)</?(?:i|em)\b[^>]*>", "*"),
     (r"""(?i)<a\b[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>""", r"[$2]($1)"),
-    (r"<[^>]+>", ""),
+    (r"(?i)\s*</li>|<[^>]+>", ""),
 ]
+_HEADING_MARKS = [(f"\x01{n}", "#" * n) for n in range(1, 7)]
 
 
 def drop_scripts(html: Column) -> Column:
@@ -67,15 +60,19 @@ def drop_scripts(html: Column) -> Column:
     return F.regexp_replace(no_script, r"(?is)<style\b.*?</style>", "")
 
 
+def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def html_to_markdown(html: Column) -> Column:
     """Markdown for the tag set postings use; null and empty give the empty string."""
     out = F.coalesce(html, F.lit(""))
     for pattern, repl in _HTML_STEPS:
         out = F.regexp_replace(out, pattern, repl)
-    for entity, char in _ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    out = F.regexp_replace(out, r"[ \t]*\n[ \t]*(?=\n)", "\n")
-    return strip(F.regexp_replace(out, r"\n{3,}", "\n\n"))
+    out = _replaced(_replaced(out, _HEADING_MARKS), _ENTITIES)
+    return strip(F.regexp_replace(out, r"[ \t]*\n(?:[ \t]*\n)+", "\n\n"))
 
 
 def page_text(html: Column) -> Column:
@@ -151,6 +148,3 @@ def brand_in_body(name: Column, body: Column) -> Column:
 
     return F.contains(F.substring(letters(body), 1, V.BRAND_BODY_LIMIT), letters(name))
 
-
-def text_has(col: Column, pattern: str) -> Column:
-    return col.rlike(unicode_regex(pattern))

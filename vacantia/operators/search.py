@@ -3,14 +3,28 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia import fixed_values as V
-from vacantia.functions.regexes import matches
 
 WORD_SEPARATOR = r"[^\p{L}\p{N}]+"
 
 
-def tokens(text: Column) -> Column:
-    split = F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_SEPARATOR)
-    return F.filter(split, lambda t: t != "")
+def spaced_words(text: Column) -> Column:
+    """Lower-cased words, each with a space of its own on either side.
+
+    In this form ``" word "`` occurs exactly once per occurrence of the word, so
+    counting is a byte search and no word array is ever built.
+    """
+    low = F.lower(F.coalesce(text, F.lit("")))
+    words = F.btrim(F.regexp_replace(low, WORD_SEPARATOR, "  "))
+    return F.when(words == "", "").otherwise(F.concat(F.lit(" "), words, F.lit(" ")))
+
+
+def occurrences(spaced: Column, part: str) -> Column:
+    removed = F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(part), F.lit("")))
+    return (removed / len(part.encode())).cast("int")
+
+
+def word_count(spaced: Column) -> Column:
+    return F.when(spaced == "", 0).otherwise(occurrences(spaced, "  ") + 1)
 
 
 def query_terms(text: str) -> list[str]:
@@ -53,7 +67,7 @@ def selection_of(params: DataFrame) -> DataFrame:
     """``(facet, value)`` rows of URL parameters named ``filter[x]`` or ``filter[x][]``."""
     rule = r"^filter\[([^\]]+)\](?:\[\])?$"
     return (
-        params.filter(matches(F.col("key"), rule))
+        params.filter(F.coalesce(F.col("key").rlike(rule), F.lit(False)))
         .select(F.regexp_extract("key", rule, 1).alias("facet"), F.col("value"))
         .distinct()
     )
@@ -79,12 +93,10 @@ def search(
     An empty query matches everything, in key order.
     """
     terms = query_terms(query)
-    words = tokens(text)
-    indexed = df.withColumn("__words", words).withColumn("__len", F.size("__words"))
+    indexed = df.withColumn("__words", spaced_words(text))
+    indexed = indexed.withColumn("__len", word_count(F.col("__words")))
     for i, term in enumerate(terms):
-        indexed = indexed.withColumn(
-            f"__tf{i}", F.size("__words") - F.size(F.array_remove("__words", term))
-        )
+        indexed = indexed.withColumn(f"__tf{i}", occurrences(F.col("__words"), f" {term} "))
     indexed = indexed.drop("__words")
     counted = [
         F.count_if(F.col(f"__tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))
