@@ -96,7 +96,7 @@ def startup_category(industries: Column) -> Column:
 
 
 def country_name(code: Column) -> Column:
-    known = or_else(lookup(V.COUNTRY_NAMES, code), code)
+    known = or_else(lookup(V.COUNTRY_NAMES, code), or_else(code))
     return F.coalesce(known, F.lit("—"))
 
 

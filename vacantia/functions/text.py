@@ -19,17 +19,19 @@ def strip(col: Column) -> Column:
 
 
 def or_else(*cols: Column) -> Column:
-    """First argument that is neither null nor the empty string."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])
+    """First argument that is neither null nor empty, else the last one as it is.
 
-
-def blank(col: Column) -> Column:
-    return col.isNull() | (strip(col) == "")
+    With a single argument, the empty string becomes null.
+    """
+    *first, last = cols
+    if not first:
+        return F.nullif(last, F.lit(""))
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in first], last)
 
 
 def join_present(sep: str, *cols: Column) -> Column:
-    """Join the arguments that are neither null nor empty."""
-    return F.concat_ws(sep, *[F.nullif(c, F.lit("")) for c in cols])
+    """Join the arguments that are neither null nor empty, evaluating each once."""
+    return F.array_join(F.filter(F.array(*cols), lambda c: c != ""), sep)
 
 
 # --- HTML ---------------------------------------------------------------------

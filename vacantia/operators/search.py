@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia import fixed_values as V
+from vacantia.functions.once import evaluate_once
 
 WORD_SEPARATOR = r"[^\p{L}\p{N}]+"
 
@@ -13,9 +14,8 @@ def spaced_words(text: Column) -> Column:
     In this form ``" word "`` occurs exactly once per occurrence of the word, so
     counting is a byte search and no word array is ever built.
     """
-    low = F.lower(F.coalesce(text, F.lit("")))
-    words = F.btrim(F.regexp_replace(low, WORD_SEPARATOR, "  "))
-    return F.when(words == "", "").otherwise(F.concat(F.lit(" "), words, F.lit(" ")))
+    low = F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
+    return F.regexp_replace(low, WORD_SEPARATOR, "  ")
 
 
 def occurrences(spaced: Column, part: str) -> Column:
@@ -24,7 +24,7 @@ def occurrences(spaced: Column, part: str) -> Column:
 
 
 def word_count(spaced: Column) -> Column:
-    return F.when(spaced == "", 0).otherwise(occurrences(spaced, "  ") + 1)
+    return occurrences(spaced, "  ") - 1
 
 
 def query_terms(text: str) -> list[str]:
@@ -93,11 +93,9 @@ def search(
     An empty query matches everything, in key order.
     """
     terms = query_terms(query)
-    indexed = df.withColumn("__words", spaced_words(text))
-    indexed = indexed.withColumn("__len", word_count(F.col("__words")))
-    for i, term in enumerate(terms):
-        indexed = indexed.withColumn(f"__tf{i}", occurrences(F.col("__words"), f" {term} "))
-    indexed = indexed.drop("__words")
+    spaced = evaluate_once(df, __words=spaced_words(text))
+    counts = {f"__tf{i}": occurrences(F.col("__words"), f" {t} ") for i, t in enumerate(terms)}
+    indexed = evaluate_once(spaced, __len=word_count(F.col("__words")), **counts).drop("__words")
     counted = [
         F.count_if(F.col(f"__tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))
     ]

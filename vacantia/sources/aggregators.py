@@ -13,6 +13,7 @@ from vacantia.functions.ids import (
 )
 from vacantia.functions.text import html_to_markdown, join_present, or_else, strip
 from vacantia.functions.times import iso_or_epoch, iso_time, rfc822_time
+from vacantia.functions.once import evaluate_once
 from vacantia.sources.payloads import aggregator, items, postings, text, titled
 
 
@@ -92,7 +93,7 @@ def justjoinit(payloads: DataFrame) -> DataFrame:
     filled = F.when(F.size(wrapped["data"]) > 0, wrapped["data"]).otherwise(wrapped["offers"])
     rows = items(payloads, F.when(is_list, bare).otherwise(filled))
     name, city = text(_r("companyName")), text(_r("city"))
-    offer_slug = or_else(_r("slug"), _r("guid"))
+    offer_slug = or_else(_r("slug"), or_else(_r("guid")))
     url = F.concat(F.lit("https://justjoin.it/offers/"), offer_slug)
     country = or_else(
         F.upper(F.substring(strip(or_else(_r("country"), F.lit("PL"))), 1, 2)), F.lit("PL")
@@ -212,29 +213,29 @@ def bof(payloads: DataFrame) -> DataFrame:
             1, V.LISTING_BLOCK_LIMIT,
         ),
     )
-    rows = items(payloads, blocks).select(
-        "*",
-        strip(F.regexp_extract("raw", V.LISTING_TITLE, 1)).alias("path"),
-        strip(F.regexp_extract("raw", V.LISTING_TITLE, 2)).alias("full_title"),
-        strip(F.regexp_extract("raw", V.LISTING_LOCATION, 1)).alias("place"),
-        strip(F.regexp_extract("raw", V.LISTING_BRAND, 1)).alias("brand"),
+    found = evaluate_once(
+        items(payloads, blocks),
+        path=strip(F.regexp_extract("raw", V.LISTING_TITLE, 1)),
+        full_title=strip(F.regexp_extract("raw", V.LISTING_TITLE, 2)),
+        place=strip(F.regexp_extract("raw", V.LISTING_LOCATION, 1)),
+        brand=strip(F.regexp_extract("raw", V.LISTING_BRAND, 1)),
     )
+    rows = evaluate_once(found.filter(F.col("path") != ""), gate=C.eu_or_remote(F.col("place")))
     rest = F.btrim(F.substr("full_title", F.length("brand") + 1), F.lit(" :,-"))
     starts = (F.col("brand") != "") & F.lower("full_title").startswith(F.lower("brand"))
     title = or_else(F.when(starts, rest).otherwise(F.col("full_title")), F.col("full_title"))
     firm = or_else(F.col("brand"), F.lit("Unknown"))
     slug = prefixed_slug("bof-", slugify(firm))
-    gate = C.eu_or_remote(F.col("place"))
     return postings(
-        rows.filter((F.col("path") != "") & gate["keep"] & is_slug(slug)),
+        rows.filter(F.col("gate.keep") & is_slug(slug)),
         company=_firm(
-            firm, or_else(gate["country"], F.lit("XX")), _words(),
+            firm, or_else(F.col("gate.country"), F.lit("XX")), _words(),
             F.lit(V.LISTING_BASE + "/careers/"),
             F.lit("Aggregated from Business of Fashion Careers (Camille lane)."),
             _words("fashion"),
         ),
         company_slug=slug, title=title, url=F.concat(F.lit(V.LISTING_BASE), F.col("path")),
-        location=F.col("place"), remote_policy=gate["remote_policy"],
+        location=F.col("place"), remote_policy=F.col("gate.remote_policy"),
     )
 
 

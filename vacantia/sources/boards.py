@@ -101,7 +101,7 @@ def smartrecruiters(payloads: DataFrame) -> DataFrame:
             html_to_markdown(_r(f"jobAd.sections.{name}.text")),
         ]
     return postings(
-        rows.filter(post_id.isNotNull()),
+        rows.filter(F.coalesce(post_id, F.lit("")) != ""),
         title=titled(_r("name")), url=or_else(_r("ref"), built),
         location=join_present(
             ", ", _r("location.city"), _r("location.region"), _r("location.country")
@@ -188,7 +188,7 @@ def phenom(payloads: DataFrame) -> DataFrame:
     nested = joined("data.location", ["city", "state", "country", "name"])
     stamp = or_else(_r("data.posted_date"), _r("data.postedAt"), _r("data.postedDate"))
     return postings(
-        rows.filter(slug.isNotNull() & (title != "")),
+        rows.filter((F.coalesce(slug, F.lit("")) != "") & (title != "")),
         title=title, location=F.when(flat != "", flat).otherwise(nested),
         url=F.concat(U.site_root(F.col("handle")), F.lit("/jobs/"), slug),
         posted_at=iso_or_epoch(stamp, millis="large"),
