@@ -195,9 +195,8 @@ def lane_company(industry_tags: Column) -> Column:
 
 
 def lane_title(title: Column) -> Column:
-    wanted = F.lit(False)
-    for pattern in V.LANE_ROLE_PATTERNS:
-        wanted = wanted | has(title, pattern, dialect="ascii")
+    """A buying or product title that is not a trainee, assistant or fixed-term one."""
+    wanted = has(title, "|".join(V.LANE_ROLE_PATTERNS), dialect="ascii")
     return wanted & ~has(title, V.LANE_EXCLUDED_TITLE, dialect="ascii")
 
 

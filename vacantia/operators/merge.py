@@ -28,13 +28,16 @@ def dedupe_by_source_priority(
 
     Rows sharing the best rank all stay, duplicates inside one source included.
     Only keys that two ranks really share enter the join, after map-side
-    aggregation; the row side streams through once and AQE splits a hot key.
+    aggregation; the row side streams through once. The explicit repartition puts a
+    shuffle right below the join on that side too (an aggregate there would hide it),
+    which is what lets AQE split the rows of a hot key over many tasks.
     """
     contested = (
         jobs.groupBy(key)
         .agg(F.min(rank).alias("__best"), F.max(rank).alias("__worst"))
         .filter(F.col("__best") < F.col("__worst"))
         .select(key, "__best")
+        .repartition(key)
     )
     return (
         jobs.join(contested, key, "left")

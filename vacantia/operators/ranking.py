@@ -30,7 +30,8 @@ def positions(df: DataFrame, order: list[Column], name: str = "position") -> Dat
     numbered = ordered.withColumn("__mid", F.monotonically_increasing_id())
     part = F.shiftright("__mid", 33)
     within = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per partition of the sorted table: bounded by the partition count.
+    # One row per partition of the sorted table, so the broadcast is bounded by the
+    # partition count, whatever the table holds.
     sizes = numbered.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     before = sizes.select(
         "__part",
@@ -41,7 +42,7 @@ def positions(df: DataFrame, order: list[Column], name: str = "position") -> Dat
     )
     return (
         numbered.withColumn("__part", part)
-        .join(before, "__part")
+        .join(F.broadcast(before), "__part")
         .withColumn(name, (F.col("__before") + within + 1).cast("bigint"))
         .select(*df.columns, name)
     )

@@ -29,10 +29,9 @@ def scan_seed(spark: SparkSession, root: str, glob: str = "*.yaml") -> DataFrame
     ``glob`` selects a subset by file name.
     """
     docs = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .text(root)
+        .text(root, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
     )
     return docs.filter(
