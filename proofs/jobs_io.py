@@ -249,6 +249,17 @@ def daily_run_log(t):
     return run.run_log.select("extractor", "company_slug", "success", "job_count")
 
 
+@proof(
+    f"""WITH found AS ({_FOUND}), uniq AS ({_UNIQUE})
+    SELECT (SELECT CAST(count(*) AS INT) FROM uniq WHERE {_KEEP}) AS job_count,
+      (SELECT CAST(count(*) AS INT) FROM customer) + (SELECT CAST(count(DISTINCT company_slug) AS INT) FROM uniq WHERE source <> 'greenhouse')
+        AS company_count, '2' AS pipeline_version"""
+)
+def daily_header(t):
+    run = daily.build_snapshot(_curated(t), _collected(t), version="2")
+    return run.header.select("job_count", "company_count", "pipeline_version")
+
+
 @proof(
     with_tables(
         """SELECT ingest_seq, 'Revised ' || title AS title, 'Ops' AS source FROM jobs WHERE o_orderstatus <> 'F'"""
@@ -278,16 +289,21 @@ def _stream(t, name: str):
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@proof("SELECT DISTINCT event_type || '-' || user_id AS key FROM events")
+@proof(
+    "SELECT event_type || '-' || user_id AS key, arg_min(event_id, (ts, event_id)) AS event_id "
+    "FROM events GROUP BY 1"
+)
 def stream_ingest(t):
-    """First arrival per key; the watermark spans the whole feed."""
+    """First arrival per key over the whole feed."""
     root = _scratch(t, "ingest")
     keyed = _stream(t, "events").withColumn(
         "key", F.concat_ws("-", "event_type", F.col("user_id").cast("string"))
     )
-    seen = incremental.first_seen(keyed, key="key", ts="ts", delay="60 days")
-    incremental.drain(seen.select("key", "ts"), f"{root}/table", f"{root}/checkpoint")
-    return t.spark.read.parquet(f"{root}/table").select("key")
+    apply = incremental.first_seen_batches(
+        t.spark, f"{root}/table", key="key", order=[F.col("ts"), F.col("event_id")]
+    )
+    incremental.upsert_batches(keyed, apply, f"{root}/checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{root}/table").select("key", "event_id")
 
 
 @proof(
@@ -318,8 +334,8 @@ def stream_upsert(t):
     updates = _stream(t, "events").select(
         F.col("user_id").alias("id"), F.col("event_type").alias("tag"), "event_id"
     )
-    apply = incremental.versioned_upsert(
-        t.spark, base, f"{root}/table", ["tag"], key="id", sequence="event_id"
-    )
+    apply = incremental.log_updates(f"{root}/log", key="id", sequence="event_id")
     incremental.upsert_batches(updates, apply, f"{root}/checkpoint").awaitTermination()
-    return incremental.latest_version(t.spark, f"{root}/table")
+    return incremental.with_updates(
+        base, f"{root}/log", ["tag"], key="id", sequence="event_id"
+    )

@@ -664,6 +664,37 @@ def posting_json(t):
     return rows.select("ingest_seq", writers.posting_json("https://site.test").alias("body"))
 
 
+_KR = (
+    "CASE WHEN {x} >= 1000 THEN CAST(CAST(floor({x} / 1000 + 0.5) AS BIGINT) AS VARCHAR) || 'k' "
+    "WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) ELSE CAST({x} AS VARCHAR) END"
+)
+
+
+@proof(
+    with_tables(
+        f"""SELECT ingest_seq, array_to_string(list_filter([
+          CASE WHEN d IS NULL THEN '' WHEN d <= 1 THEN 'NEW' WHEN d <= 7 THEN d || 'D'
+               WHEN d <= 31 THEN CAST(floor(d / 7.0 + 0.5) AS BIGINT) || 'W' ELSE CAST(floor(d / 30.0 + 0.5) AS BIGINT) || 'MO' END,
+          CASE remote_policy WHEN 'remote-global' THEN 'REMOTE-WW' WHEN 'remote-eu' THEN 'REMOTE-EU'
+               WHEN 'remote' THEN 'REMOTE' WHEN 'hybrid' THEN 'HYBRID' ELSE '' END,
+          CASE WHEN salary_currency IS NULL OR (lo IS NULL AND hi IS NULL) THEN '' ELSE
+            CASE salary_currency WHEN 'EUR' THEN '€' WHEN 'GBP' THEN '£' WHEN 'USD' THEN '$' WHEN 'PLN' THEN 'zł' WHEN 'CHF' THEN 'CHF'
+              ELSE salary_currency || ' ' END
+            || CASE WHEN lo IS NOT NULL AND hi IS NOT NULL AND lo <> hi THEN {_KR.format(x='lo')} || '–' || {_KR.format(x='hi')}
+                    ELSE {_KR.format(x='coalesce(lo, hi)')} END
+            || CASE salary_period WHEN 'month' THEN '/mo' WHEN 'day' THEN '/d' WHEN 'hour' THEN '/h' ELSE '' END END
+          ], lambda x: x <> ''), ' · ') AS meta
+        FROM (SELECT *, floor(salary_min) AS lo, floor(salary_max) AS hi, CASE WHEN posted_at <= {NOW} THEN
+                CAST(floor((epoch({NOW}) - epoch(posted_at)) / 86400) AS BIGINT) END AS d FROM jobs)"""
+    )
+)
+def meta_line(t):
+    whole = {c: F.floor(c).cast("double") for c in ("salary_min", "salary_max")}
+    return t.jobs.withColumns(whole).select(
+        "ingest_seq", read_model.meta_line(now()).alias("meta")
+    )
+
+
 @proof(
     with_tables(
         "SELECT id, description_md, ingest_seq FROM jobs WHERE length(description_md) > 0"

@@ -160,13 +160,25 @@ def test_read_model_prefers_stored_tags(spark):
     assert (row["role_family"], row["remote_policy"], row["employment_type"], row["has_description"]) == ("data", "onsite", "permanent", False)
 
 
-def test_stream_upsert_resumes(spark, tmp_path):
-    source, table, state = (str(tmp_path / n) for n in ("in", "table", "state"))
+def test_streams_resume(spark, tmp_path):
+    source, log, seen = (str(tmp_path / n) for n in ("in", "log", "seen"))
     base = spark.createDataFrame([("1", "none"), ("2", "none")], "id string, tag string")
-    for i, tag in enumerate(("a", "b")):
-        spark.createDataFrame([("1", tag, i)], "id string, tag string, n int").write.mode("append").parquet(source)
-        stream = spark.readStream.schema("id string, tag string, n int").parquet(source)
-        apply = incremental.versioned_upsert(spark, base, table, ["tag"], key="id", sequence="n")
-        incremental.upsert_batches(stream, apply, state).awaitTermination()
-    got = {r["id"]: r["tag"] for r in incremental.latest_version(spark, table).collect()}
-    assert got == {"1": "b", "2": "none"}
+    for i, rows in enumerate([[("1", "a", 1), ("1", "b", 2)], [("1", "c", 3), ("3", "d", 4)]]):
+        spark.createDataFrame(rows, "id string, tag string, n int").coalesce(1).write.mode("append").parquet(source)
+        for name, apply in (
+            ("log", incremental.log_updates(log, key="id", sequence="n")),
+            ("seen", incremental.first_seen_batches(spark, seen, key="id", order=[F.col("n")])),
+        ):
+            stream = spark.readStream.schema("id string, tag string, n int").parquet(source)
+            incremental.upsert_batches(stream, apply, str(tmp_path / f"state-{name}")).awaitTermination()
+    now = incremental.with_updates(base, log, ["tag"], key="id", sequence="n")
+    assert {r["id"]: r["tag"] for r in now.collect()} == {"1": "c", "2": "none"}
+    assert sorted((r["id"], r["tag"]) for r in spark.read.parquet(seen).collect()) == [("1", "a"), ("3", "d")]
+
+
+def test_watermarked_first_seen(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("1", DAY), ("1", DAY), ("2", DAY)], "id string, ts timestamp").write.parquet(source)
+    stream = spark.readStream.schema("id string, ts timestamp").parquet(source)
+    incremental.drain(incremental.first_seen(stream, key="id", ts="ts", delay="1 day"), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2"]

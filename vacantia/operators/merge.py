@@ -28,21 +28,20 @@ def dedupe_by_source_priority(
 
     Rows sharing the best rank all stay, duplicates inside one source included.
     Only keys that two ranks really share enter the join, after map-side
-    aggregation; the row side streams through once. The explicit repartition puts a
-    shuffle right below the join on that side too (an aggregate there would hide it),
-    which is what lets AQE split the rows of a hot key over many tasks.
+    aggregation; the row side streams through once. The null-safe condition gives
+    the join a shuffle of its own on both sides (it would otherwise reuse the
+    aggregate's), which is what lets AQE split the rows of a hot key over many tasks.
     """
     contested = (
-        jobs.groupBy(key)
+        jobs.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("__key"))
         .agg(F.min(rank).alias("__best"), F.max(rank).alias("__worst"))
         .filter(F.col("__best") < F.col("__worst"))
-        .select(key, "__best")
-        .repartition(key)
+        .select("__key", "__best")
     )
     return (
-        jobs.join(contested, key, "left")
+        jobs.join(contested, F.col(key).eqNullSafe(F.col("__key")), "left")
         .filter(F.col("__best").isNull() | (F.col(rank) == F.col("__best")))
-        .drop("__best")
         .select(*jobs.columns)
     )
 

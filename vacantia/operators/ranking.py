@@ -137,12 +137,15 @@ def stratified_sample(
     limited to what ``n`` rows can need, so no stratum is pulled together whole.
     """
     size = F.length(F.coalesce("description_md", F.lit(""))) if size is None else size
-    base = df.withColumn("__size", size)
+    base = df.withColumns(
+        {"__size": size, "__stratum": F.coalesce(F.col(stratum).cast("string"), F.lit("unknown"))}
+    )
+    stratum = "__stratum"
     down = Window.partitionBy(stratum).orderBy(F.col("__size").desc(), F.col(key))
     up = Window.partitionBy(stratum).orderBy(F.col("__size"), F.col(key).desc())
     # A stratum has at most n/2 rows (or one) at either end; padding needs n more.
     reach = n + max(1, n // 2) + 1
-    strata = df.agg(F.count_distinct(F.coalesce(stratum, F.lit(""))).alias("k"))
+    strata = base.agg(F.count_distinct(stratum).alias("k"))
     target = F.greatest(F.lit(1), F.floor(F.lit(n) / F.greatest(strata.scalar(), F.lit(1))))
     half = F.greatest(F.lit(1), F.floor(target / 2)).cast("int")
     sizes = base.groupBy(stratum).agg(F.count("*").alias("__total"))
@@ -168,7 +171,7 @@ def stratified_sample(
     )
     if distinct:
         tail = tail.filter(F.col("__rn") > F.col("__half"))
-    keep = [*df.columns, "__rn"]
+    keep = [*df.columns, stratum, "__rn"]
     taken = head.filter("__in_head").select(*keep, F.lit(0).alias("__phase"), F.lit(0).alias("__seg"))
     taken = taken.unionByName(
         tail.select(*keep, F.lit(0).alias("__phase"), F.lit(1).alias("__seg"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vacantia import schemas
 from vacantia.functions.validation import company_violations
 
-_RAW = "path string, slug string, problem string, body string"
+_RAW = "path string, slug string, copies bigint, problem string, body string"
 _FIELDS = """name STRING, country STRING, categories ARRAY<STRING>,
   industry_tags ARRAY<STRING>, ats STRUCT<provider: STRING, handle: STRING>,
   career_url STRING, github_org STRING, funding_stage STRING, size_bucket STRING, notes STRING,
@@ -61,7 +61,7 @@ def _to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decoded = [one(b) for b in pdf["body"]]
         yield pdf.assign(
             problem=[d[0] for d in decoded], body=[d[1] for d in decoded]
-        )[["path", "slug", "problem", "body"]]
+        )[["path", "slug", "copies", "problem", "body"]]
 
 
 def file_stem(path: Column) -> Column:
@@ -75,34 +75,30 @@ def decode_seed(docs: DataFrame) -> DataFrame:
     duplicates are plain columns.
     """
     raw = docs.select("path", file_stem(F.col("path")).alias("slug"), "body")
-    decoded = raw.select(
-        "path", "slug", F.lit(None).cast("string").alias("problem"), "body"
-    ).mapInPandas(_to_json, _RAW)
+    # The slug comes from the path, so repeats are counted without decoding anything.
+    copies = raw.groupBy("slug").agg(F.count("*").alias("copies"))
+    decoded = (
+        raw.join(copies, "slug")
+        .select("path", "slug", "copies", F.lit(None).cast("string").alias("problem"), "body")
+        .mapInPandas(_to_json, _RAW)
+    )
     parsed = decoded.withColumn("doc", F.from_json("body", _FIELDS)).select(
-        "path", "slug", "problem", "doc.*"
+        "path", "slug", "copies", "problem", "doc.*"
     )
     flat = parsed.select(
-        "path", "problem",
-        "slug", "name", "country",
+        "path", "copies", "problem", "slug", "name", "country",
         F.coalesce("categories", F.array().cast("array<string>")).alias("categories"),
         F.coalesce("industry_tags", F.array().cast("array<string>")).alias("industry_tags"),
         F.col("ats.provider").alias("ats_provider"), F.col("ats.handle").alias("ats_handle"),
         "career_url", "github_org", "funding_stage", "size_bucket", "notes", "oss_signal",
         "top_repo_stars", "primary_language",
     )
-    repeats = flat.groupBy("slug").agg(F.count("*").alias("__n"))
     rules = F.when(F.col("problem").isNotNull(), F.array("problem")).otherwise(
         company_violations()
     )
-    return (
-        flat.join(repeats, "slug")
-        .withColumn(
-            "problems",
-            F.array_compact(
-                F.concat(rules, F.array(F.when(F.col("__n") > 1, F.lit("duplicate_slug"))))
-            ),
-        )
-        .select(*schemas.COMPANIES.names, "path", "problems")
+    repeated = F.array(F.when(F.col("copies") > 1, F.lit("duplicate_slug")))
+    return flat.withColumn("problems", F.array_compact(F.concat(rules, repeated))).select(
+        *schemas.COMPANIES.names, "path", "problems"
     )
 
 

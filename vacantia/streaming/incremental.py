@@ -2,21 +2,39 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vacantia.operators.merge import last_per_key, overlay
+from vacantia.operators.merge import first_per_key, overlay
 
 
 def first_seen(stream: DataFrame, *, key: str, ts: str, delay: str) -> DataFrame:
     """First arrival of every key; state is dropped once the watermark has passed.
 
-    State is partitioned by the key, one entry per key, so a hot key costs no more
-    than any other.
+    Every row travels to its key's state, so this is for keys that repeat a little.
+    Where one key may make up much of the feed, use `first_seen_batches`.
     """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+def first_seen_batches(
+    spark: SparkSession, root: str, *, key: str, order: list[Column]
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function appending the rows whose key was never stored.
+
+    A batch is cut to one row per key before it is shuffled, then checked against
+    the keys of the earlier epochs. A replayed epoch overwrites its own folder.
+    """
+    def apply(batch: DataFrame, epoch: int) -> None:
+        fresh = first_per_key(batch, [key], order)
+        if epoch > 0:
+            seen = spark.read.parquet(root).filter(F.col("epoch") < epoch).select(key)
+            fresh = fresh.join(seen, key, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{root}/epoch={epoch}")
+
+    return apply
+
+
 def windowed_counts(
     stream: DataFrame, *, keys: list[str], ts: str, size: str, delay: str
 ) -> DataFrame:
@@ -56,25 +74,23 @@ def upsert_batches(
     )
 
 
-def versioned_upsert(
-    spark: SparkSession, base: DataFrame, root: str, columns: list[str], *, key: str, sequence: str
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function overlaying each batch on the previous table version.
+def log_updates(root: str, *, key: str, sequence: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function storing each batch's last row per key.
 
-    Every epoch writes its own version from the one before it, so replaying an epoch
-    after a failure overwrites the same folder with the same rows.
+    What is written grows with the batch, never with the table; a replayed epoch
+    overwrites its own folder with the same rows.
     """
     def apply(batch: DataFrame, epoch: int) -> None:
-        previous = base if epoch == 0 else spark.read.parquet(f"{root}/version={epoch - 1}")
-        updates = last_per_key(batch, [key], sequence).select(key, *columns)
-        overlay(previous, updates, columns, key=key).write.mode("overwrite").parquet(
-            f"{root}/version={epoch}"
-        )
+        last = first_per_key(batch, [key], [F.col(sequence).desc()])
+        last.write.mode("overwrite").parquet(f"{root}/epoch={epoch}")
 
     return apply
 
 
-def latest_version(spark: SparkSession, root: str) -> DataFrame:
-    versions = spark.read.parquet(root)
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.filter(F.col("version") == newest).drop("version")
+def with_updates(
+    base: DataFrame, root: str, columns: list[str], *, key: str, sequence: str
+) -> DataFrame:
+    """``base`` with the newest logged values; write it out to compact the log."""
+    logged = base.sparkSession.read.parquet(root)
+    newest = first_per_key(logged, [key], [F.col("epoch").desc(), F.col(sequence).desc()])
+    return overlay(base, newest.select(key, *columns), columns, key=key)
