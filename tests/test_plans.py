@@ -34,8 +34,8 @@ def test_per_key_top_rows_are_limited_before_the_shuffle(spark, name):
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_no_cross_joins(spark, name):
-    if name.startswith("stream_") or name in ("snapshot_latest",):
-        pytest.skip("reads a table it writes")
+    if name.startswith(("stream_", "daily_", "snapshot_latest")):
+        pytest.skip("writes tables while it is built")
     text = plan(entry.queries()[name](spark, FOLDER), "simple")
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia import fixed_values as V
 from vacantia.functions import urls as U
+from vacantia.functions.once import evaluate_once
 from vacantia.functions.text import html_to_markdown, join_present, or_else, strip
 from vacantia.functions.times import iso_or_epoch, iso_time
 from vacantia.sources.payloads import board, items, postings, text, titled
@@ -216,11 +217,15 @@ def custom_page(payloads: DataFrame) -> DataFrame:
             usable.alias("usable"),
         )
 
-    usable = F.filter(F.transform(parsed, cleaned), lambda j: j["usable"])
+    pages = evaluate_once(
+        payloads, __jobs=F.filter(F.transform(parsed, cleaned), lambda j: j["usable"])
+    )
+    pages = evaluate_once(pages, __urls=F.col("__jobs.url"))
     # First occurrence of a URL inside the page's own array.
-    urls = F.transform(usable, lambda j: j["url"])
-    first = F.filter(usable, lambda j, i: F.array_position(urls, j["url"]) == i + 1)
-    rows = items(payloads, first)
+    first = F.filter(
+        F.col("__jobs"), lambda j, i: F.array_position(F.col("__urls"), j["url"]) == i + 1
+    )
+    rows = items(pages, first)
     return postings(
         rows,
         title=_r("title"), url=_r("url"), location=_r("location"),
