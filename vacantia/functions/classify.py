@@ -21,9 +21,9 @@ def _array(values: list[str]) -> Column:
 
 def non_eu_location(location: Column) -> Column:
     """Clearly names a place outside Europe and nothing European or worldwide."""
-    text = strip(F.coalesce(location, F.lit("")))
+    text = F.coalesce(location, F.lit(""))
     return (
-        F.when(text == "", False)
+        F.when(strip(text) == "", False)
         .when(has(text, V.EU_OR_GLOBAL_PLACES), False)
         .otherwise(has(text, V.NON_EU_PLACES) | has(text, V.US_STATE_SUFFIX))
     )

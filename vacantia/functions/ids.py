@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 
 from vacantia import fixed_values as V
 from vacantia.functions.regexes import is_ascii
-from vacantia.functions.text import or_else, strip
+from vacantia.functions.text import or_else, strip_computed
 
 
 def stable_id(slug: Column, url: Column) -> Column:
@@ -16,7 +16,8 @@ def stable_id(slug: Column, url: Column) -> Column:
 
 
 def slugify_uncapped(name: Column) -> Column:
-    low = strip(F.lower(F.coalesce(name, F.lit(""))))
+    # Outer white space turns into dashes, which go at both ends.
+    low = F.lower(F.coalesce(name, F.lit("")))
     return F.btrim(F.regexp_replace(low, "[^a-z0-9]+", "-"), F.lit("-"))
 
 
@@ -105,7 +106,7 @@ def company_from_slug(slug: Column) -> Column:
 
 
 def title_from_slug(slug: Column) -> Column:
-    return _capitalised(strip(F.replace(slug, F.lit("-"), F.lit(" "))))
+    return _capitalised(strip_computed(F.replace(slug, F.lit("-"), F.lit(" "))))
 
 
 def slug_candidates(org: Column) -> Column:

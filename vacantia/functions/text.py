@@ -14,8 +14,27 @@ WHITE_SPACE = "".join(
 )
 
 
+_EDGE_SPACE = (
+    r"[\s\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+)
+
+
 def strip(col: Column) -> Column:
-    return F.btrim(col, F.lit(WHITE_SPACE))
+    """Trim a field. Looks at both ends first: trimming against a set is slow.
+
+    Mentions ``col`` several times, so give it a plain column; computed text goes
+    through `strip_computed`.
+    """
+    def inner(char: Column) -> Column:
+        return F.ascii(char).between(0x21, 0x84)
+
+    trimmed = inner(col) & inner(F.substring(col, -1, 1))
+    return F.when(trimmed, col).otherwise(F.btrim(col, F.lit(WHITE_SPACE)))
+
+
+def strip_computed(col: Column) -> Column:
+    """Trim an expression, evaluating it once."""
+    return F.regexp_replace(col, rf"^{_EDGE_SPACE}|{_EDGE_SPACE}\z", "")
 
 
 def or_else(*cols: Column) -> Column:
@@ -74,7 +93,7 @@ def html_to_markdown(html: Column) -> Column:
     for pattern, repl in _HTML_STEPS:
         out = F.regexp_replace(out, pattern, repl)
     out = _replaced(_replaced(out, _HEADING_MARKS), _ENTITIES)
-    return strip(F.regexp_replace(out, r"[ \t]*\n(?:[ \t]*\n)+", "\n\n"))
+    return strip_computed(F.regexp_replace(out, r"[ \t]*\n(?:[ \t]*\n)+", "\n\n"))
 
 
 def page_text(html: Column) -> Column:
@@ -94,7 +113,7 @@ def strip_boilerplate(markdown: Column) -> Column:
     out = F.coalesce(markdown, F.lit(""))
     for trigger in V.BOILERPLATE_TRIGGERS:
         out = F.regexp_replace(out, rf"(?ismdU){trigger}.*?(?=^##|\z)", "")
-    return strip(out)
+    return strip_computed(out)
 
 
 def grounded(values: Column, source: Column) -> Column:
@@ -136,8 +155,8 @@ def markdown_links(markdown: Column) -> Column:
 def leading_name(html: Column) -> Column:
     """Company name a hiring comment opens with, or null."""
     text = F.regexp_replace(html, r"<[^>]+>", " ")
-    text = strip(F.regexp_replace(text, r"(?U)\s+", " "))
-    name = strip(F.regexp_extract(text, V.LEADING_NAME, 1))
+    text = strip_computed(F.regexp_replace(text, r"(?U)\s+", " "))
+    name = strip_computed(F.regexp_extract(text, V.LEADING_NAME, 1))
     name = F.rtrim(name, F.lit(".,;:"))
     usable = (F.length(name) >= 2) & ~F.lower(name).isin(V.GREETING_WORDS)
     return F.when(usable, name)

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, functions as F
 
 from vacantia import fixed_values as V
+from vacantia.functions.regexes import contains_any
 
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 
@@ -39,11 +40,16 @@ def site_root(url: Column) -> Column:
 
 
 def absolute_url(url: Column, base: Column) -> Column:
+    return resolve(url, site_root(base))
+
+
+def resolve(url: Column, root: Column) -> Column:
+    """Absolute form of a link found on a page of the site ``root``."""
     return (
         F.when(url.startswith("http://") | url.startswith("https://"), url)
         .when(url.startswith("//"), F.concat(F.lit("https:"), url))
-        .when(url.startswith("/"), F.concat(site_root(base), url))
-        .otherwise(F.concat(site_root(base), F.lit("/"), url))
+        .when(url.startswith("/"), F.concat(root, url))
+        .otherwise(F.concat(root, F.lit("/"), url))
     )
 
 
@@ -54,9 +60,7 @@ def registrable_domain(url: Column) -> Column:
 
 def plausible_job_url(url: Column, source_domain: Column) -> Column:
     """Absolute, and on the source's own domain or naming a known board host."""
-    on_board = F.lit(False)
-    for name in V.KNOWN_BOARD_HOSTS:
-        on_board = on_board | F.contains(url, F.lit(name))
+    on_board = contains_any(url, V.KNOWN_BOARD_HOSTS)
     absolute = url.startswith("http://") | url.startswith("https://")
     return F.coalesce(
         absolute & ((registrable_domain(url) == source_domain) | on_board), F.lit(False)

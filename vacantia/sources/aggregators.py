@@ -11,7 +11,7 @@ from vacantia.functions.ids import (
     slugify,
     title_from_slug,
 )
-from vacantia.functions.text import html_to_markdown, join_present, or_else, strip
+from vacantia.functions.text import html_to_markdown, join_present, or_else, strip, strip_computed
 from vacantia.functions.times import iso_or_epoch, iso_time, rfc822_time
 from vacantia.functions.once import evaluate_once
 from vacantia.sources.payloads import aggregator, items, postings, text, titled
@@ -66,8 +66,11 @@ def weworkremotely(payloads: DataFrame) -> DataFrame:
         description: STRING, region: STRING, pubDate: STRING>>>"""
     feeds = payloads.filter(F.contains("body", F.lit("<item>")))
     rows = items(feeds, F.from_xml("body", schema, {"mode": "PERMISSIVE"})["channel"]["item"])
-    parts = F.split(text(_r("title")), ":", 2)
-    name, title = text(parts[0]), text(F.try_element_at(parts, F.lit(2)))
+    split = evaluate_once(rows, parts=F.split(_r("title"), ":", 2))
+    rows = evaluate_once(
+        split, firm=F.col("parts")[0], role=F.try_element_at(F.col("parts"), F.lit(2))
+    )
+    name, title = text(F.col("firm")), text(F.col("role"))
     url = text(_r("link"))
     region = or_else(text(_r("region")), F.lit("Remote"))
     return postings(
@@ -215,10 +218,10 @@ def bof(payloads: DataFrame) -> DataFrame:
     )
     found = evaluate_once(
         items(payloads, blocks),
-        path=strip(F.regexp_extract("raw", V.LISTING_TITLE, 1)),
-        full_title=strip(F.regexp_extract("raw", V.LISTING_TITLE, 2)),
-        place=strip(F.regexp_extract("raw", V.LISTING_LOCATION, 1)),
-        brand=strip(F.regexp_extract("raw", V.LISTING_BRAND, 1)),
+        path=strip_computed(F.regexp_extract("raw", V.LISTING_TITLE, 1)),
+        full_title=strip_computed(F.regexp_extract("raw", V.LISTING_TITLE, 2)),
+        place=strip_computed(F.regexp_extract("raw", V.LISTING_LOCATION, 1)),
+        brand=strip_computed(F.regexp_extract("raw", V.LISTING_BRAND, 1)),
     )
     rows = evaluate_once(found.filter(F.col("path") != ""), gate=C.eu_or_remote(F.col("place")))
     rest = F.btrim(F.substr("full_title", F.length("brand") + 1), F.lit(" :,-"))

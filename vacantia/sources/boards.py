@@ -202,23 +202,30 @@ def custom_page(payloads: DataFrame) -> DataFrame:
     """Openings extracted from a careers page; off-domain links are refused."""
     schema = """jobs ARRAY<STRUCT<title: STRING, location: STRING, url: STRING,
         remote_policy: STRING>>"""
-    parsed = F.from_json("body", schema)["jobs"]
+    sites = evaluate_once(
+        payloads,
+        __root=U.site_root(F.col("handle")), __domain=U.registrable_domain(F.col("handle")),
+    )
 
-    def cleaned(j: Column) -> Column:
-        url = U.absolute_url(text(j["url"]), F.col("handle"))
-        usable = (
-            (text(j["title"]) != "")
-            & (text(j["url"]) != "")
-            & U.plausible_job_url(url, U.registrable_domain(F.col("handle")))
+    def trimmed(j: Column) -> Column:
+        return F.struct(
+            *[text(j[n]).alias(n) for n in ("title", "url", "location")],
+            j["remote_policy"].alias("remote_policy"),
         )
+
+    def resolved(j: Column) -> Column:
         return F.struct(
-            text(j["title"]).alias("title"), url.alias("url"),
-            text(j["location"]).alias("location"), j["remote_policy"].alias("remote_policy"),
-            usable.alias("usable"),
+            j["title"].alias("title"), j["location"].alias("location"),
+            j["remote_policy"].alias("remote_policy"),
+            F.when(j["url"] != "", U.resolve(j["url"], F.col("__root"))).alias("url"),
         )
 
+    def usable(j: Column) -> Column:
+        return (j["title"] != "") & U.plausible_job_url(j["url"], F.col("__domain"))
+
+    parsed = F.from_json("body", schema)["jobs"]
     pages = evaluate_once(
-        payloads, __jobs=F.filter(F.transform(parsed, cleaned), lambda j: j["usable"])
+        sites, __jobs=F.filter(F.transform(F.transform(parsed, trimmed), resolved), usable)
     )
     pages = evaluate_once(pages, __urls=F.col("__jobs.url"))
     # First occurrence of a URL inside the page's own array.
