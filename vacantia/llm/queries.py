@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacantia.llm import contamination
+from vacantia.llm import contamination, hilbert
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,7 +15,17 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("spans", "items")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination}
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    out = hilbert.shard(table(spark, folder, "documents"), keep=False)
+    return out.select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve"
+    )
+
+
+QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op8_sharding": op8_sharding,
+}
 
 WORDS_SQL = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
