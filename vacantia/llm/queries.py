@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacantia.llm import contamination, hilbert
+from vacantia.llm import contamination, hilbert, secrets
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("spans", "items")
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secrets(table(spark, folder, "documents"))
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     out = hilbert.shard(table(spark, folder, "documents"), keep=False)
     return out.select(
@@ -24,6 +28,7 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
 }
 
