@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacantia.llm import contamination, hilbert, secrets
+from vacantia.llm import contamination, hilbert, phrases, secrets, suffixes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("spans", "items")
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"))
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(table(spark, folder, "documents"))
 
@@ -26,10 +30,16 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.remove_phrases(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op4_substring_dedup": op4_substring_dedup,
     "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
+    "op10_repeated_phrases": op10_repeated_phrases,
 }
 
 WORDS_SQL = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
