@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacantia.llm import contamination, hilbert, phrases, secrets, suffixes
+from vacantia.llm import contamination, embeddings, hilbert, phrases, secrets, suffixes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(table(spark, folder, "documents"))
 
@@ -37,6 +41,7 @@ def op10_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
     "op10_repeated_phrases": op10_repeated_phrases,
@@ -45,6 +50,21 @@ QUERIES = {
 WORDS_SQL = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLES = {
+    "op5_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN low ON vec_id = low.a LEFT JOIN n ON vec_id = n.a
+""",
     "op1_decontamination": f"""
 WITH d AS (SELECT doc_id, coalesce({WORDS_SQL.format('text')}, []) AS w FROM documents),
 b AS (SELECT item_id, {WORDS_SQL.format('text')} AS w FROM benchmark WHERE text IS NOT NULL),
