@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacantia.llm import contamination, embeddings, hilbert, phrases, secrets, suffixes
+from vacantia.llm import contamination, embeddings, hilbert, jaccard, phrases, secrets, suffixes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("spans", "items")
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar(table(spark, folder, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"))
 
@@ -40,6 +44,7 @@ def op10_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op7_secrets": op7_secrets,
@@ -50,6 +55,24 @@ QUERIES = {
 WORDS_SQL = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLES = {
+    "op2_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce({WORDS_SQL.format('text')}, []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT p.a, p.b, na.n = p.c AND nb.n = p.c AS same
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
+        GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 5 * p.c >= 4 * (na.n + nb.n - p.c)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+own AS (SELECT a, count(*) AS n, min(CASE WHEN same THEN b END) AS b FROM link GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(own.b, doc_id)) AS class_id, coalesce(own.n, 0) AS n_links,
+  least(doc_id, coalesce(low.b, doc_id)) AS component_id
+FROM d LEFT JOIN low ON doc_id = low.a LEFT JOIN own ON doc_id = own.a
+""",
     "op5_embedding_dedup": """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
