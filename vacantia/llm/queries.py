@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacantia.llm import contamination, embeddings, hilbert, jaccard, phrases, secrets, suffixes
+from vacantia.llm import contamination, embeddings, hilbert, jaccard, phrases, secrets, suffixes, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("sentences")
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
     "op10_repeated_phrases": op10_repeated_phrases,
