@@ -1,8 +1,8 @@
 """The operators of this folder over the given tables, with check SQL where SQL can say it."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vacantia.llm import contamination, embeddings, hilbert, jaccard, phrases, secrets, suffixes, toxicity
+from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, phrases, secrets, suffixes, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +42,15 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as files of a tree: by source, language and number, at three depths."""
+    number = F.col("doc_id").cast("string")
+    deep = F.array("source", "lang", F.expr("CAST(doc_id DIV 500 AS STRING)"))
+    depth = F.when(F.col("doc_id") % 50 == 0, 1).when(F.col("doc_id") % 10 == 0, 2).otherwise(3)
+    path = F.array_join(F.slice(deep, F.lit(1), depth), "/")
+    return licenses.licenses(table(spark, folder, "documents"), F.concat_ws("/", path, number))
+
+
 def op10_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.remove_phrases(table(spark, folder, "documents"))
 
@@ -54,6 +63,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
+    "op9_licenses": op9_licenses,
     "op10_repeated_phrases": op10_repeated_phrases,
 }
 
