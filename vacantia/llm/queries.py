@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, phrases, secrets, suffixes, toxicity
+from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, mixing, phrases, secrets, suffixes, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar(table(spark, folder, "documents"))
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.plan(table(spark, folder, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"))
 
@@ -58,6 +62,7 @@ def op10_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_mixing": op3_mixing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
