@@ -3,8 +3,6 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline
-import pytest
-from pyspark.sql import types as T
 
 from tests.llm.test_jaccard import shingle_set
 from tests.llm.test_toxicity import bags

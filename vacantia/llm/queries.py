@@ -1,5 +1,6 @@
 """The operators of this folder over the given tables, with check SQL where SQL can say it."""
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, mixing, phrases, secrets, suffixes, toxicity
@@ -70,6 +71,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_licenses": op9_licenses,
     "op10_repeated_phrases": op10_repeated_phrases,
+    "pipeline": corpus_pipeline.run,
 }
 
 WORDS_SQL = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
