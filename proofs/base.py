@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vacantia.functions.ids import stable_id
 
-NOW = "TIMESTAMP '2001-12-20 06:00:00'"
+NOW = "TIMESTAMP '2001-07-20 06:00:00'"
 
 TITLES = [
     "Senior Data Engineer", "Machine Learning Engineer", "Recruiter", "Account Executive",

@@ -269,7 +269,7 @@ def snapshot_latest(t):
     """Two dated writes, one of them repeated; the newest date is read back."""
     root = _scratch(t, "snapshots")
     jobs = t.jobs.withColumn("id", F.col("ingest_seq").cast("string"))
-    firms = t.companies.limit(0)
+    firms = t.companies
     revised = jobs.filter("o_orderstatus <> 'F'").withColumns(
         {"title": F.concat(F.lit("Revised "), "title"), "source": F.lit("Ops")}
     )

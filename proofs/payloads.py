@@ -501,7 +501,7 @@ _register(
         "wttj",
         {"slug": "'wttj-acme-org'", "title": "'Data Lead'", "where": " WHERE o_orderkey % 2 = 0",
          "url": "'https://www.welcometothejungle.com/en/companies/Acme Org/jobs/d-' || o_orderkey",
-         "location": "'Paris, France; Lyon; Spain'", "policy": "'hybrid'", "posted": _DAY_SQL,
+         "location": "'Paris, France; Lyon; Spain; Rome, Italy'", "policy": "'hybrid'", "posted": _DAY_SQL,
          "firm": _firm("'Acme'", "'FR'", "'tech'", "'https://www.welcometothejungle.com/en/companies/Acme Org'",
                        "'Aggregated from Welcome to the Jungle (' || o_custkey || ' employees)'")},
         {"slug": "'wttj-acme-org'", "title": "'Chef'", "where": " WHERE o_orderkey % 2 = 0",
@@ -513,7 +513,7 @@ _register(
          "url": "'https://www.welcometothejungle.com/en/companies/Acme Org/jobs/b-' || o_orderkey",
          "posted": _DAY_SQL,
          "firm": _firm("'Acme'", "'XX'", "''", "'https://www.welcometothejungle.com/en/companies/Acme Org'",
-                       "'Aggregated from Welcome to the Jungle (' || o_custkey || ' employees) — Camille lane.'",
+                       "'Aggregated from Welcome to the Jungle (' || o_custkey || ' employees) — fashion lane.'",
                        "'fashion'")},
     ),
 )
@@ -535,17 +535,19 @@ _register(
         {"slug": "'fjr-louis-vuitton'", "title": "'Acheteur mode h f'", "location": "'France'",
          "url": f"{_FJ}Louis-vuitton/Acheteur-mode-H-f,' || o_orderkey || '.html'",
          "firm": _firm("'Louis Vuitton'", "'FR'", "''", "'https://fr.fashionjobs.com/recrutement/Louis-vuitton.html'",
-                       "'Aggregated from fashionjobs.com (Camille lane).'", "'fashion'")},
+                       "'Aggregated from fashionjobs.com (fashion lane).'", "'fashion'")},
         {"slug": "'fjr-ba-sh'", "title": "'Chef'", "location": "'France'",
          "url": "'http://www.fashionjobs.com/emploi/ba-sh/chef,' || o_orderkey || '.html'",
          "firm": _firm("'Ba Sh'", "'FR'", "''", "'https://fr.fashionjobs.com/recrutement/ba-sh.html'",
-                       "'Aggregated from fashionjobs.com (Camille lane).'", "'fashion'")},
+                       "'Aggregated from fashionjobs.com (fashion lane).'", "'fashion'")},
     ),
 )
 
 
-def _item(number: str, path: Column, title: str, place: str, brand: str | None) -> list[Column]:
-    logo = "" if brand is None else f'<img alt="{brand} logo">'
+def _item(
+    number: str, path: Column, title: str, place: str, brand: str | None, filler: int = 0
+) -> list[Column]:
+    logo = ("" if brand is None else f'<img alt="{brand} logo">') + "<i></i>" * filler
     return [
         F.lit(f'<li class="lister__item cf" id="item-{number}">{logo}<h3><a class="js" href=" /careers/job/'),
         path,
@@ -564,6 +566,7 @@ _register(
             *_item("2", _key("9"), "Writer", "Fully remote", None),
             *_item("3", _key("8"), "Chef", "Texas", "Acme"),
             *_item("4", _key("7"), "Acme", "EMEA remote", "Acme"),
+            *_item("5", _key("6"), "Acme Late", "Berlin, Germany", "Acme", filler=900),
             F.lit('</section><a href="/careers/job/1/x"><span>outside</span></a>'),
         ),
     ),
@@ -573,11 +576,12 @@ _register(
             {"slug": slug, "title": title, "location": place, "policy": policy,
              "url": f"'https://www.businessoffashion.com/careers/job/{n}' || o_orderkey || '/dev/'",
              "firm": _firm(brand, country, "''", "'https://www.businessoffashion.com/careers/'",
-                           "'Aggregated from Business of Fashion Careers (Camille lane).'", "'fashion'")}
+                           "'Aggregated from Business of Fashion Careers (fashion lane).'", "'fashion'")}
             for slug, title, place, policy, n, brand, country in (
                 ("'bof-acme-paris'", "'Buyer'", "'Paris, france'", "CAST(NULL AS VARCHAR)", "", "'Acme Paris'", "'FR'"),
                 ("'bof-unknown'", "'Writer'", "'Fully remote'", "'remote-global'", "9", "'Unknown'", "'XX'"),
                 ("'bof-acme'", "'Acme'", "'EMEA remote'", "'remote-eu'", "7", "'Acme'", "'XX'"),
+                ("'bof-acme'", "'Late'", "'Berlin, Germany'", "CAST(NULL AS VARCHAR)", "6", "'Acme'", "'DE'"),
             )
         ],
     ),

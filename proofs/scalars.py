@@ -172,25 +172,41 @@ def absolute_urls(t):
     )
 
 
+# The tag rules again, as this side states them; RE2 runs them in this order.
+_TAG_RULES = [
+    ("(?is)<script\\b.*?</script>", "''"), ("(?is)<style\\b.*?</style>", "''"), ("(?s)<!--.*?-->", "''"),
+    ("(?is)<head\\b.*?</head>", "''"), ("(?i)<!doctype[^>]*>", "''"), ("[ \\t\\r\\n]+", "' '"),
+    ("(?i) ?<br ?/?> ?", "'  ' || chr(10)"),
+    *[(f"(?i)<h{n}\\b[^>]*>\\s*", f"chr(10) || chr(10) || '{'#' * n} '") for n in range(1, 7)],
+    ("(?i)\\s*</h[1-6]>\\s*", "chr(10) || chr(10)"),
+    *[(f"(?i)</?{tag}\\b[^>]*>", "chr(10) || chr(10)")
+      for tag in ("ul", "ol", "p", "div", "section", "article", "table", "tr", "blockquote")],
+    ("(?i)<li\\b[^>]*>\\s*", "chr(10) || '* '"), ("(?i)</?(?:b|strong)\\b[^>]*>", "'**'"),
+    ("(?i)</?(?:i|em)\\b[^>]*>", "'*'"),
+    ('(?i)<a\\b[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>', "'[\\2](\\1)'"), ("(?i)\\s*</li>", "''"), ("<[^>]+>", "''"),
+]
+_ENTITY_RULES = [("&nbsp;", "' '"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"),
+                 ("&apos;", "chr(39)"), ("&amp;", "'&'")]
+# Long pages, pages of blank lines and of empty paragraphs, with text behind them.
+_LONG_PAGE = ("CASE page_id % 25 WHEN 3 THEN html || repeat('<br>', 100000) || '<p>end</p>' "
+              "WHEN 4 THEN html || repeat('<p></p>', 100000) || 'end' "
+              "WHEN 5 THEN html || repeat('word ', 8000) || '<h2>end</h2>' ELSE html END")
+
+
 def _html_sql() -> str:
-    out = "regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>', '', 'g'), " \
-          "'(?is)<style\\b.*?</style>', '', 'g')"
-    for pattern, repl in text._HTML_STEPS:
-        sql_repl = repl.replace("$1", "\\1").replace("$2", "\\2").replace("'", "''")
-        newline = sql_repl.replace("\n", "' || chr(10) || '").replace("\x01", "' || chr(1) || '")
-        out = f"regexp_replace({out}, {rx(pattern)}, '{newline}', 'g')"
-    for mark, hashes in text._HEADING_MARKS:
-        out = f"replace({out}, chr(1) || '{mark[1]}', '{hashes}')"
-    for entity, char in text._ENTITIES:
-        out = f"replace({out}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
-    # RE2 has no lookahead: blank lines are cleaned by repeated replacement.
+    out = _LONG_PAGE
+    for pattern, repl in _TAG_RULES:
+        out = f"regexp_replace({out}, {rx(pattern)}, {repl}, 'g')"
+    for entity, char in _ENTITY_RULES:
+        out = f"replace({out}, '{entity}', {char})"
     out = f"regexp_replace({out}, '[ \\t]*\\n([ \\t]*\\n)+', chr(10) || chr(10), 'g')"
-    return f"substr(trim({out}, ' ' || chr(9) || chr(10) || chr(13)), 1, {V.PAGE_TEXT_LIMIT})"
+    return f"trim({out}, ' ' || chr(9) || chr(10) || chr(13))"
 
 
 @proof(f"SELECT page_id, {_html_sql()} AS markdown FROM pages")
 def html_text(t):
-    return t.pages.select("page_id", text.page_text(F.col("html")).alias("markdown"))
+    pages = t.pages.select("page_id", F.expr(_LONG_PAGE).alias("html"))
+    return pages.select("page_id", text.page_text(F.col("html")).alias("markdown"))
 
 
 _HEADED = (
@@ -233,13 +249,18 @@ def grounded_terms(t):
     )
 
 
+# In some documents the brand stands behind 200,000 letters.
+_FAR_BRAND = "CASE doc_id % 40 WHEN 7 THEN text || repeat('x', 210000) || source || ' ' || lang ELSE text END"
+
+
 @proof(
     "SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g') AS safe, "
-    "contains(substr(regexp_replace(lower(text), '[^a-z]', '', 'g'), 1, 200000), "
-    "regexp_replace(lower(source || lang), '[^a-z]', '', 'g')) AS brand FROM documents"
+    "contains(regexp_replace(lower(text), '[^a-z]', '', 'g'), "
+    f"regexp_replace(lower(source || lang), '[^a-z]', '', 'g')) AS brand FROM (SELECT * REPLACE ({_FAR_BRAND} AS text) FROM documents)"
 )
 def ascii_and_brand(t):
-    return t.documents.select(
+    docs = t.documents.withColumn("text", F.expr(_FAR_BRAND))
+    return docs.select(
         "doc_id", text.ascii_safe(F.col("text")).alias("safe"),
         text.brand_in_body(F.concat("source", "lang"), F.col("text")).alias("brand"),
     )
@@ -368,17 +389,19 @@ def response_normalise(t):
 
 
 _P = tagging.VARIANTS
+_LONG_TURN = "CASE WHEN turn = 0 AND text <> '' THEN text || repeat(' more', 2000) ELSE text END"
 
 
 @proof(
     "SELECT conv_id, turn, " + ", ".join(
         f"{rx(v.instructions)} || 'Title: ' || role || chr(10) || chr(10) || 'Description:' || chr(10) || "
         f"CASE WHEN coalesce(text, '') = '' THEN {rx(v.empty_description)} "
-        f"ELSE substr(text, 1, {v.description_limit}) END AS {n}" for n, v in _P.items()
-    ) + " FROM conversations"
+        f"ELSE text END AS {n}" for n, v in _P.items()
+    ) + f" FROM (SELECT * REPLACE ({_LONG_TURN} AS text) FROM conversations)"
 )
 def prompt_rows(t):
-    return t.conversations.select(
+    turns = t.conversations.withColumn("text", F.expr(_LONG_TURN))
+    return turns.select(
         "conv_id", "turn",
         *[
             tagging.messages(n, F.col("role"), F.col("text"))[1]["content"].alias(n) for n in _P

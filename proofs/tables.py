@@ -599,7 +599,13 @@ def stratified_sample(t):
 
 _FEED = """SELECT id, title, company_slug, url, location, description_md, coalesce(posted_at, scraped_at) AS pub
   FROM jobs_once ORDER BY coalesce(posted_at, scraped_at) DESC, id LIMIT 50"""
-_ONCE = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingest_seq) AS once FROM jobs) WHERE once = 1"""
+_LONGER = "description_md || repeat(' more', 200)"
+_ONCE = f"""SELECT * REPLACE ({_LONGER} AS description_md) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingest_seq) AS once FROM jobs) WHERE once = 1"""
+
+
+def _once(t):
+    jobs = t.jobs.withColumn("description_md", F.expr(_LONGER))
+    return merge.first_per_key(jobs, ["id"], [F.col("ingest_seq")])
 
 
 @proof(
@@ -607,13 +613,12 @@ _ONCE = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY
         """SELECT title || ' — ' || company_slug AS title, url AS link, id AS guid,
           strftime(pub, '%a, %d %b %Y %H:%M:%S +0000') AS pubDate,
           '<b>' || company_slug || '</b> · ' || coalesce(nullif(location, ''), '—') || chr(10) || chr(10) ||
-            substr(description_md, 1, 500) AS description FROM feed""",
+            description_md AS description FROM feed""",
         jobs_once=_ONCE, feed=_FEED,
     )
 )
 def feed_top50(t):
-    jobs = merge.first_per_key(t.jobs, ["id"], [F.col("ingest_seq")])
-    return writers.feed_items(jobs).drop("published")
+    return writers.feed_items(_once(t)).drop("published")
 
 
 _XML = "replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -626,15 +631,14 @@ _XML = "replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
           || strftime({NOW}, '%a, %d %b %Y %H:%M:%S +0000') || '</lastBuildDate><language>en</language>'
           || string_agg('<item><title>' || {_XML.format(x="(title || ' — ' || company_slug)")} || '</title><link>' || url
              || '</link><guid isPermaLink="false">' || id || '</guid><pubDate>' || strftime(pub, '%a, %d %b %Y %H:%M:%S +0000')
-             || '</pubDate><description>' || {_XML.format(x="('<b>' || company_slug || '</b> · ' || coalesce(nullif(location, ''), '—') || chr(10) || chr(10) || substr(description_md, 1, 500))")}
+             || '</pubDate><description>' || {_XML.format(x="('<b>' || company_slug || '</b> · ' || coalesce(nullif(location, ''), '—') || chr(10) || chr(10) || description_md)")}
              || '</description></item>', '' ORDER BY pub DESC, id) || '</channel></rss>' AS xml FROM feed""",
         jobs_once=_ONCE, feed=_FEED,
     )
 )
 def feed_xml(t):
-    jobs = merge.first_per_key(t.jobs, ["id"], [F.col("ingest_seq")])
     return writers.feed_document(
-        writers.feed_items(jobs), title="New postings", link="https://site.test/",
+        writers.feed_items(_once(t)), title="New postings", link="https://site.test/",
         description="Daily", built_at=now(),
     )
 

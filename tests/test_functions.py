@@ -181,7 +181,10 @@ def test_html_to_markdown(run):
         "## Role\n\nBe **bold** & *kind*\n\n* a\n* b\n\nx [y](/y)", "", "",
     ]
     page = "<p>a</p><script>if (a<b) {}</script><style>p{}</style><p>b</p>"
-    assert run(text.page_text, [page, "<p>" + "x" * 40000]) == ["a\n\nb", "x" * 32000]
+    assert run(text.page_text, [page, "<p>" + "x" * 40000]) == ["a\n\nb", "x" * 40000]
+    assert run(lambda c: text.page_text(c, 32000), ["<p>" + "x" * 40000]) == ["x" * 32000]
+    for blank in ("<br>", "<p></p>", "<br />\n", " \t<div> </div>"):
+        assert run(text.page_text, ["a" + blank * 100_000 + "b"]) == ["a\n\nb"]
 
 
 def test_links_and_names(run):
@@ -253,8 +256,9 @@ def test_answer_normalising(run):
 
 def test_prompt_rows(run):
     got = run(lambda t, d: tagging.messages("v2_few_shot", t, d), [("Dev", "x" * 7000), ("Dev", "")])
-    assert got[0][0]["role"] == "system" and got[0][1]["content"].endswith("x" * 5500)
-    assert "x" * 5501 not in got[0][1]["content"]
+    assert got[0][0]["role"] == "system" and got[0][1]["content"].endswith("\n" + "x" * 7000)
+    cut = run(lambda t, d: tagging.messages("v2_few_shot", t, d, 5500), [("Dev", "x" * 7000)])
+    assert cut[0][1]["content"].endswith("\n" + "x" * 5500)
     assert got[1][1]["content"].endswith(V.NO_DESCRIPTION)
     with pytest.raises(ValueError):
         tagging.messages("nope", F.col("a"), F.col("a"))

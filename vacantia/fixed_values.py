@@ -56,15 +56,11 @@ ATS_CLASS_SOURCES = [
 SLUG_LIMIT = 48
 PATH_SLUG_LIMIT = 60
 PREFIXED_SLUG_LIMIT = 64
-PAGE_TEXT_LIMIT = 32000
-BRAND_BODY_LIMIT = 200000
 LISTING_PAGE_SIZE = 100
 SEARCH_PAGE_SIZE = 25
 FRONT_PAGE_COMPANY_CAP = 5
 FEED_ITEMS = 50
-FEED_TEXT_LIMIT = 500
 OSS_STAR_THRESHOLD = 100
-LISTING_BLOCK_LIMIT = 3000
 
 # --- Fixed values: location patterns (Unicode-aware, ignoring case) ------------
 

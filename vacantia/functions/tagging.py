@@ -11,17 +11,20 @@ from pyspark.sql import Column, functions as F
 from vacantia import fixed_values as V
 from vacantia.functions.classify import lookup
 from vacantia.functions.money import canonical_band
-from vacantia.functions.text import grounded, strip
+from vacantia.functions.text import grounded, head, strip
 
 
 @dataclass(frozen=True)
 class PromptVariant:
-    """``system`` message, text before the posting, and how much description to send."""
+    """``system`` message, text before the posting, and how much description to send.
+
+    Without a limit the description goes out whole.
+    """
 
     system: str
     instructions: str
-    description_limit: int
     empty_description: str = ""
+    description_limit: int | None = None
 
 
 _STRICT = (
@@ -51,21 +54,27 @@ _EXAMPLE = (
 )
 
 VARIANTS = {
-    "v0_current": PromptVariant(_STRICT, _FIELDS, 6000),
-    "v1_differentiated": PromptVariant(_INFER, _FIELDS, 6000, V.NO_DESCRIPTION),
-    "v2_few_shot": PromptVariant(_INFER, _FIELDS + _EXAMPLE, 5500, V.NO_DESCRIPTION),
+    "v0_current": PromptVariant(_STRICT, _FIELDS),
+    "v1_differentiated": PromptVariant(_INFER, _FIELDS, V.NO_DESCRIPTION),
+    "v2_few_shot": PromptVariant(_INFER, _FIELDS + _EXAMPLE, V.NO_DESCRIPTION),
 }
 DEFAULT_VARIANT = "v2_few_shot"
 
 
-def messages(variant: str, title: Column, description: Column) -> Column:
-    """``array<struct<role, content>>`` for one posting."""
+def messages(
+    variant: str, title: Column, description: Column, description_limit: int | None = None
+) -> Column:
+    """``array<struct<role, content>>`` for one posting.
+
+    ``description_limit`` characters of the description go out, else what the variant
+    says.
+    """
     if variant not in VARIANTS:
         raise ValueError(f"unknown variant {variant!r}; known: {sorted(VARIANTS)}")
     v = VARIANTS[variant]
     body = F.when(
         F.coalesce(description, F.lit("")) == "", v.empty_description
-    ).otherwise(F.substring(description, 1, v.description_limit))
+    ).otherwise(head(description, description_limit or v.description_limit))
     user = F.concat(
         F.lit(v.instructions), F.lit("Title: "), title, F.lit("\n\nDescription:\n"), body
     )

@@ -48,6 +48,11 @@ def join_present(sep: str, *cols: Column) -> Column:
     return F.array_join(F.filter(F.array(*cols), lambda c: c != ""), sep)
 
 
+def head(col: Column, limit: int | None) -> Column:
+    """The first ``limit`` characters; all of them without a limit."""
+    return col if limit is None else F.substring(col, 1, limit)
+
+
 # --- HTML ---------------------------------------------------------------------
 
 _ENTITIES = [
@@ -55,18 +60,19 @@ _ENTITIES = [
     ("&apos;", "'"), ("&amp;", "&"),
 ]
 # Formatting white space collapses first; line structure then comes from the tags.
+# White space before a tag is taken from where it begins, so that a long run is walked once.
 # A heading's level is kept behind a control character until its marks are spelled.
 _HTML_STEPS = [
     (r"(?is)<(?:!--.*?-->|head\b.*?</head>|!doctype[^>]*>)", ""),
     (r"[ \t\r\n]+", " "),
     (r"(?i) ?<br ?/?> ?", "  \n"),
     (r"(?i)<h([1-6])\b[^>]*>\s*", "\n\n\x01$1 "),
-    (r"(?i)\s*</h[1-6]>\s*|</?(?:ul|ol|p|div|section|article|table|tr|blockquote)\b[^>]*>", "\n\n"),
+    (r"(?i)(?:(?<!\s)\s+)?</h[1-6]>\s*|</?(?:ul|ol|p|div|section|article|table|tr|blockquote)\b[^>]*>", "\n\n"),
     (r"(?i)<li\b[^>]*>\s*", "\n* "),
     (r"(?i)</?(?:b|strong)\b[^>]*>", "**"),
     (r"(?i)</?(?:i|em)\b[^>]*>", "*"),
     (r"""(?i)<a\b[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>""", r"[$2]($1)"),
-    (r"(?i)\s*</li>|<[^>]+>", ""),
+    (r"(?i)(?:(?<!\s)\s+)?</li>|<[^>]+>", ""),
 ]
 _HEADING_MARKS = [(f"\x01{n}", "#" * n) for n in range(1, 7)]
 
@@ -88,12 +94,13 @@ def html_to_markdown(html: Column) -> Column:
     for pattern, repl in _HTML_STEPS:
         out = F.regexp_replace(out, pattern, repl)
     out = _replaced(_replaced(out, _HEADING_MARKS), _ENTITIES)
-    return strip_computed(F.regexp_replace(out, r"[ \t]*\n(?:[ \t]*\n)+", "\n\n"))
+    # Character classes only: a repeated group takes a stack frame per repetition.
+    return strip_computed(F.regexp_replace(out, r"[ \t]*\n[ \t\n]*\n", "\n\n"))
 
 
-def page_text(html: Column) -> Column:
-    """Whole careers page as text: no scripts, no runs of blank lines, length-limited."""
-    return F.substring(html_to_markdown(drop_scripts(html)), 1, V.PAGE_TEXT_LIMIT)
+def page_text(html: Column, limit: int | None = None) -> Column:
+    """Careers page as text: no scripts, no runs of blank lines; cut only on request."""
+    return head(html_to_markdown(drop_scripts(html)), limit)
 
 
 # --- sections and grounding ---------------------------------------------------
@@ -157,10 +164,10 @@ def leading_name(html: Column) -> Column:
     return F.when(usable, name)
 
 
-def brand_in_body(name: Column, body: Column) -> Column:
-    """Letters-only brand name occurs in the letters-only head of a response."""
+def brand_in_body(name: Column, body: Column, limit: int | None = None) -> Column:
+    """Letters-only brand name occurs in the letters-only response, or its first letters."""
     def letters(c: Column) -> Column:
         return F.regexp_replace(F.lower(c), "[^a-z]", "")
 
-    return F.contains(F.substring(letters(body), 1, V.BRAND_BODY_LIMIT), letters(name))
+    return F.contains(head(letters(body), limit), letters(name))
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia import fixed_values as V, schemas
 from vacantia.functions.ids import job_path
-from vacantia.functions.text import or_else
+from vacantia.functions.text import head, or_else
 from vacantia.functions.times import rfc822_text
 from vacantia.operators.ranking import newest
 
@@ -75,14 +75,19 @@ def write_change_log(events: DataFrame, path: str) -> None:
     change_log_rows(events).write.mode("overwrite").text(path)
 
 
-def feed_items(new_jobs: DataFrame, n: int = V.FEED_ITEMS) -> DataFrame:
-    """The ``n`` newest new postings as feed fields, newest first."""
+def feed_items(
+    new_jobs: DataFrame, n: int = V.FEED_ITEMS, text_limit: int | None = None
+) -> DataFrame:
+    """The ``n`` newest new postings as feed fields, newest first.
+
+    ``text_limit`` characters of the description are shown, by default all.
+    """
     when = F.coalesce("posted_at", "scraped_at")
     top = newest(new_jobs, when, "id", n)
     body = F.concat(
         F.lit("<b>"), F.col("company_slug"), F.lit("</b> · "),
         or_else(F.col("location"), F.lit("—")), F.lit("\n\n"),
-        F.substring(F.coalesce("description_md", F.lit("")), 1, V.FEED_TEXT_LIMIT),
+        head(F.coalesce("description_md", F.lit("")), text_limit),
     )
     return top.select(
         F.concat("title", F.lit(" — "), F.col("company_slug")).alias("title"),

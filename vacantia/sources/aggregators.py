@@ -11,7 +11,9 @@ from vacantia.functions.ids import (
     slugify,
     title_from_slug,
 )
-from vacantia.functions.text import html_to_markdown, join_present, or_else, strip, strip_computed
+from vacantia.functions.text import (
+    head, html_to_markdown, join_present, or_else, strip, strip_computed,
+)
 from vacantia.functions.times import iso_or_epoch, iso_time, rfc822_time
 from vacantia.functions.once import evaluate_once
 from vacantia.sources.payloads import aggregator, items, postings, text, titled
@@ -64,8 +66,7 @@ def weworkremotely(payloads: DataFrame) -> DataFrame:
     """RSS; the item title is ``Company: Role``."""
     schema = """channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING,
         description: STRING, region: STRING, pubDate: STRING>>>"""
-    feeds = payloads.filter(F.contains("body", F.lit("<item>")))
-    rows = items(feeds, F.from_xml("body", schema, {"mode": "PERMISSIVE"})["channel"]["item"])
+    rows = items(payloads, F.from_xml("body", schema, {"mode": "PERMISSIVE"})["channel"]["item"])
     split = evaluate_once(rows, parts=F.split(_r("title"), ":", 2))
     rows = evaluate_once(
         split, firm=F.col("parts")[0], role=F.try_element_at(F.col("parts"), F.lit(2))
@@ -123,8 +124,11 @@ _HITS = """hits ARRAY<STRUCT<name: STRING, slug: STRING, language: STRING, remot
     sectors_name: STRUCT<en: ARRAY<MAP<STRING, STRING>>>>>"""
 
 
-def _hits(payloads: DataFrame, *, lane: bool) -> DataFrame:
-    """One hit, one posting. The lane pass keeps fashion sectors, the other tech roles."""
+def _hits(payloads: DataFrame, *, lane: bool, offices: int | None = None) -> DataFrame:
+    """One hit, one posting. The lane pass keeps fashion sectors, the other tech roles.
+
+    The location names the first ``offices`` offices, by default all.
+    """
     rows = items(payloads, F.from_json("body", _HITS)["hits"])
     sectors = _r("sectors_name.en")
     gate = C.lane_relevant(sectors) if lane else C.tech_relevant(_r("name"), sectors)
@@ -138,9 +142,8 @@ def _hits(payloads: DataFrame, *, lane: bool) -> DataFrame:
     language = or_else(_r("language"), F.lit("en"))
     shown_language = F.when(language.isin(V.LISTING_LANGUAGES), language).otherwise("en")
     root = "https://www.welcometothejungle.com/"
-    office = F.transform(
-        F.slice(_r("offices"), 1, 3), lambda o: join_present(", ", o["city"], o["country"])
-    )
+    shown = _r("offices") if offices is None else F.slice(_r("offices"), 1, offices)
+    office = F.transform(shown, lambda o: join_present(", ", o["city"], o["country"]))
     country = or_else(F.try_element_at(_r("offices"), F.lit(1))["country_code"], F.lit("XX"))
     staff = F.coalesce(_r("organization.nb_employees"), F.lit("?"))
     return postings(
@@ -150,7 +153,7 @@ def _hits(payloads: DataFrame, *, lane: bool) -> DataFrame:
             F.concat(F.lit(root + "en/companies/"), org),
             F.concat(
                 F.lit("Aggregated from Welcome to the Jungle ("), staff, F.lit(" employees)"),
-                F.lit(" — Camille lane." if lane else ""),
+                F.lit(" — fashion lane." if lane else ""),
             ),
             _words("fashion") if lane else _words(),
         ),
@@ -168,11 +171,11 @@ def _hits(payloads: DataFrame, *, lane: bool) -> DataFrame:
 
 
 @aggregator("wttj")
-def wttj(payloads: DataFrame) -> DataFrame:
+def wttj(payloads: DataFrame, offices: int | None = None) -> DataFrame:
     """Payloads fetched for the lane carry ``lane`` as their handle."""
     lane = F.coalesce(F.col("handle") == "lane", F.lit(False))
-    return _hits(payloads.filter(~lane), lane=False).unionByName(
-        _hits(payloads.filter(lane), lane=True)
+    return _hits(payloads.filter(~lane), lane=False, offices=offices).unionByName(
+        _hits(payloads.filter(lane), lane=True, offices=offices)
     )
 
 
@@ -193,7 +196,7 @@ def fashionjobs(payloads: DataFrame) -> DataFrame:
         company=_firm(
             company_from_slug(_r("company")), F.lit("FR"), _words(),
             F.concat(F.lit("https://fr.fashionjobs.com/recrutement/"), _r("company"), F.lit(".html")),
-            F.lit("Aggregated from fashionjobs.com (Camille lane)."), _words("fashion"),
+            F.lit("Aggregated from fashionjobs.com (fashion lane)."), _words("fashion"),
         ),
         company_slug=slug, title=title_from_slug(_r("title")), url=_r("url"),
         location=F.lit("France"),
@@ -201,8 +204,11 @@ def fashionjobs(payloads: DataFrame) -> DataFrame:
 
 
 @aggregator("bof")
-def bof(payloads: DataFrame) -> DataFrame:
-    """Listing page of item blocks; only European or remote places stay."""
+def bof(payloads: DataFrame, block_limit: int | None = None) -> DataFrame:
+    """Listing page of item blocks; only European or remote places stay.
+
+    Of each block ``block_limit`` characters are read, by default all.
+    """
     # Blocks start at the item class; what precedes the first one is dropped, and a
     # closing section ends the block it is in.
     opened = F.filter(
@@ -211,9 +217,9 @@ def bof(payloads: DataFrame) -> DataFrame:
     )
     blocks = F.transform(
         opened,
-        lambda b: F.substring(
+        lambda b: head(
             F.regexp_replace(F.split(b, '</section>|class="lister__item')[0], r'^[^"]*"\s+id="item-\d+"', ""),
-            1, V.LISTING_BLOCK_LIMIT,
+            block_limit,
         ),
     )
     found = evaluate_once(
@@ -234,7 +240,7 @@ def bof(payloads: DataFrame) -> DataFrame:
         company=_firm(
             firm, or_else(F.col("gate.country"), F.lit("XX")), _words(),
             F.lit(V.LISTING_BASE + "/careers/"),
-            F.lit("Aggregated from Business of Fashion Careers (Camille lane)."),
+            F.lit("Aggregated from Business of Fashion Careers (fashion lane)."),
             _words("fashion"),
         ),
         company_slug=slug, title=title, url=F.concat(F.lit(V.LISTING_BASE), F.col("path")),

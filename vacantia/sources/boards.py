@@ -134,8 +134,7 @@ def personio(payloads: DataFrame) -> DataFrame:
     schema = """position ARRAY<STRUCT<id: STRING, name: STRING, office: STRING,
         createdAt: STRING, created_at: STRING,
         jobDescriptions: STRUCT<jobDescription: ARRAY<STRUCT<name: STRING, value: STRING>>>>>"""
-    feeds = payloads.filter(F.contains("body", F.lit("<position>")))
-    rows = items(feeds, F.from_xml("body", schema, {"mode": "PERMISSIVE"})["position"])
+    rows = items(payloads, F.from_xml("body", schema, {"mode": "PERMISSIVE"})["position"])
     described = F.transform(
         _r("jobDescriptions.jobDescription"),
         lambda d: join_present(
