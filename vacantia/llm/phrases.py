@@ -92,6 +92,16 @@ def _occurrences(chunk: _Texts, first, last, least) -> tuple[np.ndarray, np.ndar
     # Number the chunk's words, so that automaton and documents are made of small integers.
     _, number = np.unique(words.hash, return_inverse=True)
     number = number.ravel().tolist()
+    # Only what a document loses is a phrase here, and windows that follow one another in a
+    # document with one least id are one phrase.
+    use = np.flatnonzero(chunk.rank[words.text[first]] > least)
+    use = use[np.argsort(first[use], kind="stable")]
+    first, last, least = first[use], last[use], least[use]
+    new = np.ones(len(use), bool)
+    text = words.text[first]
+    new[1:] = (first[1:] != last[:-1] + 1) | (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+    begin = np.flatnonzero(new)
+    first, last, least = first[begin], last[np.r_[begin[1:], len(use)] - 1] if len(use) else last, least[begin]
     phrases: dict[tuple, int] = {}
     for a, b, rank in zip(first.tolist(), last.tolist(), least.tolist()):
         phrase = tuple(number[a : b + WINDOW])
