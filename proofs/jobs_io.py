@@ -10,7 +10,7 @@ from vacantia import schemas
 from vacantia.plans import daily
 from vacantia.session import shared_dir
 from vacantia.sinks import writers
-from vacantia.sources import routes, seed, snapshots
+from vacantia.sources import payloads as P, routes, seed, snapshots
 from vacantia.streaming import incremental
 
 
@@ -104,29 +104,26 @@ def company_routes(t):
 
 
 @proof(
-    """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS snapshot_date, event_type AS extractor, 'u' || user_id AS company_slug,
-      event_type <> 'error' AS success, CAST(floor(value) AS INT) AS job_count, event_id FROM events"""
+    """SELECT CASE WHEN event_id % 2 = 0 THEN '2001-07-01' ELSE '2001-07-02' END AS snapshot_date, event_type AS extractor,
+      'u' || user_id AS company_slug, event_type <> 'error' AS success, CAST(floor(value) AS INT) AS job_count, event_id
+    FROM events"""
 )
 def run_metadata(t):
-    """Documents hold two results each; the log has one row per result."""
-    results = F.from_json(
-        F.to_json(
-            F.array(
-                F.struct(
-                    F.col("event_type").alias("extractor"),
-                    F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("company_slug"),
-                    (F.col("event_type") != "error").alias("success"),
-                    F.floor("value").cast("int").alias("job_count"),
-                    F.col("event_id").cast("int").alias("duration_ms"),
-                )
-            )
-        ),
-        schemas.RUN_METADATA["extractor_results"].dataType,
+    """Two runs write their metadata documents; the scan of the JSON files gives every result."""
+    root = _scratch(t, "metadata")
+    results = t.events.select(
+        F.col("event_type").alias("extractor"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("company_slug"),
+        (F.col("event_type") != "error").alias("success"),
+        F.floor("value").cast("int").alias("job_count"),
+        F.col("event_id").cast("int").alias("duration_ms"), F.lit(None).cast("string").alias("error"),
+        (F.col("event_id") % 2).alias("day"),
     )
-    docs = t.events.select(F.to_date("ts").alias("day"), results.alias("extractor_results"))
-    from vacantia.operators.quality import flatten_runs
-
-    return flatten_runs(docs, F.col("day")).select(
+    header = daily.run_header(t.jobs, t.companies, F.lit("2001-07-01").cast("timestamp"), "1")
+    for k, day in enumerate(("2001-07-01", "2001-07-02")):
+        rows = results.filter(F.col("day") == k).drop("day")
+        writers.write_run_metadata(header, rows, root, day, per_document=200)
+    return snapshots.read_run_log(t.spark, f"{root}/metadata").select(
         F.col("snapshot_date").cast("string").alias("snapshot_date"), "extractor", "company_slug",
         "success", "job_count", F.col("duration_ms").cast("bigint").alias("event_id"),
     )
@@ -230,7 +227,7 @@ def daily_snapshot(t):
     f"""WITH found AS ({_FOUND}), uniq AS ({_UNIQUE})
     SELECT 'c' || c_custkey AS slug, c_name AS name, 'FR' AS country FROM customer
     UNION ALL SELECT DISTINCT company_slug, 'Firm ' || regexp_extract(company_slug, '(\\d+)$', 1),
-      CASE WHEN source = 'remoteok' THEN 'XX' ELSE 'PL' END FROM uniq WHERE source <> 'greenhouse'"""
+      CASE WHEN source = 'remoteok' THEN 'XX' ELSE 'PL' END FROM found WHERE source <> 'greenhouse'"""
 )
 def daily_companies(t):
     run = daily.build_snapshot(_curated(t), _collected(t))
@@ -238,21 +235,59 @@ def daily_companies(t):
 
 
 @proof(
-    f"""WITH found AS ({_FOUND}), uniq AS ({_UNIQUE})
-    SELECT 'greenhouse' AS extractor, 'c' || c_custkey AS company_slug, true AS success, CAST(count(u.url) AS INT) AS job_count
-    FROM customer LEFT JOIN uniq u ON u.company_slug = 'c' || c_custkey AND source = 'greenhouse' GROUP BY c_custkey
-    UNION ALL SELECT s, '(aggregator)', true, CAST((SELECT count(*) FROM uniq WHERE source = s) AS INT)
+    f"""WITH found AS ({_FOUND}), uniq AS ({_UNIQUE}),
+    board AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 2 THEN 'HTTP 503' WHEN c_custkey % 11 = 3 THEN 'Payload does not parse' END AS error,
+      CASE WHEN c_custkey % 7 = 2 THEN 30 ELSE 0 END AS ms FROM customer)
+    SELECT 'greenhouse' AS extractor, 'c' || k AS company_slug, error IS NULL AS success, CAST(count(u.url) AS INT) AS job_count, ms AS duration_ms, error
+    FROM board LEFT JOIN uniq u ON u.company_slug = 'c' || k AND source = 'greenhouse' GROUP BY k, error, ms
+    UNION ALL SELECT s, '(aggregator)', s <> 'bof' AND s <> 'weworkremotely', CAST((SELECT count(*) FROM uniq WHERE source = s) AS INT),
+      CASE WHEN s = 'bof' THEN 12 ELSE 0 END, CASE s WHEN 'bof' THEN 'timeout' WHEN 'weworkremotely' THEN 'Payload does not parse' END
     FROM unnest(['remoteok','weworkremotely','justjoinit','wttj','eures','fashionjobs','bof']) AS x(s)"""
 )
 def daily_run_log(t):
-    run = daily.build_snapshot(_curated(t), _collected(t))
-    return run.run_log.select("extractor", "company_slug", "success", "job_count")
+    """Boards and a feed with broken bodies, and fetches that failed."""
+    payloads = _payload_table(t)
+    board = t.customer.select(
+        F.lit("greenhouse").alias("source"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("company_slug"),
+        F.lit("h").alias("handle"), F.lit(1).alias("page"), F.lit("2002-01-01").cast("timestamp").alias("fetched_at"),
+        F.lit("{oops").alias("body"), "c_custkey",
+    )
+    broken = board.filter("c_custkey % 11 = 3").drop("c_custkey")
+    feed = t.region.select(
+        F.lit("weworkremotely").alias("source"), F.lit("f").alias("company_slug"), F.lit("h").alias("handle"),
+        F.lit(0).alias("page"), F.lit("2002-01-01").cast("timestamp").alias("fetched_at"),
+        F.lit("<rss><channel><item>").alias("body"),
+    )
+    landing = board.filter("c_custkey % 7 = 2").select(
+        "source", "company_slug", F.lit("HTTP 503").alias("error"), F.lit(30).alias("duration_ms")
+    ).unionAll(t.region.filter("r_regionkey = 0").select(F.lit("bof"), F.lit("x"), F.lit("timeout"), F.lit(12)))
+    attempts = P.attempts(payloads.unionByName(broken).unionByName(feed), landing)
+    run = daily.build_snapshot(_curated(t), _collected(t), attempts=attempts)
+    return run.run_log.select("extractor", "company_slug", "success", "job_count", "duration_ms", "error")
+
+
+@proof(
+    f"""SELECT 'jobs' AS kind, substr(sha256(company_slug || ':' || url), 1, 16) AS key FROM ({_FOUND}) WHERE source = 'greenhouse' AND {_KEEP}
+    UNION ALL SELECT 'companies', 'c' || c_custkey FROM customer
+    UNION ALL SELECT 'log', 'c' || c_custkey FROM customer"""
+)
+def daily_boards_only(t):
+    """A run over boards alone: no aggregator columns, companies or log rows."""
+    path = _scratch(t, "boards")
+    daily.collect(_payload_table(t), ["greenhouse"]).write.parquet(path)
+    run = daily.build_snapshot(_curated(t), t.spark.read.parquet(path), sources=["greenhouse"])
+    parts = (("jobs", run.jobs, "id"), ("companies", run.companies, "slug"), ("log", run.run_log, "company_slug"))
+    out = None
+    for kind, df, key in parts:
+        rows = df.select(F.lit(kind).alias("kind"), F.col(key).alias("key"))
+        out = rows if out is None else out.unionAll(rows)
+    return out
 
 
 @proof(
     f"""WITH found AS ({_FOUND}), uniq AS ({_UNIQUE})
     SELECT (SELECT CAST(count(*) AS INT) FROM uniq WHERE {_KEEP}) AS job_count,
-      (SELECT CAST(count(*) AS INT) FROM customer) + (SELECT CAST(count(DISTINCT company_slug) AS INT) FROM uniq WHERE source <> 'greenhouse')
+      (SELECT CAST(count(*) AS INT) FROM customer) + (SELECT CAST(count(DISTINCT company_slug) AS INT) FROM found WHERE source <> 'greenhouse')
         AS company_count, '2' AS pipeline_version"""
 )
 def daily_header(t):

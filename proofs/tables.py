@@ -499,8 +499,9 @@ def best_provider(t):
 
 @proof(
     with_tables(
-        """SELECT company_slug, CAST(c.period AS VARCHAR) AS period, n, lag(n) OVER w AS previous_n, n - lag(n) OVER w AS delta FROM c
-        WINDOW w AS (PARTITION BY company_slug ORDER BY c.period)""",
+        """SELECT company_slug, CAST(c.period AS VARCHAR) AS period, n, p AS previous_n, n - p AS delta
+        FROM (SELECT *, CASE WHEN lag(n) OVER w IS NULL THEN NULL WHEN lag(period) OVER w = period - INTERVAL 7 DAY THEN lag(n) OVER w ELSE 0 END AS p FROM c
+        WINDOW w AS (PARTITION BY company_slug ORDER BY c.period)) c""",
         c="""SELECT company_slug, CAST(date_trunc('week', posted_at) AS DATE) AS period, count(*) AS n FROM jobs
            WHERE posted_at IS NOT NULL GROUP BY 1, 2""",
     )

@@ -176,6 +176,49 @@ def test_streams_resume(spark, tmp_path):
     assert sorted((r["id"], r["tag"]) for r in spark.read.parquet(seen).collect()) == [("1", "a"), ("3", "d")]
 
 
+def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
+    source, log, seen = (str(tmp_path / n) for n in ("in", "log", "seen"))
+    base = spark.createDataFrame([("1", "none"), ("2", "none")], "id string, tag string")
+    for i, rows in enumerate([[("1", "a", 1)], [("2", "b", 2), ("1", "z", 0)]]):
+        feed = f"{source}{i}"
+        spark.createDataFrame(rows, "id string, tag string, n int").coalesce(1).write.parquet(feed)
+        for name, apply in (
+            ("log", incremental.log_updates(log, key="id", sequence="n")),
+            ("seen", incremental.first_seen_batches(spark, seen, key="id", order=[F.col("n")])),
+        ):
+            stream = spark.readStream.schema("id string, tag string, n int").parquet(feed)
+            incremental.upsert_batches(stream, apply, str(tmp_path / f"state-{name}-{i}")).awaitTermination()
+    now = incremental.with_updates(base, log, ["tag"], key="id", sequence="n")
+    assert {r["id"]: r["tag"] for r in now.collect()} == {"1": "a", "2": "b"}
+    assert sorted((r["id"], r["tag"]) for r in spark.read.parquet(seen).collect()) == [("1", "a"), ("2", "b")]
+    incremental.compact(spark, seen, str(tmp_path / "small"))
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "small")).collect()) == ["1", "2"]
+
+
+def test_repeated_ids_do_not_multiply(spark, tmp_path):
+    root = str(tmp_path / "out")
+    curated = schemas.conform(spark.createDataFrame([("acme", "Acme", "greenhouse")], "slug string, name string, ats_provider string"), schemas.COMPANIES)
+    job = '{"title": "%s", "absolute_url": "https://x.test/1", "location": {"name": "Paris"}}'
+    for day, title in (("2026-05-01", "Dev"), ("2026-05-02", "Dev"), ("2026-05-03", "Lead")):
+        body = '{"jobs": [%s, %s]}' % (job % title, job % title)
+        landed = spark.createDataFrame([("greenhouse", "acme", "acme", 0, DAY, body)], schemas.PAYLOADS)
+        daily.run(spark, curated, landed, root, day, ["greenhouse"])
+        stored = snapshots.on_date(snapshots.read_jobs(spark, root), day)
+        assert stored.count() == 2
+        if day == "2026-05-01":
+            tagged = stored.withColumns({"role_family": F.lit("data"), "seniority": F.lit("mid")}).collect()
+            writers.write_snapshot(spark.createDataFrame(tagged, stored.schema), curated, root, day)
+        else:
+            assert {r["role_family"] for r in stored.collect()} == {"data"}
+    events = daily.diff(spark, root, "2026-05-03", "2026-05-02").collect()
+    assert [(e["event"], e["field"], e["new"]) for e in events] == [("changed", "title", "Lead")]
+    log = spark.read.parquet(f"{root}/run_log/snapshot_date=2026-05-03").collect()
+    assert [(r["extractor"], r["job_count"]) for r in log] == [("greenhouse", 2)]
+    again = snapshots.read_run_log(spark, f"{root}/metadata").collect()
+    assert sorted((str(r["snapshot_date"]), r["company_slug"], r["job_count"]) for r in again) == [
+        (day, "acme", 2) for day in ("2026-05-01", "2026-05-02", "2026-05-03")]
+
+
 def test_watermarked_first_seen(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame([("1", DAY), ("1", DAY), ("2", DAY)], "id string, ts timestamp").write.parquet(source)

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.functions.money import band, band_text
-from vacantia.operators.merge import last_per_key
+from vacantia.operators.merge import one_per_id
 
 TRACKED = ["title", "url", "location", "salary", "remote_policy", "seniority"]
 SUMMARY = ["company_slug", "title", "url", "location", "source", "posted_at"]
@@ -34,14 +34,18 @@ def repaired(jobs: DataFrame) -> DataFrame:
 
 
 def _comparable(jobs: DataFrame, sequence: str | None) -> DataFrame:
-    rows = last_per_key(jobs, ["id"], sequence) if sequence else jobs
-    return repaired(rows).select("id", *dict.fromkeys(SUMMARY + TRACKED))
+    columns = list(dict.fromkeys(SUMMARY + TRACKED))
+    rows = repaired(jobs).select("id", *columns, *([sequence] if sequence in jobs.columns else []))
+    return one_per_id(rows, columns, sequence=sequence)
 
 
 def pair_snapshots(
-    today: DataFrame, yesterday: DataFrame, *, sequence: str | None = None
+    today: DataFrame, yesterday: DataFrame, *, sequence: str | None = "ingest_seq"
 ) -> DataFrame:
-    """One row per id of either side: ``id``, structs ``now`` and ``was`` (null if absent)."""
+    """One row per id of either side: ``id``, structs ``now`` and ``was`` (null if absent).
+
+    An id held several times counts with its last row, by ``sequence`` where it is stored.
+    """
     def side(df: DataFrame, name: str) -> DataFrame:
         rows = _comparable(df, sequence)
         return rows.select("id", F.struct(*[c for c in rows.columns if c != "id"]).alias(name))
@@ -54,7 +58,7 @@ def _text(side: Column, field: str) -> Column:
 
 
 def change_events(
-    today: DataFrame, yesterday: DataFrame, *, sequence: str | None = None
+    today: DataFrame, yesterday: DataFrame, *, sequence: str | None = "ingest_seq"
 ) -> DataFrame:
     """The change log: ``new`` rows with summary fields, ``removed`` ids, ``changed`` fields.
 
@@ -156,6 +160,7 @@ def apply_changes(base: DataFrame, events: DataFrame) -> DataFrame:
 
     Used to check a diff: applying diff(a, b) to a gives b on the tracked fields.
     """
+    base = one_per_id(base, [c for c in base.columns if c != "id"], sequence="ingest_seq")
     per_id = (
         events.filter(F.col("event") == "changed")
         .groupBy("id")
@@ -181,9 +186,11 @@ def apply_changes(base: DataFrame, events: DataFrame) -> DataFrame:
 def weekly_velocity(
     jobs: DataFrame, *, key: str = "company_slug", ts: str = "posted_at", period: str = "week"
 ) -> DataFrame:
-    """Count per key and period, with the previous counted period of the same key.
+    """Count per key and period, with the period before it of the same key.
 
-    Rows collapse to one per key and period before the window sees them.
+    A period without rows counts 0: the one right before is looked at, not the last that
+    had rows. The first period of a key has none before. Rows collapse to one per key and
+    period before the window sees them.
     """
     from pyspark.sql import Window
 
@@ -193,7 +200,9 @@ def weekly_velocity(
         .agg(F.count("*").alias("n"))
     )
     w = Window.partitionBy(key).orderBy("period")
-    previous = F.lag("n").over(w)
+    before = F.date_sub("period", 1)
+    right_before = F.lag("period").over(w) == F.date_trunc(period, before).cast("date")
+    previous = F.when(right_before, F.lag("n").over(w)).when(F.lag("n").over(w).isNotNull(), 0)
     return counts.select(
         key, "period", "n", previous.alias("previous_n"), (F.col("n") - previous).alias("delta")
     )

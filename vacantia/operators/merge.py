@@ -21,6 +21,19 @@ def last_per_key(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
     return first_per_key(df, keys, [F.col(sequence).desc()])
 
 
+def one_per_id(
+    df: DataFrame, columns: list[str], *, key: str = "id", sequence: str | None = None
+) -> DataFrame:
+    """One row per key with the given columns: the last by ``sequence`` and then by content.
+
+    Rows that agree in all of them are interchangeable, so the result does not depend on
+    partitioning even where no sequence is stored.
+    """
+    total = [F.to_json(F.struct(*columns)).desc()]
+    order = [F.col(sequence).desc_nulls_last(), *total] if sequence in df.columns else total
+    return first_per_key(df, [key], order).select(key, *[c for c in columns if c != key])
+
+
 def dedupe_by_source_priority(
     jobs: DataFrame, *, key: str = "url", rank: str = "source_rank"
 ) -> DataFrame:
@@ -93,18 +106,19 @@ def without_existing(candidates: DataFrame, existing: DataFrame, key: str = "slu
     return candidates.join(existing.select(key), key, "left_anti")
 
 
-def carry_tags_forward(jobs: DataFrame, prior: DataFrame, *, sequence: str | None = None) -> DataFrame:
+def carry_tags_forward(
+    jobs: DataFrame, prior: DataFrame, *, sequence: str | None = "ingest_seq"
+) -> DataFrame:
     """Fill role_family and seniority from the prior snapshot by id.
 
     Only rows with neither tag take part, and they take the pair as a whole. Of
-    several tagged prior rows with one id the last (by ``sequence``) counts.
+    several tagged prior rows with one id the last counts, by ``sequence`` where the
+    snapshot has it; repeated ids never multiply rows.
     """
     tagged = prior.filter(
         (F.coalesce("role_family", F.lit("")) != "") | (F.coalesce("seniority", F.lit("")) != "")
     )
-    if sequence:
-        tagged = last_per_key(tagged, ["id"], sequence)
-    old = tagged.select(
+    old = one_per_id(tagged, ["role_family", "seniority"], sequence=sequence).select(
         "id",
         F.col("role_family").alias("__role"),
         F.col("seniority").alias("__seniority"),
@@ -130,9 +144,15 @@ def untagged(jobs: DataFrame, *, retag_all: bool = False, limit: int | None = No
     return rows if limit is None else rows.orderBy("id").limit(limit)
 
 
-def overlay(base: DataFrame, updates: DataFrame, columns: list[str], *, key: str = "id") -> DataFrame:
-    """Replace ``columns`` of the rows that have an update; updates are unique by key."""
-    new = updates.select(
+def overlay(
+    base: DataFrame, updates: DataFrame, columns: list[str], *, key: str = "id",
+    sequence: str | None = "ingest_seq",
+) -> DataFrame:
+    """Replace ``columns`` of the rows that have an update.
+
+    Of several updates of a key the last counts, by ``sequence`` where they have it.
+    """
+    new = one_per_id(updates, columns, key=key, sequence=sequence).select(
         key, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__new_{c}") for c in columns]
     )
     joined = base.join(new, key, "left")

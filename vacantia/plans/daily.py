@@ -49,11 +49,18 @@ def build_snapshot(
     *,
     run_at: Column | None = None,
     version: str = "1",
+    attempts: DataFrame | None = None,
+    sources: list[str] | None = None,
 ) -> Run:
-    """Collected postings and seed to kept jobs, merged companies and the run log. Lazy."""
+    """Collected postings and seed to kept jobs, merged companies and the run log. Lazy.
+
+    ``attempts`` are those of `payloads.attempts`; ``sources`` those of the run, by default
+    all.
+    """
     unique = merge.dedupe_by_source_priority(postings)
+    # Companies come from all that was found: only their postings lose to better sources.
     firms = P.companies_of(
-        unique.filter(F.col("source").isin(V.AGGREGATOR_SOURCES))
+        postings.filter(F.col("source").isin(V.AGGREGATOR_SOURCES))
     ).withColumns(
         {
             "source_rank": source_rank(F.col("source")),
@@ -67,30 +74,52 @@ def build_snapshot(
     jobs = schemas.conform(unique, schemas.JOBS)
     keep = C.keep_job(F.col("title"), F.col("remote_policy"), F.col("location"))
     kept, dropped = jobs.filter(keep), jobs.filter(~keep)
-    log = run_log(curated, unique)
+    log = run_log(curated, unique, attempts, sources)
     header = run_header(kept, companies, run_at, version)
     if prior_jobs is not None:
         kept = merge.carry_tags_forward(kept, prior_jobs)
     return Run(kept, dropped, companies, log, header)
 
 
-def run_log(curated: DataFrame, unique: DataFrame) -> DataFrame:
-    """One row per routed company and per aggregator, with its rows after dedupe."""
+def run_log(
+    curated: DataFrame, unique: DataFrame, attempts: DataFrame | None = None,
+    sources: list[str] | None = None,
+) -> DataFrame:
+    """One row per routed company and per aggregator of the run, with its rows after dedupe.
+
+    An error of the route, of the fetch or of the payload makes a row a failure.
+    """
     routed = routes.resolve_routes(curated)
+    if attempts is None:
+        attempts = curated.sparkSession.createDataFrame(
+            [], "source string, company_slug string, error string, duration_ms int"
+        )
+    own = attempts.select(
+        F.col("source").alias("route"), F.col("company_slug").alias("slug"),
+        F.col("error").alias("failed"), "duration_ms",
+    )
     per_company = unique.groupBy(
         F.col("company_slug").alias("slug"), F.col("source").alias("route")
     ).agg(F.count("*").alias("n"))
-    boards = routed.join(per_company, ["slug", "route"], "left").select(
+    error = F.coalesce("error", "failed")
+    boards = routed.join(per_company, ["slug", "route"], "left").join(own, ["slug", "route"], "left").select(
         F.col("route").alias("extractor"), F.col("slug").alias("company_slug"),
-        F.col("error").isNull().alias("success"),
+        error.isNull().alias("success"),
         F.coalesce("n", F.lit(0)).cast("int").alias("job_count"),
-        F.lit(0).alias("duration_ms"), "error",
+        F.coalesce("duration_ms", F.lit(0)).cast("int").alias("duration_ms"), error.alias("error"),
+    )
+    feeds = curated.sparkSession.createDataFrame(
+        [(s, AGGREGATOR_SLUG) for s in V.AGGREGATOR_SOURCES if sources is None or s in sources],
+        "extractor string, company_slug string",
+    )
+    of_feed = own.groupBy(F.col("route").alias("extractor")).agg(
+        F.max("failed").alias("error"), F.sum("duration_ms").cast("int").alias("duration_ms")
     )
-    attempts = curated.sparkSession.createDataFrame(
-        [(s, AGGREGATOR_SLUG, True, 0, None) for s in V.AGGREGATOR_SOURCES],
-        "extractor string, company_slug string, success boolean, duration_ms int, error string",
+    tried = feeds.join(of_feed, "extractor", "left").select(
+        "extractor", "company_slug", F.col("error").isNull().alias("success"),
+        F.coalesce("duration_ms", F.lit(0)).alias("duration_ms"), "error",
     )
-    return boards.unionByName(quality.source_log(unique, attempts))
+    return boards.unionByName(quality.source_log(unique, tried))
 
 
 def run_header(
@@ -112,15 +141,20 @@ def run(
     root: str,
     date: str,
     sources: list[str] | None = None,
+    landing: DataFrame | None = None,
 ) -> None:
     """Build and write the snapshot of ``date``, carrying tags from the latest one.
 
     Parsed postings are staged once: dedupe, companies and run log all start there.
+    ``landing`` tells how the fetches went (see `payloads.attempts`).
     """
     staged = f"{root}/postings/run_date={date}"
     collect(payloads, sources).write.mode("overwrite").parquet(staged)
     prior = snapshots.read_jobs(spark, root).filter(F.col("snapshot_date") < F.lit(date).cast("date"))
-    out = build_snapshot(curated, spark.read.parquet(staged), snapshots.latest(prior))
+    out = build_snapshot(
+        curated, spark.read.parquet(staged), snapshots.latest(prior),
+        attempts=P.attempts(payloads, landing), sources=sources,
+    )
     writers.write_snapshot(out.jobs, out.companies, root, date)
     writers.write_run_metadata(out.header, out.run_log, root, date)
 
@@ -174,9 +208,13 @@ _TAG_COLUMNS = [
 
 
 def apply_answers(jobs: DataFrame, answers: DataFrame) -> DataFrame:
-    """Overlay normalised answers ``(id, body)`` on the snapshot rows."""
-    source = jobs.select("id", strip_boilerplate(F.col("description_md")).alias("__text"))
-    parsed = answers.join(source, "id").withColumn("__a", tagging.parse_answer(F.col("body")))
+    """Overlay normalised answers ``(id, body)`` on the snapshot rows.
+
+    An id counts with one answer and one text, however often either table holds it.
+    """
+    texts = merge.one_per_id(jobs, ["description_md"], sequence="ingest_seq")
+    source = texts.select("id", strip_boilerplate(F.col("description_md")).alias("__text"))
+    parsed = merge.one_per_id(answers, ["body"]).join(source, "id").withColumn("__a", tagging.parse_answer(F.col("body")))
     fields = tagging.normalised_answer(F.col("__a"), F.col("__text"))
     clean = parsed.filter(F.col("__a").isNotNull()).select(
         "id", *[c.alias(n) for n, c in fields.items()]

@@ -44,10 +44,26 @@ def write_snapshot(jobs: DataFrame, companies: DataFrame, root: str, date: str)
     _write_one_date(company_rows(companies), f"{root}/companies", date)
 
 
-def write_run_metadata(header: DataFrame, run_log: DataFrame, root: str, date: str) -> None:
-    """Run header and extractor results, each as its own small table."""
-    header.write.mode("overwrite").json(f"{root}/metadata/{date}")
+def write_run_metadata(
+    header: DataFrame, run_log: DataFrame, root: str, date: str, per_document: int = 1000
+) -> None:
+    """Metadata documents, and the extractor results as a table.
+
+    Each document holds the header and about ``per_document`` results, in a file of its
+    own, so none grows with the number of companies; `read_run_log` reads them back.
+    """
     run_log.write.mode("overwrite").parquet(f"{root}/run_log/snapshot_date={date}")
+    rows = run_log.sparkSession.read.schema(schemas.RESULT).parquet(f"{root}/run_log/snapshot_date={date}")
+    documents = max(1, -(-rows.count() // per_document))
+    part = F.pmod(F.xxhash64("extractor", "company_slug"), F.lit(documents)).cast("int")
+    results = rows.groupBy(part.alias("part")).agg(
+        F.collect_list(F.struct(*schemas.RESULT.names)).alias("extractor_results")
+    )
+    known = header.first().asDict()
+    kinds = {f.name: f.dataType for f in header.schema}
+    results.select(
+        "part", *[F.lit(v).cast(kinds[k]).alias(k) for k, v in known.items()], "extractor_results"
+    ).repartition("part").write.mode("overwrite").partitionBy("part").json(f"{root}/metadata/{date}")
 
 
 def change_log_rows(events: DataFrame) -> DataFrame:

@@ -26,6 +26,14 @@ REPEATING_SOURCES = {
     "wttj": ["id"], "fashionjobs": ["id"], "bof": ["url"],
 }
 
+# What the bodies of a source are; the others are pages, which always parse.
+JSON_SOURCES = [
+    "greenhouse", "lever", "ashby", "smartrecruiters", "recruitee", "workday", "phenom",
+    "remoteok", "justjoinit", "wttj",
+]
+XML_SOURCES = ["personio", "weworkremotely"]
+UNREADABLE = "Payload does not parse"
+
 # Company columns an aggregator posting carries along, prefixed in its rows.
 COMPANY_FIELDS = [
     "name", "country", "categories", "industry_tags", "career_url", "notes",
@@ -106,8 +114,38 @@ def read_all(payloads: DataFrame, sources: list[str] | None = None) -> DataFrame
     out = read_source(payloads, names[0])
     for name in names[1:]:
         out = out.unionByName(read_source(payloads, name), allowMissingColumns=True)
-    missing = [f"company_{n}" for n in COMPANY_FIELDS if f"company_{n}" not in out.columns]
-    return out.withColumns({c: F.lit(None).cast("string") for c in missing})
+    missing = {
+        f"company_{f.name}": F.lit(None).cast(f.dataType)
+        for f in schemas.COMPANIES
+        if f.name in COMPANY_FIELDS and f"company_{f.name}" not in out.columns
+    }
+    return out.withColumns(missing)
+
+
+def attempts(payloads: DataFrame, landing: DataFrame | None = None) -> DataFrame:
+    """``source, company_slug, error, duration_ms`` of every landed source and company.
+
+    A body that does not parse is an error, whatever else was read from its source.
+    ``landing`` holds the fetches with their own ``error`` and ``duration_ms``, also those
+    that brought no payload; its errors come first.
+    """
+    xml = F.from_xml("body", "broken STRING", {"columnNameOfCorruptRecord": "broken"})["broken"]
+    source = F.col("source")
+    broken = F.col("body").isNotNull() & (
+        (source.isin(JSON_SOURCES) & F.try_parse_json("body").isNull())
+        | (source.isin(XML_SOURCES) & xml.isNotNull())
+    )
+    keys = ["source", "company_slug"]
+    read = payloads.groupBy(*keys).agg(F.max(F.when(broken, F.lit(UNREADABLE))).alias("unreadable"))
+    if landing is None:
+        return read.select(*keys, F.col("unreadable").alias("error"), F.lit(0).alias("duration_ms"))
+    fetched = landing.groupBy(*keys).agg(
+        F.max("error").alias("failed"), F.sum("duration_ms").cast("int").alias("duration_ms")
+    )
+    return read.join(fetched, keys, "full_outer").select(
+        *keys, F.coalesce("failed", "unreadable").alias("error"),
+        F.coalesce("duration_ms", F.lit(0)).alias("duration_ms"),
+    )
 
 
 def companies_of(found: DataFrame) -> DataFrame:

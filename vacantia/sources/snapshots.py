@@ -42,8 +42,11 @@ def latest(snapshots: DataFrame) -> DataFrame:
 
 
 def read_run_log(spark: SparkSession, pattern: str) -> DataFrame:
-    """Extractor results of every metadata document; the date is its folder name."""
-    docs = spark.read.schema(schemas.RUN_METADATA).option("multiLine", True).json(pattern)
-    day = F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
+    """Extractor results of every metadata document; the date is the folder it is under."""
+    docs = (
+        spark.read.schema(schemas.RUN_METADATA).option("multiLine", True)
+        .option("recursiveFileLookup", True).json(pattern)
+    )
+    day = F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})/(?:part=\d+/)?[^/]*$", 1)
     dated = docs.withColumn("__day", day.cast("date"))
     return flatten_runs(dated, F.col("__day"))

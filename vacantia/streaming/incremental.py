@@ -1,7 +1,9 @@
 """Incremental forms of the daily batch."""
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,19 +24,53 @@ def first_seen_batches(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function appending the rows whose key was never stored.
 
-    A batch is cut to one row per key before it is shuffled, then checked against
-    the keys of the earlier epochs. A replayed epoch overwrites its own folder.
+    A batch is cut to one row per key before it is shuffled, then checked against the
+    stored keys. Keys are stored by bucket of their hash, so a batch reads only the buckets
+    it has keys of. A replayed epoch overwrites its own folder: epochs are told apart by
+    the run of the query, so a query with a new checkpoint overwrites nothing.
     """
     def apply(batch: DataFrame, epoch: int) -> None:
-        fresh = first_per_key(batch, [key], order)
-        if epoch > 0:
-            seen = spark.read.parquet(root).filter(F.col("epoch") < epoch).select(key)
+        run = _run_of(batch)
+        fresh = first_per_key(batch, [key], order).withColumn("bucket", _bucket(key))
+        try:
+            stored = spark.read.parquet(root)
+        except AnalysisException as exc:
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            stored = None
+        if stored is not None:
+            # At most KEY_BUCKETS numbers; as literals they prune the stored folders.
+            needed = [r[0] for r in fresh.select("bucket").distinct().collect()]
+            own = (F.col("run") == run) & (F.col("epoch") == epoch)
+            seen = stored.filter(F.col("bucket").isin(needed) & ~own).select(key)
             fresh = fresh.join(seen, key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{root}/epoch={epoch}")
+        fresh.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{root}/run={run}/epoch={epoch}"
+        )
 
     return apply
 
 
+KEY_BUCKETS = 64
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _run_of(batch: DataFrame) -> str:
+    """Id of the streaming query, which its checkpoint keeps over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def compact(spark: SparkSession, root: str, target: str) -> None:
+    """Rewrites a log of many epochs as one run of few files, for a new root."""
+    stored = spark.read.parquet(root)
+    columns = [c for c in ("run", "epoch", "bucket") if c in stored.columns]
+    rows = stored.repartition(*(["bucket"] if "bucket" in columns else columns))
+    rows.withColumn("run", F.lit(f"compact-{uuid.uuid4().hex}")).write.mode("overwrite").partitionBy(*columns).parquet(target)
+
+
 def windowed_counts(
     stream: DataFrame, *, keys: list[str], ts: str, size: str, delay: str
 ) -> DataFrame:
@@ -78,11 +114,11 @@ def log_updates(root: str, *, key: str, sequence: str) -> Callable[[DataFrame, i
     """A ``foreachBatch`` function storing each batch's last row per key.
 
     What is written grows with the batch, never with the table; a replayed epoch
-    overwrites its own folder with the same rows.
+    overwrites its own folder with the same rows, one of another run never.
     """
     def apply(batch: DataFrame, epoch: int) -> None:
         last = first_per_key(batch, [key], [F.col(sequence).desc()])
-        last.write.mode("overwrite").parquet(f"{root}/epoch={epoch}")
+        last.write.mode("overwrite").parquet(f"{root}/run={_run_of(batch)}/epoch={epoch}")
 
     return apply
 
@@ -92,5 +128,5 @@ def with_updates(
 ) -> DataFrame:
     """``base`` with the newest logged values; write it out to compact the log."""
     logged = base.sparkSession.read.parquet(root)
-    newest = first_per_key(logged, [key], [F.col("epoch").desc(), F.col(sequence).desc()])
+    newest = first_per_key(logged, [key], [F.col(sequence).desc(), F.col("epoch").desc(), F.col("run")])
     return overlay(base, newest.select(key, *columns), columns, key=key)
