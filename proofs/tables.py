@@ -581,21 +581,29 @@ def leaderboard(t):
     return ranking.leaderboard(facets.counts_by(curated, "company_slug"), 25)
 
 
-_N = 60
-
-
-@proof(
-    f"""WITH k AS (SELECT greatest(1, {_N} // greatest(count(DISTINCT source), 1)) AS target FROM documents),
+def _sample_sql(n: int) -> str:
+    return f"""WITH k AS (SELECT greatest(1, {n} // greatest(count(DISTINCT source), 1)) AS target FROM documents),
     h AS (SELECT greatest(1, target // 2) AS half FROM k),
     r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rn,
             count(*) OVER (PARTITION BY source) AS total FROM documents),
     s AS (SELECT doc_id, source, rn, CASE WHEN rn <= half THEN 0 WHEN rn > total - half THEN 1 ELSE 2 END AS seg FROM r, h)
-    SELECT doc_id, source FROM s ORDER BY CASE WHEN seg = 2 THEN 1 ELSE 0 END, source, CASE WHEN seg = 1 THEN 1 ELSE 0 END, rn LIMIT {_N}"""
-)
+    SELECT doc_id, source FROM s ORDER BY CASE WHEN seg = 2 THEN 1 ELSE 0 END, source, CASE WHEN seg = 1 THEN 1 ELSE 0 END, rn LIMIT {n}"""
+
+
+def _sample(t, n: int):
+    rows = t.documents.select("doc_id", "source", "n_chars")
+    sample = ranking.stratified_sample(rows, n, size=F.col("n_chars"), key="doc_id")
+    return sample.select("doc_id", "source")
+
+
+@proof(_sample_sql(60))
 def stratified_sample(t):
-    return ranking.stratified_sample(
-        t.documents.select("doc_id", "source", "n_chars"), _N, size=F.col("n_chars"), key="doc_id"
-    ).select("doc_id", "source")
+    return _sample(t, 60)
+
+
+@proof(_sample_sql(5000))
+def stratified_sample_large(t):
+    return _sample(t, 5000)
 
 
 _FEED = """SELECT id, title, company_slug, url, location, description_md, coalesce(posted_at, scraped_at) AS pub

@@ -26,7 +26,7 @@ def tables(spark):
     return Tables(spark, FOLDER)
 
 
-@pytest.mark.parametrize("name", ["front_page_cap", "tenant_dedupe", "last_wins", "first_wins", "stratified_sample"])
+@pytest.mark.parametrize("name", ["front_page_cap", "tenant_dedupe", "last_wins", "first_wins"])
 def test_per_key_top_rows_are_limited_before_the_shuffle(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER), "simple")
     assert "WindowGroupLimit" in text and "Partial" in text

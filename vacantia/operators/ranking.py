@@ -133,55 +133,35 @@ def stratified_sample(
     """About ``n`` rows over all strata: half longest, half shortest, padded, cut to ``n``.
 
     With ``distinct=False`` a row that is in both halves of a small stratum comes
-    twice and the padding does not count it twice. Every per-stratum window is
-    limited to what ``n`` rows can need, so no stratum is pulled together whole.
+    twice and the padding does not count it twice. ``key`` is unique. Ranks come from one
+    range sort of stratum, size and key alone, so neither a large stratum nor a large
+    ``n`` meets in one task; only the chosen keys are joined to their rows.
     """
     size = F.length(F.coalesce("description_md", F.lit(""))) if size is None else size
-    base = df.withColumns(
-        {"__size": size, "__stratum": F.coalesce(F.col(stratum).cast("string"), F.lit("unknown"))}
+    base = df.select(
+        F.coalesce(F.col(stratum).cast("string"), F.lit("unknown")).alias("__stratum"),
+        size.alias("__size"), F.col(key).alias("__id"),
     )
-    stratum = "__stratum"
-    down = Window.partitionBy(stratum).orderBy(F.col("__size").desc(), F.col(key))
-    up = Window.partitionBy(stratum).orderBy(F.col("__size"), F.col(key).desc())
-    # A stratum has at most n/2 rows (or one) at either end; padding needs n more.
-    reach = n + max(1, n // 2) + 1
-    strata = base.agg(F.count_distinct(stratum).alias("k"))
-    target = F.greatest(F.lit(1), F.floor(F.lit(n) / F.greatest(strata.scalar(), F.lit(1))))
-    half = F.greatest(F.lit(1), F.floor(target / 2)).cast("int")
-    sizes = base.groupBy(stratum).agg(F.count("*").alias("__total"))
-
-    head = base.withColumn("__rn", F.row_number().over(down)).filter(F.col("__rn") <= reach)
-    head = (
-        head.join(sizes, stratum)
-        .withColumn("__half", half)
-        .withColumn("__in_head", F.col("__rn") <= F.col("__half"))
-        .withColumn(
-            "__in_tail",
-            (F.col("__total") > F.col("__half"))
-            & (F.col("__rn") > F.col("__total") - F.col("__half")),
-        )
-    )
-    tail = (
-        base.withColumn("__up", F.row_number().over(up))
-        .filter(F.col("__up") <= max(1, n // 2))
-        .join(sizes, stratum)
-        .withColumn("__half", half)
-        .withColumn("__rn", F.col("__total") - F.col("__up") + 1)
-        .filter((F.col("__up") <= F.col("__half")) & (F.col("__total") > F.col("__half")))
-    )
-    if distinct:
-        tail = tail.filter(F.col("__rn") > F.col("__half"))
-    keep = [*df.columns, stratum, "__rn"]
-    taken = head.filter("__in_head").select(*keep, F.lit(0).alias("__phase"), F.lit(0).alias("__seg"))
-    taken = taken.unionByName(
-        tail.select(*keep, F.lit(0).alias("__phase"), F.lit(1).alias("__seg"))
-    )
-    padding = head.filter("not __in_head and not __in_tail").select(
-        *keep, F.lit(1).alias("__phase"), F.lit(0).alias("__seg")
-    )
-    return (
-        taken.unionByName(padding)
-        .orderBy("__phase", stratum, "__seg", "__rn")
+    order = [F.col("__size").desc(), F.col("__id")]
+    ranked = positions_within(base, ["__stratum"], order, "__rn")
+    # One row per stratum.
+    totals = ranked.groupBy("__stratum").agg(F.count("*").alias("__total"))
+    target = F.greatest(F.lit(1), F.floor(F.lit(n) / F.greatest(totals.agg(F.count("*")).scalar(), F.lit(1))))
+    half = F.greatest(F.lit(1), F.floor(target / 2)).cast("long")
+    at = ranked.join(totals, "__stratum").withColumn("__half", half)
+    in_head = F.col("__rn") <= F.col("__half")
+    in_tail = (F.col("__total") > F.col("__half")) & (F.col("__rn") > F.col("__total") - F.col("__half"))
+
+    def part(rows: DataFrame, phase: int, seg: int) -> DataFrame:
+        return rows.select("__id", "__stratum", "__rn", F.lit(phase).alias("__phase"), F.lit(seg).alias("__seg"))
+
+    chosen = (
+        part(at.filter(in_head), 0, 0)
+        .unionAll(part(at.filter(in_tail & ~in_head if distinct else in_tail), 0, 1))
+        .unionAll(part(at.filter(~in_head & ~in_tail), 1, 0))
+        .orderBy("__phase", "__stratum", "__seg", "__rn")
         .limit(n)
-        .select(*df.columns)
     )
+    return df.join(chosen, F.col(key) == F.col("__id")).orderBy(
+        "__phase", "__stratum", "__seg", "__rn"
+    ).select(*[df[c] for c in df.columns])
