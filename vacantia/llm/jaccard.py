@@ -33,6 +33,7 @@ BANDS = 28
 PER_BAND = 4
 EPSILON = 1e-4
 STEP = 16  # values compared before the next look at the posterior
+FIRST_BANDS = 2  # bands whose components later bands need not compare again
 BLOCK = 2048  # rows of a bucket that meet in a task
 SET_BLOCK = 256  # the same where shingles are compared
 ROWS = 20_000
@@ -132,12 +133,12 @@ def bytes_matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _prune(enough: np.ndarray, least: tuple[int, int]):
-    """Edges between rows of a bucket that stay likely to reach the threshold."""
+    """Edges between parts of a bucket with rows that stay likely to reach the threshold."""
     p, q = least
 
     def run(table: pa.Table) -> pa.Table:
         order, start, count = pairs.runs(*(np.asarray(table.column(c)) for c in ("key", "low", "high")))
-        ids, n = np.asarray(table.column("class_id"))[order], np.asarray(table.column("n"))[order]
+        n = np.asarray(table.column("n"))[order]
         sign = bytes_matrix(table.column("sign"))[order]
 
         def likely(a, b):
@@ -153,8 +154,10 @@ def _prune(enough: np.ndarray, least: tuple[int, int]):
             out[alive] = True
             return out
 
-        a, b = pairs.star_links(start, count, likely)
-        return pa.table({"a": ids[a], "b": ids[b]})
+        part = np.asarray(table.column("part"))[order]
+        a, b = pairs.star_links(start, count, likely, part)
+        a, b = np.unique(np.stack([part[a], part[b]]), axis=1)
+        return pa.table({"a": a, "b": b})
 
     return run
 
@@ -249,13 +252,26 @@ def similar(
     )
     classes = cut_lineage(classes)
     tasks = max(1, classes.count() * bands // ROWS)
-    banded = classes.select("class_id", F.explode("bands").alias("key"))
-    met = pairs.spread(banded, "key", "class_id", block=block, tasks=tasks, own_pairs=False)
     enough = least_matches(bands * per_band, STEP, least[0] / least[1], epsilon)
-    edges = met.join(classes.select("class_id", "n", "sign"), "class_id").groupBy("task").applyInArrow(
-        _prune(enough, least), "a long, b long"
-    )
-    clusters = cut_lineage(pairs.components(edges).withColumnsRenamed({"id": "class_id", "component": "cluster"}))
+    # The first bands join most of what is alike. The others compare only what is still
+    # apart, so large groups of near copies are not linked anew in every band.
+    parts_ = classes.select("class_id", F.col("class_id").alias("part")).distinct()
+    for begin, end in ((0, FIRST_BANDS), (FIRST_BANDS, bands)):
+        some = F.explode(F.slice("bands", begin + 1, end - begin)).alias("key")
+        banded = classes.join(parts_, "class_id").select("class_id", "part", some)
+        met = pairs.spread(
+            banded, "key", "class_id", block=block, tasks=tasks, own_pairs=False, part="part"
+        )
+        edges = met.join(classes.select("class_id", "n", "sign"), "class_id").groupBy("task").applyInArrow(
+            _prune(enough, least), "a long, b long"
+        )
+        joined = pairs.components(edges)
+        parts_ = cut_lineage(
+            parts_.join(joined, F.col("part") == F.col("id"), "left")
+            .select("class_id", F.coalesce("component", "part").alias("part"))
+        )
+    several = parts_.groupBy(F.col("part").alias("cluster")).agg(F.count("*").alias("size")).filter("size > 1")
+    clusters = parts_.withColumnRenamed("part", "cluster").join(several.select("cluster"), "cluster")
     inside = clusters.join(classes.groupBy("class_id").agg(F.sum("weight").alias("weight")), "class_id")
     sets = texts.withColumnRenamed("doc_id", "class_id").join(inside, "class_id").mapInArrow(
         _shingle_rows(shingle), "class_id long, cluster long, weight long, shingles binary"

@@ -18,17 +18,24 @@ PAIRS = 1 << 19  # pairs compared at a time
 
 def spread(
     rows: DataFrame, key: str, member: str, *, block: int, tasks: int, own_pairs: bool,
-    size: Column | None = None, block_bytes: int = 16 << 20,
+    size: Column | None = None, block_bytes: int = 16 << 20, part: str | None = None,
 ) -> DataFrame:
     """``rows`` of groups with two members or more, dealt to tasks by pairs of blocks.
 
+    With ``part``, only groups whose rows differ in that column.
+
     Adds ``task``, ``low`` and ``high`` (the blocks that meet) and ``own`` (the block of the
     row). With ``own_pairs`` a block also meets itself; otherwise only in a group of one
     block, and whoever compares two blocks compares their members among themselves as well.
     """
     size = F.lit(0) if size is None else size
     groups = (
-        rows.groupBy(key).agg(F.count("*").alias("__n"), F.sum(size).alias("__bytes")).filter("__n > 1")
+        rows.groupBy(key)
+        .agg(
+            F.count("*").alias("__n"), F.sum(size).alias("__bytes"),
+            F.min(part or key).alias("__low"), F.max(part or key).alias("__high"),
+        )
+        .filter("__low <> __high" if part else "__n > 1")
     )
     blocks = F.ceil(F.greatest(F.col("__n") / block, F.col("__bytes") / block_bytes)).cast("int")
     out = rows.join(groups.select(key, F.greatest(blocks, F.lit(1)).alias("__blocks")), key)
@@ -64,9 +71,13 @@ def batches(start: np.ndarray, count: np.ndarray, own: np.ndarray) -> Iterator[t
         a = b
 
 
-def star_links(start: np.ndarray, count: np.ndarray, test: Callable) -> tuple[np.ndarray, np.ndarray]:
+def star_links(
+    start: np.ndarray, count: np.ndarray, test: Callable, part: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is linked within each run of rows.
 
+    Rows of one ``part`` are connected already: they are not tested and give no link.
+
     All rows are tested against the first of their run; those that fail, against all others.
     A run whose rows are mostly alike so takes few tests, and no link between two rows of
     it stays unknown that would connect more.
@@ -74,16 +85,19 @@ def star_links(start: np.ndarray, count: np.ndarray, test: Callable) -> tuple[np
     n = int(count.sum())
     first = np.repeat(start, count)
     row = np.arange(n)
-    inner = np.flatnonzero(row != first)
+    part = row if part is None else part
+    alike = part == part[first]
+    inner = np.flatnonzero(~alike)
     ok = np.zeros(n, bool)
     for i in range(0, len(inner), PAIRS):
         some = inner[i : i + PAIRS]
         ok[some] = test(first[some], some)
     a, b = [first[ok]], [row[ok]]
-    rest = np.flatnonzero(~ok & (row != first))
+    ok |= alike
+    rest = np.flatnonzero(~ok)
     end = np.repeat(start + count, count)
     for x, y in batches(first[rest] + 1, end[rest] - first[rest] - 1, rest):
-        use = (x != y) & (ok[y] | (x < y))
+        use = (part[x] != part[y]) & (ok[y] | (x < y))
         x, y = x[use], y[use]
         good = test(x, y)
         a.append(x[good])
