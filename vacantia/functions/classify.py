@@ -3,7 +3,9 @@
 from pyspark.sql import Column, functions as F
 
 from vacantia import fixed_values as V
-from vacantia.functions.regexes import contains_any, first_rule, has, unicode_regex
+from vacantia.functions.regexes import (
+    contains_any, first_rule, has, is_ascii, plain_regex, unicode_regex,
+)
 from vacantia.functions.text import or_else, strip
 
 
@@ -49,8 +51,20 @@ def eu_signal(location: Column) -> Column:
     return (low == "") | contains_any(low, V.EU_SIGNAL_WORDS)
 
 
-def eu_or_remote(location: Column) -> Column:
-    """``struct<keep, country, remote_policy>``: worldwide > remote EU > EU country."""
+def eu_country_named(location: Column) -> Column:
+    """The EU country named in a location, capitalised; empty without one."""
+    found = F.when(
+        is_ascii(location), F.regexp_extract(location, plain_regex(V.EU_COUNTRY_TEXT), 1)
+    ).otherwise(F.regexp_extract(location, unicode_regex(V.EU_COUNTRY_TEXT), 1))
+    return F.initcap(found)
+
+
+def eu_or_remote(location: Column, named: Column | None = None) -> Column:
+    """``struct<keep, country, remote_policy>``: worldwide > remote EU > EU country.
+
+    ``named`` is `eu_country_named` where the caller has evaluated it; it is used several
+    times here.
+    """
     def verdict(keep: bool, country: Column, policy: str | None) -> Column:
         return F.struct(
             F.lit(keep).alias("keep"),
@@ -58,7 +72,7 @@ def eu_or_remote(location: Column) -> Column:
             F.lit(policy).cast("string").alias("remote_policy"),
         )
 
-    country = F.initcap(F.regexp_extract(location, unicode_regex(V.EU_COUNTRY_TEXT), 1))
+    country = eu_country_named(location) if named is None else named
     code = F.coalesce(lookup(V.EU_COUNTRY_CODES, country), F.lit("XX"))
     return (
         F.when(F.coalesce(location, F.lit("")) == "", verdict(False, F.lit(None), None))

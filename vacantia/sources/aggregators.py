@@ -229,7 +229,8 @@ def bof(payloads: DataFrame, block_limit: int | None = None) -> DataFrame:
         place=strip_computed(F.regexp_extract("raw", V.LISTING_LOCATION, 1)),
         brand=strip_computed(F.regexp_extract("raw", V.LISTING_BRAND, 1)),
     )
-    rows = evaluate_once(found.filter(F.col("path") != ""), gate=C.eu_or_remote(F.col("place")))
+    found = evaluate_once(found.filter(F.col("path") != ""), named=C.eu_country_named(F.col("place")))
+    rows = evaluate_once(found, gate=C.eu_or_remote(F.col("place"), F.col("named")))
     rest = F.btrim(F.substr("full_title", F.length("brand") + 1), F.lit(" :,-"))
     starts = (F.col("brand") != "") & F.lower("full_title").startswith(F.lower("brand"))
     title = or_else(F.when(starts, rest).otherwise(F.col("full_title")), F.col("full_title"))
