@@ -19,7 +19,6 @@ item), so what is broadcast is bounded whatever its size. With more than one blo
 documents pass through one scan per block, with a checkpoint between.
 """
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vacantia.llm.arrays import (
-    ALNUM, LOWER, U64, Words, covered, expand, parts, span_hashes, text_bytes, unique_pairs,
+    ALNUM, LOWER, U64, Words, covered, expand, parts, text_bytes, unique_pairs,
 )
 from vacantia.session import cut_lineage
 

@@ -10,7 +10,7 @@ Law: ``rows``. Shard sizes differ by one row at most, whatever the hot values ar
 form the lowest cell of their dimension; a null or empty text counts 0 bytes (size 16,
 crc 0); rows with null or equal ids follow one another in the order of crc and size;
 repeated rows take neighbouring slots; of an empty table nothing comes. Other columns pass
-through.
+through, but for those named like a result, which the result replaces.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -110,7 +110,8 @@ def shard(
     new = {
         "curve": curve_index(at, bits), "size": size, "text_crc32": F.crc32(body), "law": F.lit("rows"),
     }
-    kept = [c for c in docs.columns if c not in {*new, "shard", "slot", "grown_shard", "__place"}]
+    own = {*new, "shard", "slot", "grown_shard", "__place"}
+    kept = [c for c in docs.columns if c.lower() not in own]
     placed = docs.select(*(kept if keep else ["doc_id"]), *[c.alias(k) for k, c in new.items()])
     total = docs.count()
     ranked = positions(placed, [F.col(c) for c in ("curve", "doc_id", "text_crc32", "size")], "__place")
