@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from proofs.base import COUNTRIES, LOCATIONS, TITLES, pick, proof, rx, stamp, with_tables
 from proofs.rules import _KEEP
 from vacantia import schemas
+from vacantia.operators import changes
 from vacantia.plans import daily
 from vacantia.session import shared_dir
 from vacantia.sinks import writers
@@ -374,3 +375,65 @@ def stream_upsert(t):
     return incremental.with_updates(
         base, f"{root}/log", ["tag"], key="id", sequence="event_id"
     )
+
+
+@proof("SELECT DISTINCT event_type || '-' || user_id AS key FROM events")
+def stream_first_seen(t):
+    """The watermarked form: one row per key while the delay covers the feed."""
+    root = _scratch(t, "first-seen")
+    keyed = _stream(t, "events").withColumn(
+        "key", F.concat_ws("-", "event_type", F.col("user_id").cast("string"))
+    )
+    seen = incremental.first_seen(keyed, key="key", ts="ts", delay="1000 days").select("key")
+    incremental.drain(seen, f"{root}/table", f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/table")
+
+
+# --- composed jobs on repeated ids ---------------------------------------------
+
+
+@proof(
+    with_tables(
+        """SELECT CASE o_orderstatus WHEN 'F' THEN 'removed' ELSE 'changed' END AS event, CAST(ingest_seq AS VARCHAR) AS id,
+          CASE o_orderstatus WHEN 'P' THEN 'title' END AS field, CASE o_orderstatus WHEN 'P' THEN title END AS old,
+          CASE o_orderstatus WHEN 'P' THEN 'Revised ' || title END AS new FROM jobs WHERE o_orderstatus <> 'O'"""
+    )
+)
+def daily_diff(t):
+    """Two written snapshots that hold every id twice; one event per id and field."""
+    root = _scratch(t, "diff")
+    jobs = t.jobs.withColumn("id", F.col("ingest_seq").cast("string"))
+    title = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("Revised "), "title")).otherwise(F.col("title"))
+    today = jobs.filter("o_orderstatus <> 'F'").withColumn("title", title)
+    writers.write_snapshot(jobs.unionAll(jobs), t.companies, root, "2024-01-01")
+    writers.write_snapshot(today.unionAll(today), t.companies, root, "2024-01-02")
+    events = daily.diff(t.spark, root, "2024-01-02", "2024-01-01")
+    return events.select("event", "id", "field", "old", "new")
+
+
+@proof(with_tables("SELECT 'new' AS event, id, count(*) AS n FROM (SELECT DISTINCT id FROM jobs) GROUP BY ALL"))
+def first_day_diff(t):
+    """A diff against a day that was never written: all is new, each id once."""
+    before = snapshots.read_jobs(t.spark, _scratch(t, "nothing")).drop("snapshot_date")
+    events = changes.change_events(schemas.conform(t.jobs, schemas.JOBS), before)
+    return events.groupBy("event", "id").agg(F.count("*").alias("n"))
+
+
+
+@proof(
+    with_tables(
+        f"""SELECT ingest_seq, CASE WHEN hit THEN 'data' ELSE role_family END AS role_family,
+          CASE WHEN hit THEN 'senior' ELSE seniority END AS seniority, CASE WHEN hit THEN NULL ELSE remote_policy END AS remote_policy
+        FROM (SELECT *, bool_or(ingest_seq % 3 = 0 AND o_orderstatus <> 'P') OVER (PARTITION BY id) AS hit FROM jobs)"""
+    )
+)
+def answers_overlay(t):
+    """Tagger answers over a snapshot with repeated ids; answers come twice as well."""
+    body = '{"role_family": "Data", "seniority": " SENIOR", "remote_policy": "moon"}'
+    answers = t.jobs.filter("ingest_seq % 3 = 0 AND o_orderstatus <> 'P'").select("id", F.lit(body).alias("body"))
+    tagged = daily.apply_answers(
+        t.jobs.withColumns({"visa_sponsorship": F.lit(None).cast("boolean"), **{
+            c: F.array().cast("array<string>") for c in ("stack", "languages")}}),
+        answers.unionAll(answers),
+    )
+    return tagged.select("ingest_seq", "role_family", "seniority", "remote_policy")
