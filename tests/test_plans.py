@@ -38,6 +38,21 @@ def test_no_cross_joins(spark, name):
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
+def test_a_built_snapshot_exchanges_by_url_in_the_dedupe_alone(spark, tables):
+    from proofs import jobs_io
+    from vacantia.plans import daily
+
+    found = jobs_io._collected(tables)
+    assert "hashpartitioning(url" in plan(daily.deduped(found), "simple")
+    path = jobs_io._scratch(tables, "unique")
+    daily.deduped(found).write.parquet(path)
+    run = daily.build_snapshot(jobs_io._curated(tables), found, unique=spark.read.parquet(path))
+    for df in (run.jobs, run.dropped, run.companies, run.run_log, run.header):
+        text = plan(df, "simple")
+        assert "hashpartitioning(url" not in text
+        assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
 def test_counts_are_combined_before_the_shuffle(tables):
     text = plan(merge.dedupe_by_source_priority(tables.jobs), "simple")
     assert "partial_min" in text and "Window [" not in text

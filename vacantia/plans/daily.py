@@ -42,6 +42,15 @@ def collect(payloads: DataFrame, sources: list[str] | None = None) -> DataFrame:
     return found.withColumn("source_rank", source_rank(F.col("source")))
 
 
+def deduped(postings: DataFrame) -> DataFrame:
+    """Postings whose URL no better source has, with ``kept`` by the title and place rules.
+
+    Write it before building on it: jobs, log and header all read it.
+    """
+    keep = C.keep_job(F.col("title"), F.col("remote_policy"), F.col("location"))
+    return merge.dedupe_by_source_priority(postings).withColumn("kept", keep)
+
+
 def build_snapshot(
     curated: DataFrame,
     postings: DataFrame,
@@ -51,13 +60,14 @@ def build_snapshot(
     version: str = "1",
     attempts: DataFrame | None = None,
     sources: list[str] | None = None,
+    unique: DataFrame | None = None,
 ) -> Run:
     """Collected postings and seed to kept jobs, merged companies and the run log. Lazy.
 
     ``attempts`` are those of `payloads.attempts`; ``sources`` those of the run, by default
-    all.
+    all; ``unique`` is `deduped` of the postings, where it is written already.
     """
-    unique = merge.dedupe_by_source_priority(postings)
+    unique = deduped(postings) if unique is None else unique
     # Companies come from all that was found: only their postings lose to better sources.
     firms = P.companies_of(
         postings.filter(F.col("source").isin(V.AGGREGATOR_SOURCES))
@@ -71,9 +81,9 @@ def build_snapshot(
         schemas.conform(curated, schemas.COMPANIES),
         firms.drop("source", "page", "item"),
     )
-    jobs = schemas.conform(unique, schemas.JOBS)
-    keep = C.keep_job(F.col("title"), F.col("remote_policy"), F.col("location"))
-    kept, dropped = jobs.filter(keep), jobs.filter(~keep)
+    kept, dropped = (
+        schemas.conform(unique.filter(rows), schemas.JOBS) for rows in (F.col("kept"), ~F.col("kept"))
+    )
     log = run_log(curated, unique, attempts, sources)
     header = run_header(kept, companies, run_at, version)
     if prior_jobs is not None:
@@ -145,15 +155,19 @@ def run(
 ) -> None:
     """Build and write the snapshot of ``date``, carrying tags from the latest one.
 
-    Parsed postings are staged once: dedupe, companies and run log all start there.
+    Parsed postings are staged once, and so are the deduped ones with their verdicts.
     ``landing`` tells how the fetches went (see `payloads.attempts`).
     """
     staged = f"{root}/postings/run_date={date}"
     collect(payloads, sources).write.mode("overwrite").parquet(staged)
+    found = spark.read.parquet(staged)
+    # Deduped once: the exchange on url happens here and nowhere else.
+    once = f"{root}/unique/run_date={date}"
+    deduped(found).write.mode("overwrite").parquet(once)
     prior = snapshots.read_jobs(spark, root).filter(F.col("snapshot_date") < F.lit(date).cast("date"))
     out = build_snapshot(
-        curated, spark.read.parquet(staged), snapshots.latest(prior),
-        attempts=P.attempts(payloads, landing), sources=sources,
+        curated, found, snapshots.latest(prior), attempts=P.attempts(payloads, landing),
+        sources=sources, unique=spark.read.parquet(once),
     )
     writers.write_snapshot(out.jobs, out.companies, root, date)
     writers.write_run_metadata(out.header, out.run_log, root, date)
