@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vacantia.llm.arrays import U64, Words, expand, mix, parts
-from vacantia.llm.contamination import free_name, lower_words
+from vacantia.llm.contamination import free_name, lower_words, member
 
 SAMPLE_ROWS = 6_000
 SAMPLE_BYTES = 32_768
+FIT_ROWS = 500  # rows looked at together while fitting
 FEATURES = 4096
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are features besides the word
 LEAST_DOCS = 3
@@ -136,40 +137,62 @@ def noisy_or(logits: np.ndarray, first: np.ndarray) -> np.ndarray:
     return -np.expm1(np.add.reduceat(left, first[:-1])) if len(first) > 1 else np.zeros(0)
 
 
-def fit(texts: pa.Array, labels: np.ndarray) -> Model:
-    y = np.asarray(labels, np.float64)
-    share = y.mean() if len(y) else 0.0
-    none = np.zeros(0, U64)
-    if share in (0.0, 1.0):
-        return Model(none, np.zeros(0), 40.0 if share else -800.0)
-    s = Sentences(texts)
+def _steps(n: int) -> range:
+    return range(0, n, FIT_ROWS)
+
+
+def _document_counts(s: Sentences, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of some texts, how many of these have each, and how many with label 1."""
     word, value = s.features()
-    # Documents of each kind that a feature is in.
     known, feature = np.unique(value, return_inverse=True)
     order = np.argsort(word, kind="stable")
     bounds = np.searchsorted(word[order], np.arange(len(s.distinct) + 1))
-    doc_word = np.unique(s.words.text * len(s.distinct) + s.number)
-    doc, of = doc_word // len(s.distinct), doc_word % len(s.distinct)
+    pair = np.unique(s.words.text * max(1, len(s.distinct)) + s.number)
+    doc, of = pair // max(1, len(s.distinct)), pair % max(1, len(s.distinct))
     slot, at = expand(bounds[of], np.diff(bounds)[of])
     pair = np.unique(feature[order[slot]] * len(y) + doc[at])
-    del doc_word, slot, at
-    in_doc, of_label = pair // len(y), y[pair % len(y)]
-    total, ones = np.bincount(in_doc, minlength=len(known)), np.bincount(in_doc, of_label, len(known))
+    in_doc, label = pair // len(y), y[pair % len(y)]
+    return known, np.bincount(in_doc, minlength=len(known)), np.bincount(in_doc, label, len(known))
+
+
+def fit(texts: pa.Array, labels: np.ndarray) -> Model:
+    y = np.asarray(labels, np.float64)
+    share = y.mean() if len(y) else 0.0
+    none = np.zeros(0, U64)
+    if share in (0.0, 1.0):
+        return Model(none, np.zeros(0), 40.0 if share else -800.0)
+    # Documents of each kind that a feature is in, some documents at a time.
+    counted = [_document_counts(Sentences(texts.slice(a, FIT_ROWS)), y[a : a + FIT_ROWS]) for a in _steps(len(y))]
+    known, at = np.unique(np.concatenate([c[0] for c in counted]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([c[1] for c in counted]))
+    ones = np.bincount(at, np.concatenate([c[2] for c in counted]))
     z = (ones - total * share) / np.sqrt(total * share * (1 - share))
     use = np.flatnonzero((total >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z))
     use = np.sort(use[np.argsort(-np.abs(z[use]), kind="stable")[:FEATURES]])
-    # Entries (sentence, chosen feature) of all words.
-    place = np.full(len(known), -1)
-    place[use] = np.arange(len(use))
-    chosen = order[place[feature[order]] >= 0]
-    bounds = np.searchsorted(word[chosen], np.arange(len(s.distinct) + 1))
-    slot, at = expand(bounds[s.number], np.diff(bounds)[s.number])
-    column, row = place[feature[chosen[slot]]], s.of_word[at]
+    chosen = known[use]
+    del counted, known, at
+    # Entries (sentence, chosen feature) of all words, and the text of each sentence.
+    rows, columns, texts_of, count, base = [], [], [], [], 0
+    for a in _steps(len(y)):
+        s = Sentences(texts.slice(a, FIT_ROWS))
+        word, value = s.features()
+        hit, place = member(value, chosen)
+        word, place = word[hit], place[hit]
+        order = np.argsort(word, kind="stable")
+        bounds = np.searchsorted(word[order], np.arange(len(s.distinct) + 1))
+        slot, which = expand(bounds[s.number], np.diff(bounds)[s.number])
+        rows.append(s.of_word[which] + base)
+        columns.append(place[order[slot]])
+        texts_of.append(s.text + a)
+        count.append(s.count)
+        base += len(s.text)
+    row, column = np.concatenate(rows), np.concatenate(columns)
+    text_of, count = np.concatenate(texts_of), np.concatenate(count)
     # Only sentences with a chosen feature differ; the others of a text are counted.
     some, row = np.unique(row, return_inverse=True)
-    text = s.text[some]
-    blank = s.count - np.bincount(text, minlength=len(y))
-    w, bias = np.zeros(len(use)), -np.log(s.count.mean() / max(share, 1e-3) + 1)
+    text = text_of[some]
+    blank = count - np.bincount(text, minlength=len(y))
+    w, bias = np.zeros(len(use)), -np.log(count.mean() / max(share, 1e-3) + 1)
     speed, force, b_speed, b_force = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
         logit = np.bincount(row, w[column], len(some)) + bias
@@ -185,7 +208,7 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
         a, c = 1 - 0.9**step, 1 - 0.999**step
         w = w - RATE * (speed / a) / (np.sqrt(force / c) + 1e-8)
         bias -= RATE * (b_speed / a) / (np.sqrt(b_force / c) + 1e-8)
-    return Model(known[use], w, float(bias))
+    return Model(chosen, w, float(bias))
 
 
 def train(
