@@ -382,7 +382,7 @@ def search(
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // chunk_bytes))
-    buckets, piece_buckets = max(1, -(-chunks // 3)), chunks
+    buckets, piece_buckets = max(1, -(-chunks // 3)), 4 * chunks
     # Rows without an id are dealt by their text.
     key = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
     dealt = docs.select(F.pmod(key, F.lit(chunks)).cast("int").alias("chunk"), "doc_id", "text").repartition("chunk")
