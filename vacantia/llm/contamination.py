@@ -33,7 +33,7 @@ from vacantia.session import cut_lineage
 WINDOW = 13
 SHARE = 20  # contaminated from one word in so many
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 _IDS_PER_KEY = 3
 _BITS = U64(21)  # three word numbers to a 64-bit key; a block holds fewer than 2**21 words
 

@@ -37,7 +37,7 @@ FIRST_BANDS = 2  # bands whose components later bands need not compare again
 BLOCK = 2048  # rows of a bucket that meet in a task
 SET_BLOCK = 256  # the same where shingles are compared
 ROWS = 20_000
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 
 
 def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ LEAST_Z = 4.0
 ROUNDS = 400
 RATE = 0.1
 DECAY = 1e-4
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 OFFENDING = 0.5
 
 _ENDS = np.zeros(256, bool)
