@@ -72,6 +72,16 @@ def test_edge_rows(spark):
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("sizes", [(2, 4), (3, 8)])
+def test_near_groups_of_different_lengths(spark, sizes):
+    rows = []
+    for k, size in enumerate(sizes):
+        rows += [(1000 * k + i, v, 1, "x") for i, v, *_ in clusters(5 + k, 40, 0.02, size)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert order(map(tuple, got)) == order(plain(rows))
+    assert {r[0] // 1000 for r in got if r[1]} == {0, 1}
+
+
 def test_tables_find_pairs_at_the_threshold():
     per_table, tables = embeddings.table_shape(100_000, 0.98, 2.0, 1e-5)
     rng = np.random.default_rng(1)

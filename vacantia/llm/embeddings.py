@@ -166,13 +166,16 @@ def near_duplicates(
         _hash(seed, tables, per_table, width), "vec_id long, keys array<long>"
     ).select("vec_id", F.explode("keys").alias("key"))
     met = pairs.spread(keyed, "key", "vec_id", block=block, tasks=tasks, own_pairs=False)
-    edges = met.join(units.select("vec_id", "label", "unit"), "vec_id").groupBy("task").applyInArrow(
-        _join(least), "a long, b long"
-    )
+    # A task's table is one matrix, so vectors of different length go to it apart.
+    length = F.size("unit")
+    edges = met.join(units.select("vec_id", "label", "unit"), "vec_id").withColumn("length", length)
+    edges = edges.groupBy("task", "length").applyInArrow(_join(least), "a long, b long")
     joined = cut_lineage(pairs.components(edges).select(F.col("id").alias("vec_id"), "component"))
     inside = units.join(joined, "vec_id")
     met = pairs.spread(inside, "component", "vec_id", block=block, tasks=max(1, tasks // tables), own_pairs=True)
-    links = met.groupBy("task").applyInArrow(_count(least), "vec_id long, links long")
+    links = met.withColumn("length", length).groupBy("task", "length").applyInArrow(
+        _count(least), "vec_id long, links long"
+    )
     links = links.groupBy("vec_id").agg(F.sum("links").alias("links"))
     known = (
         units.select("vec_id", "weight").join(joined, "vec_id", "left").join(links, "vec_id", "left")
