@@ -91,6 +91,30 @@ def test_query_on_documents(spark):
     assert order(queries.op9_licenses(spark, folder).collect()) == order(plain(rows))
 
 
+def test_common_words_weigh_alike_at_any_size(spark):
+    line = "Released under the MIT License see"
+    for n in (20, 2000):
+        rows = [(i, "released\nunder\nthe\nmit\nlicense\nsee" if i % 5 < 3 else "other", f"d{i}/x") for i in range(n)]
+        df = spark.createDataFrame([*rows, (n, line, "own/x")], "doc_id long, text string, path string")
+        got = {r["doc_id"]: r for r in licenses.licenses(df, F.col("path")).collect()}
+        assert got[n]["license"] == "MIT" and got[n]["origin"] == "own"
+        # All six words are in the same number of texts.
+        assert abs(got[n]["cosine"] - (5 / 6) ** 0.5) < 1e-6
+        assert all(got[i]["license"] is None for i in range(n))
+
+
+def test_other_words_by_their_real_frequencies(spark):
+    line = "Released under the MIT License see see docs"
+    rows = [(i, ["see", "docs\nsee", "x"][i % 3], f"d{i}/x") for i in range(300)] + [(300, line, "own/x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    seen = {"see": 201, "docs": 101}
+    weight = lambda w: math.log(302 / (seen.get(w, 1) + 1)) + 1
+    known = 5 * weight("mit") ** 2
+    want = math.sqrt(known / (known + (2 * weight("see")) ** 2 + weight("docs") ** 2))
+    got = [r for r in licenses.licenses(df, F.col("path")).collect() if r["doc_id"] == 300]
+    assert abs(got[0]["cosine"] - want) < 1e-6
+
+
 @pytest.mark.parametrize("path,want", [("a/b/c", "a/b"), ("a", ""), ("", ""), (None, ""), ("/x", ""), ("a//b", "a/")])
 def test_directory(spark, path, want):
     df = spark.createDataFrame([(path,)], "p string")

@@ -1,8 +1,8 @@
 """License scans: TF-IDF cosine of lines to templates, then inheritance down directories.
 
-Every line of every text is a sparse TF-IDF vector (document frequencies of the templates'
-words over the whole corpus; a word of no template weighs as if it were in one document
-only). Its cosine to the closest template of at least ``LEAST`` makes it a license line.
+Every line of every text is a sparse TF-IDF vector (document frequencies of all words over
+the whole corpus; only those of the templates' words reach the tasks whole, the others are
+joined to the words of lines that can be license lines). Its cosine to the closest template of at least ``LEAST`` makes it a license line.
 The best one licenses its own file. A file named like a license file, or of whose words
 license lines make up ``FILE_SHARE`` or more, licenses its directory too. A file without a
 license line takes the license of the nearest directory above it that has one.
@@ -17,13 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.arrays import Words, parts
+from vacantia.llm.arrays import Words, parts, unique_pairs
 from vacantia.llm.contamination import lower_words, member
+from vacantia.session import cut_lineage
 
 LEAST = 0.6
 FILE_SHARE = 0.25
 FILE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([.-].*)?$"
 PART_BYTES = 4 << 20
+BAG = ["own", "product", "norm", "words", "times"]  # what the cosine of a line depends on
 
 # License names and the sentences by which files refer to them.
 TEMPLATES = [
@@ -52,49 +54,44 @@ TEMPLATES = [
 ]
 
 
-def frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
-    """In how many texts each word of the templates is, and how many texts there are."""
+def frequencies(docs: DataFrame) -> DataFrame:
+    """In how many texts each word is: ``word`` (hash) and ``n``."""
 
     def count(batches):
-        seen, texts = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             for part in parts(batch, "text", PART_BYTES):
                 words = lower_words(part.column("text"))
-                known, at = member(words.hash, vocabulary)
-                pair = np.unique(words.text[known] * len(vocabulary) + at[known])
-                seen += np.bincount(pair % len(vocabulary), minlength=len(vocabulary))
-                texts += part.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(seen) + 1)), pa.array(np.r_[seen, texts])], ["word", "n"]
-        )
+                word, _ = unique_pairs(words.hash, words.text)
+                word, n = np.unique(word, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    # A few hundred rows, one for each word of the templates.
-    rows = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n")).collect()
-    out = np.zeros(len(vocabulary) + 1, np.int64)
-    for word, n in rows:
-        out[word] = n
-    return out[:-1], int(out[-1])
+    return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Scorer:
     """Templates as unit vectors, and the weights of their words."""
 
-    def __init__(self, words: Words, names: list[str], seen: np.ndarray, texts: int):
+    def __init__(self, words: Words, names: list[str], seen: dict[int, int], texts: int):
         self.vocabulary, at = np.unique(words.hash, return_inverse=True)
         self.names = names
-        self.weight = np.log((texts + 1) / (seen + 1)) + 1
-        self.unknown = float(np.log((texts + 1) / 2) + 1)
+        n = np.array([seen.get(w, 0) for w in self.vocabulary.view(np.int64).tolist()])
+        self.weight = np.log((texts + 1) / (n + 1)) + 1
         matrix = np.zeros((len(names), len(self.vocabulary)))
         np.add.at(matrix, (words.text, at), self.weight[at])
         self.matrix = matrix / np.linalg.norm(matrix, axis=1)[:, None]
 
     def lines(self, words: Words, least: float) -> tuple:
-        """License lines: text, template, cosine, words of the line."""
+        """Lines that can be license lines, with what their cosine needs.
+
+        Text, template, product with it, square of the norm over the templates' words, words
+        of the line; and for each other word of these lines its line here, hash and times.
+        Other words count at their least weight, 1, so no license line is missing.
+        """
         breaks = np.r_[0, np.cumsum(words.buf == 0x0A)]
         line = breaks[words.start] + words.text
         n = int(breaks[-1]) + len(words.bounds)
         known, at = member(words.hash, self.vocabulary)
-        weight = np.where(known, self.weight[at], self.unknown)
+        weight = np.where(known, self.weight[at], 1.0)
         some, column = np.flatnonzero(known), at[known]
         low = np.sqrt(np.bincount(line, weight * weight, n))  # of the norm: no word counted twice
         best, which = np.zeros(n), np.zeros(n, np.int64)
@@ -103,26 +100,54 @@ class Scorer:
             better = dot > best
             best[better], which[better] = dot[better], t
         may = np.flatnonzero((low > 0) & (best >= least * low * (1 - 1e-9)))
-        # Exact norms, for the few lines that can reach the bound.
+        # Words of the few lines that can reach the bound, with how often they stand there.
         take = np.flatnonzero(np.isin(line, may))
         order = take[np.lexsort((words.hash[take], line[take]))]
         new = np.ones(len(order), bool)
         new[1:] = (line[order][1:] != line[order][:-1]) | (words.hash[order][1:] != words.hash[order][:-1])
         first = np.flatnonzero(new)
         times = np.diff(np.r_[first, len(order)])
-        norm = np.sqrt(np.bincount(line[order][first], (times * weight[order][first]) ** 2, n))
-        cosine = best[may] / norm[may]
-        good = cosine >= least
-        may, cosine = may[good], cosine[good]
+        word = order[first]
+        square = (times * weight[word]) ** 2
+        norm = np.bincount(line[word], np.where(known[word], square, 0.0), n)
+        may = may[best[may] >= least * np.sqrt(np.bincount(line[word], square, n)[may]) * (1 - 1e-9)]
+        other = ~known[word] & np.isin(line[word], may)
         size = np.bincount(line, minlength=n)[may]
         text = words.text[np.searchsorted(line, may)]
-        return text, which[may], np.round(cosine, 9), size
+        at = np.searchsorted(may, line[word][other])
+        return text, which[may], best[may], norm[may], size, at, words.hash[word][other], times[other]
 
 
-def scorer(docs: DataFrame, templates: list[tuple[str, str]]) -> Scorer:
+def scorer(seen: DataFrame, texts: int, templates: list[tuple[str, str]]) -> Scorer:
     words = lower_words(pa.array([t for _, t in templates], pa.string()))
-    seen, texts = frequencies(docs, np.unique(words.hash))
-    return Scorer(words, [n for n, _ in templates], seen, texts)
+    # A few hundred rows, one for each word of the templates.
+    named = seen.filter(F.col("word").isin(np.unique(words.hash).view(np.int64).tolist()))
+    return Scorer(words, [n for n, _ in templates], dict(map(tuple, named.collect())), texts)
+
+
+def ragged(values: np.ndarray, of: np.ndarray, n: int) -> pa.ListArray:
+    """Lists of the values of each of ``n`` owners; ``of`` is in order."""
+    return pa.ListArray.from_arrays(np.searchsorted(of, np.arange(n + 1)).astype(np.int32), values)
+
+
+def cosines(lines: DataFrame, seen: DataFrame, texts: int, least: float) -> DataFrame:
+    """Cosine of each different line that reaches ``least``, all words at their real weights.
+
+    Equal lines are one row here, so a line that stands in many texts is weighed once.
+    """
+    bags = cut_lineage(lines.select(*BAG).distinct()).withColumn("bag", F.monotonically_increasing_id())
+    words = bags.select("bag", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
+        "bag", F.col("w.words").alias("word"), F.col("w.times").alias("times")
+    )
+    weight = F.log((F.lit(texts) + 1) / (F.col("n") + 1)) + 1
+    squares = words.join(seen, "word").groupBy("bag").agg(
+        # In a fixed order, so that the last digit is too; no more than the words of a line.
+        F.aggregate(F.sort_array(F.collect_list(F.pow(F.col("times") * weight, 2.0))), F.lit(0.0), lambda a, x: a + x).alias("rest")
+    )
+    cosine = F.col("product") / F.sqrt(F.col("norm") + F.coalesce("rest", F.lit(0.0)))
+    return bags.join(squares, "bag", "left").select(*BAG, cosine.alias("cosine")).filter(F.col("cosine") >= least).select(
+        *BAG, F.round("cosine", 9).alias("cosine")
+    )
 
 
 def directory(path: Column) -> Column:
@@ -136,27 +161,43 @@ def licenses(
 ) -> DataFrame:
     """One row per document: license, cosine, origin (own, inherited, none) and its directory."""
     docs = docs.select("doc_id", "text", path.alias("path"))
-    shared = docs.sparkSession.sparkContext.broadcast(scorer(docs, templates))
+    seen = cut_lineage(frequencies(docs))
+    texts = docs.count()
+    shared = docs.sparkSession.sparkContext.broadcast(scorer(seen, texts, templates))
 
     def scan(batches):
         for batch in batches:
             for part in parts(batch, "text", PART_BYTES):
                 words = lower_words(part.column("text"))
-                text, which, cosine, size = shared.value.lines(words, least)
-                names = np.array(shared.value.names, object)[which] if len(which) else np.zeros(0, object)
-                n = part.num_rows
-                own, score = [None] * n, [None] * n
-                for t, name, c in sorted(zip(text.tolist(), names.tolist(), cosine.tolist()), key=lambda r: (r[0], -r[2], r[1])):
-                    if own[t] is None:
-                        own[t], score[t] = name, c
-                share = np.bincount(text, size, n) / np.maximum(words.counts(), 1)
+                text, which, product, norm, size, at, word, times = shared.value.lines(words, least)
+                lines = pa.StructArray.from_arrays(
+                    [
+                        pa.array(np.array(shared.value.names, object)[which], pa.string()), pa.array(product), pa.array(norm),
+                        pa.array(size), ragged(word.view(np.int64), at, len(text)), ragged(times, at, len(text)),
+                    ],
+                    ["own", "product", "norm", "size", "words", "times"],
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("path"), pa.array(own, pa.string()),
-                     pa.array(score, pa.float64()), pa.array(share)],
-                    ["doc_id", "path", "own", "score", "share"],
+                    [
+                        part.column("doc_id").cast(pa.int64()), part.column("path"), pa.array(words.counts()),
+                        ragged(lines, text, part.num_rows),
+                    ],
+                    ["doc_id", "path", "n_words", "lines"],
                 )
 
-    found = docs.mapInArrow(scan, "doc_id long, path string, own string, score double, share double")
+    line = "own string, product double, norm double, size long, words array<long>, times array<long>"
+    # Without the texts; the row numbers hold because the rows are written.
+    scanned = cut_lineage(
+        docs.mapInArrow(scan, f"doc_id long, path string, n_words long, lines array<struct<{line}>>")
+    ).withColumn("row", F.monotonically_increasing_id())
+    lines = scanned.select("row", F.explode("lines").alias("line")).select("row", "line.*")
+    best = lines.join(cosines(lines, seen, texts, least), BAG).groupBy("row").agg(
+        F.min(F.struct((-F.col("cosine")).alias("less"), "own")).alias("best"), F.sum("size").alias("size")
+    )
+    share = F.coalesce("size", F.lit(0)) / F.greatest("n_words", F.lit(1))
+    found = scanned.drop("lines").join(best, "row", "left").select(
+        "doc_id", "path", "best.own", (-F.col("best.less")).alias("score"), share.alias("share")
+    )
     found = found.withColumn("directory", directory(F.col("path")))
     base = F.regexp_extract(F.coalesce("path", F.lit("")), r"([^/]*)$", 1)
     files = found.filter("own IS NOT NULL").filter((F.col("share") >= file_share) | base.rlike(FILE_NAME))
