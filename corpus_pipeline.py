@@ -6,7 +6,7 @@ sampled or capped; all stages but the last return the columns of ``documents``.
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vacantia.llm import contamination, hilbert, jaccard, mixing, toxicity
 from vacantia.session import shared_dir
@@ -37,8 +37,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard and slot."""
-    return hilbert.shard(docs)
+    """All documents with their shard and slot; in a shard they stay in the written order.
+
+    That order, the mix, is the number of the file and the row in it.
+    """
+    part = "regexp_extract(_metadata.file_name, '^part-([0-9]+)', 1)"
+    written = {
+        "__number": F.expr(f"coalesce(try_cast({part} AS long), -1)"), "__file": F.col("_metadata.file_path"),
+        "__row": F.col("_metadata.row_index"),
+    }
+    return hilbert.shard(docs.withColumns(written), order=tuple(written))
 
 
 STAGES = [

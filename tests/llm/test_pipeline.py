@@ -6,7 +6,7 @@ import corpus_pipeline
 
 from tests.llm.test_jaccard import shingle_set
 from tests.llm.test_toxicity import bags
-from vacantia.llm import queries, toxicity
+from vacantia.llm import mixing, queries, toxicity
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -98,6 +98,25 @@ def test_stages_keep_the_columns(spark):
         assert out.collect() == []
 
 
+def test_the_mix_survives_sharding(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    corpus_pipeline.mix_sources(spark, docs, FOLDER).write.parquet(f"{tmp_path}/mixed")
+    docs.write.parquet(f"{tmp_path}/unmixed")
+    place = {r["doc_id"]: (r["slot"], r["place"]) for r in mixing.plan(docs).collect()}
+    out = {
+        k: sorted(corpus_pipeline.shard(spark, spark.read.parquet(f"{tmp_path}/{k}"), FOLDER).collect(), key=lambda r: (r["shard"], r["slot"]))
+        for k in ("mixed", "unmixed")
+    }
+    assert len(out["mixed"]) == len(place) == docs.count()
+    for a, b in zip(out["mixed"], out["mixed"][1:]):
+        if a["shard"] == b["shard"]:
+            assert b["slot"] == a["slot"] + 1 and place[a["doc_id"]] < place[b["doc_id"]]
+    curves = [[r["curve"] for r in out["mixed"] if r["shard"] == s] for s in range(40)]
+    assert all(max(a) <= min(b) for a, b in zip(curves, curves[1:]))
+    slots = [{r["doc_id"]: (r["shard"], r["slot"]) for r in rows} for rows in out.values()]
+    assert slots[0] != slots[1]
+
+
 def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "decontamination", "mixing", "sharding"

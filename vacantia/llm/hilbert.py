@@ -97,12 +97,15 @@ def cells(df: DataFrame, dimensions: list[Column], bits: int = BITS) -> list[Col
 
 def shard(
     docs: DataFrame, *, by: tuple[str, ...] = ("source", "lang"), shards: int = SHARDS,
-    bits: int = BITS, keep: bool = True,
+    bits: int = BITS, keep: bool = True, order: tuple[str, ...] = (),
 ) -> DataFrame:
     """``docs`` with curve, size, text_crc32, law, shard, slot and grown_shard.
 
     The dimensions are the columns in ``by`` and the size of the text. With ``keep=False``
     of the columns only ``doc_id`` stays, and no text is moved.
+
+    With ``order``, columns that together name a row, rows of one place on the curve and the
+    slots of each shard follow it; these columns do not stay.
     """
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     size = F.octet_length(body).cast("bigint") + OVERHEAD
@@ -110,13 +113,20 @@ def shard(
     new = {
         "curve": curve_index(at, bits), "size": size, "text_crc32": F.crc32(body), "law": F.lit("rows"),
     }
-    own = {*new, "shard", "slot", "grown_shard", "__place"}
-    kept = [c for c in docs.columns if c.lower() not in own]
-    placed = docs.select(*(kept if keep else ["doc_id"]), *[c.alias(k) for k, c in new.items()])
+    own = {*new, "shard", "slot", "grown_shard", "__place", *order}
+    kept = [c for c in docs.columns if c.lower() not in own] if keep else ["doc_id"]
     total = docs.count()
-    ranked = positions(placed, [F.col(c) for c in ("curve", "doc_id", "text_crc32", "size")], "__place")
     row = "(__place - 1)"
     number = F.expr(f"{row} * {shards} div {max(total, 1)}")
+    placed = docs.select(*(order or kept), *[c.alias(k) for k, c in new.items()])
+    if order:
+        # The curve cuts the runs, then each run is put in order; the texts come to it once.
+        cut = positions(placed, [F.col(c) for c in ("curve", *order)], "__place").withColumn("shard", number)
+        inside = positions(cut.drop("__place"), [F.col(c) for c in ("shard", *order)], "__place").drop("shard")
+        ranked = docs.select(*kept, *order).join(inside, [*order]).drop(*order).orderBy("__place")
+        ranked = ranked.select(*kept, *new, "__place")
+    else:
+        ranked = positions(placed, [F.col(c) for c in ("curve", "doc_id", "text_crc32", "size")], "__place")
     first = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
     return (
         ranked.withColumn("shard", number.cast("int"))
