@@ -81,6 +81,19 @@ def test_scan_against_brute_force(spark, top):
     assert licenses.licenses(df.limit(0), F.col("path")).collect() == []
 
 
+@pytest.mark.parametrize("batch", ["1", "2", "10000"])
+def test_batches_without_a_license_line(spark, batch):
+    """Parts of one task with and without candidate lines make batches of one schema."""
+    mit = "Released under the MIT License."
+    rows = [(i, t, f"d{i}/x") for i, t in enumerate(["plain text"] * 6 + [mit] * 4 + ["", None] * 3 + [mit, "text"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, path string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        assert order(licenses.licenses(df, F.col("path")).collect()) == order(plain(rows))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_query_on_documents(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()

@@ -139,6 +139,11 @@ def expand(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.arange(int(counts.sum())) - np.repeat(first - starts, counts), which
 
 
+def sums(at: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the weights at each of ``n`` places, float64 also where nothing is summed."""
+    return np.bincount(at, weight, n).astype(np.float64)
+
+
 def covered(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Which of ``n`` places lie in any of the given ranges."""
     change = np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1)

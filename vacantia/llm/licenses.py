@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.arrays import Words, parts, unique_pairs
+from vacantia.llm.arrays import Words, parts, sums, unique_pairs
 from vacantia.llm.contamination import lower_words, member
 from vacantia.session import cut_lineage
 
@@ -93,10 +93,10 @@ class Scorer:
         known, at = member(words.hash, self.vocabulary)
         weight = np.where(known, self.weight[at], 1.0)
         some, column = np.flatnonzero(known), at[known]
-        low = np.sqrt(np.bincount(line, weight * weight, n))  # of the norm: no word counted twice
+        low = np.sqrt(sums(line, weight * weight, n))  # of the norm: no word counted twice
         best, which = np.zeros(n), np.zeros(n, np.int64)
         for t in range(len(self.names)):
-            dot = np.bincount(line[some], weight[some] * self.matrix[t][column], n)
+            dot = sums(line[some], weight[some] * self.matrix[t][column], n)
             better = dot > best
             best[better], which[better] = dot[better], t
         may = np.flatnonzero((low > 0) & (best >= least * low * (1 - 1e-9)))
@@ -109,8 +109,8 @@ class Scorer:
         times = np.diff(np.r_[first, len(order)])
         word = order[first]
         square = (times * weight[word]) ** 2
-        norm = np.bincount(line[word], np.where(known[word], square, 0.0), n)
-        may = may[best[may] >= least * np.sqrt(np.bincount(line[word], square, n)[may]) * (1 - 1e-9)]
+        norm = sums(line[word], np.where(known[word], square, 0.0), n)
+        may = may[best[may] >= least * np.sqrt(sums(line[word], square, n)[may]) * (1 - 1e-9)]
         other = ~known[word] & np.isin(line[word], may)
         size = np.bincount(line, minlength=n)[may]
         text = words.text[np.searchsorted(line, may)]
@@ -125,9 +125,10 @@ def scorer(seen: DataFrame, texts: int, templates: list[tuple[str, str]]) -> Sco
     return Scorer(words, [n for n, _ in templates], dict(map(tuple, named.collect())), texts)
 
 
-def ragged(values: np.ndarray, of: np.ndarray, n: int) -> pa.ListArray:
+def ragged(values: np.ndarray | pa.Array, of: np.ndarray, n: int) -> pa.ListArray:
     """Lists of the values of each of ``n`` owners; ``of`` is in order."""
-    return pa.ListArray.from_arrays(np.searchsorted(of, np.arange(n + 1)).astype(np.int32), values)
+    kind = pa.array(values, pa.int64()) if isinstance(values, np.ndarray) else values
+    return pa.ListArray.from_arrays(np.searchsorted(of, np.arange(n + 1)).astype(np.int32), kind)
 
 
 def cosines(lines: DataFrame, seen: DataFrame, texts: int, least: float) -> DataFrame:
@@ -172,8 +173,8 @@ def licenses(
                 text, which, product, norm, size, at, word, times = shared.value.lines(words, least)
                 lines = pa.StructArray.from_arrays(
                     [
-                        pa.array(np.array(shared.value.names, object)[which], pa.string()), pa.array(product), pa.array(norm),
-                        pa.array(size), ragged(word.view(np.int64), at, len(text)), ragged(times, at, len(text)),
+                        pa.array(np.array(shared.value.names, object)[which], pa.string()), pa.array(product, pa.float64()), pa.array(norm, pa.float64()),
+                        pa.array(size, pa.int64()), ragged(word.view(np.int64), at, len(text)), ragged(times, at, len(text)),
                     ],
                     ["own", "product", "norm", "size", "words", "times"],
                 )
