@@ -3,7 +3,7 @@
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, mixing, phrases, secrets, suffixes, toxicity
+from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, mixing, phrases, secrets, strata, suffixes, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.remove_phrases(table(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return strata.search(strata.build(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_jaccard_join": op2_jaccard_join,
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_licenses": op9_licenses,
     "op10_repeated_phrases": op10_repeated_phrases,
+    "op11_ranked_search": op11_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -130,5 +135,20 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
   sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op11_ranked_search": f"""
+WITH t AS (SELECT doc_id, unnest({WORDS_SQL.format('text')}) AS w FROM documents),
+p AS (SELECT doc_id, w, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY ALL),
+c AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM d),
+m AS (SELECT doc_id, 100 - 75 + (75 * n * big_n) // big_l AS m FROM d, c),
+f AS (SELECT w, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+      FROM p, c GROUP BY w),
+q AS (SELECT item_id, w, count(*) AS times
+      FROM (SELECT item_id, unnest({WORDS_SQL.format('text')}) AS w FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN f USING (w) JOIN p USING (w) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0) WHERE r <= 10
 """,
 }
