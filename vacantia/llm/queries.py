@@ -3,7 +3,7 @@
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, mixing, phrases, secrets, strata, suffixes, toxicity
+from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, mixing, packing, phrases, secrets, strata, suffixes, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +64,13 @@ def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return strata.search(strata.build(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
 
 
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers  # only the place of its files
+
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_jaccard_join": op2_jaccard_join,
@@ -76,6 +83,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_repeated_phrases": op10_repeated_phrases,
     "op11_ranked_search": op11_ranked_search,
+    "op12_packing": op12_packing,
     "pipeline": corpus_pipeline.run,
 }
 
