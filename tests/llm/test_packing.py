@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -48,11 +49,18 @@ def check(rows, docs, window=packing.WINDOW):
     return sequences
 
 
-def test_ids_of_odd_texts():
+@pytest.mark.parametrize("keep", [3, 1 << 20])
+def test_ids_of_odd_texts(keep):
     tokenizer = Tokenizer.from_file(PATH)
-    ids, at = packing.token_ids(tokenizer, pa.array(ODD, pa.string()))
-    for i, text in enumerate(ODD):
-        assert ids[at[i] : at[i + 1]].tolist() == plain_ids(tokenizer, text)
+    units = packing.Units(tokenizer, keep)
+    rng = random.Random(5)
+    alphabet = ["a", "B", "j", "J", "\u030c", "1", "'", "s", "S", "!", ",", '"', "<", "|", ">", " ", "\n", "\u2028", "é", "—", "<|ENDOFTEXT|>", "<|endoftext|>", "'ll", "_"]
+    drawn = ["".join(rng.choices(alphabet, k=rng.randrange(30))) for _ in range(4000)]
+    for some in (ODD, drawn[:2000], drawn[2000:], ODD, [], [None], ["", ""]):
+        ids, at = units.encode(pa.array(some, pa.string()))
+        for i, text in enumerate(some):
+            assert ids[at[i] : at[i + 1]].tolist() == plain_ids(tokenizer, text), text
+        assert len(at) == len(some) + 1
 
 
 def test_query_loses_no_id(spark):

@@ -17,6 +17,7 @@ Other columns are not looked at.
 """
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from vacantia.llm.arrays import NOT_SPACE, Words, expand, parts, text_bytes
+from vacantia.llm.arrays import LOWER, NOT_SPACE, expand, mix, parts, span_hashes, text_bytes
+from vacantia.llm.contamination import member
 
 WINDOW = 2048
 END = 1
@@ -36,28 +38,105 @@ NUMBER_BITS = 36  # of a sequence id; the number of the task is above
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def token_ids(tokenizer: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after another, each closed by ``END``, and the offsets.
+class Units:
+    """Ids of texts, put together from those of their units.
 
-    Only for tokenizers that drop white space: then a text's ids are those of the runs between
-    ASCII white space, and each different run is encoded once.
+    For tokenizers that lower-case, drop white space and never join a word with what is not a
+    word: then a text's ids are those of its units, the runs between ASCII white space, cut
+    where an ASCII letter or digit meets ASCII punctuation. What special tokens and
+    contractions are written with makes no cut, and only units of ASCII without ``<|`` are
+    lower-cased beforehand. Each different unit is encoded once; the last ``keep`` stay known.
     """
-    buf, offsets = text_bytes(texts)
-    words = Words(buf, offsets, NOT_SPACE)
-    _, first, of = np.unique(words.hash, return_index=True, return_inverse=True)
-    data = buf.tobytes()
-    spans = zip(words.start[first].tolist(), words.end[first].tolist())
-    encoded = [e.ids for e in tokenizer.encode_batch([data[a:b].decode() for a, b in spans], add_special_tokens=False)]
-    size = np.array([len(e) for e in encoded], np.int64)
-    flat = np.fromiter((i for e in encoded for i in e), np.uint32, int(size.sum()))
-    # END closes each text: a last entry of one id, put after the words of its text.
-    flat = np.r_[flat, np.uint32(END)]
-    start = np.r_[np.cumsum(size) - size, len(flat) - 1]
-    size = np.r_[size, 1]
-    entry = np.insert(of, words.bounds[1:], len(encoded))
-    place, _ = expand(start[entry], size[entry])
-    total = np.r_[0, np.cumsum(size[entry])]
-    return flat[place], total[words.bounds + np.arange(len(words.bounds))]
+
+    def __init__(self, tokenizer: Tokenizer, keep: int = 1 << 20):
+        self.tokenizer, self.keep = tokenizer, keep
+        self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def any(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units one after another, and how many each has."""
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.array([len(e) for e in encoded], np.int64)
+        return np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum())), size
+
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for units of ASCII letters, many in one call: each ends where a word ends."""
+        runs = [" ".join(texts[i : i + TOGETHER]) for i in range(0, len(texts), TOGETHER)]
+        encoded = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+        flat = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in encoded)])
+        end = np.flatnonzero(self.ends[flat]) + 1
+        if len(end) != len(texts) or end[-1:].sum() != len(flat):
+            return self.any(texts)
+        return flat, np.diff(np.r_[0, end])
+
+    def learn(self, key: np.ndarray, texts: list[str], word: bool) -> None:
+        flat, size = self.words(texts) if word else self.any(texts)
+        start = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.r_[self.ids, flat]
+        key, start, size = np.r_[self.known, key], np.r_[self.start, start], np.r_[self.size, size]
+        order = np.argsort(key)
+        self.known, self.start, self.size = key[order], start[order], size[order]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, each closed by ``END``, and the offsets."""
+        buf, offsets = text_bytes(texts)
+        begin, end = unit_spans(buf, offsets)
+        low = LOWER[buf]
+        plain = np.r_[0, np.cumsum((buf >= 0x80) | ((buf == 0x3C) & (np.r_[buf[1:], 0] == 0x7C)))]
+        kept = plain[end] > plain[begin]  # these stay as they are written
+        key = span_hashes(low, begin, end)
+        key[kept] = mix(span_hashes(buf, begin[kept], end[kept]))
+        one, first, of = np.unique(key, return_index=True, return_inverse=True)
+        new = ~member(one, self.known)[0]
+        if len(self.known) + new.sum() > self.keep:
+            self.forget()
+            new[:] = True
+        letters = np.r_[0, np.cumsum((low >= 0x61) & (low < 0x7B))]
+        word = (letters[end] - letters[begin] == end - begin)[first]
+        for kind, data in ((True, low), (False, low), (False, buf)):
+            some = np.flatnonzero(new & (word == kind) & (kept[first] == (data is buf)))
+            if len(some):
+                at, whole = first[some], data.tobytes()
+                texts = [whole[a:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())]
+                self.learn(one[some], texts, kind)
+        place = np.searchsorted(self.known, one)[of]
+        size = self.size[place]
+        # END closes each text: after its units, an id of its own.
+        bounds = np.searchsorted(begin, offsets)
+        total = np.r_[0, np.cumsum(size)][bounds] + np.arange(len(bounds))
+        flat, _ = expand(self.start[place], size)
+        out = np.full(int(total[-1]), END, np.uint32)
+        inside = np.ones(len(out), bool)
+        inside[total[1:] - 1] = False
+        out[inside] = self.ids[flat]
+        return out, total
+
+
+TOGETHER = 1000  # units encoded in one call
+WORD_END = "</w>"  # closes the last token of a word in the vocabulary
+_CLASS = np.zeros(256, np.uint8)  # 0 white space, 1 no cut on this side, 2 letter or digit, 3 punctuation
+_CLASS[NOT_SPACE] = 1
+_CLASS[0x21:0x7F] = 3
+_CLASS[0x30:0x3A] = _CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = 2
+_CLASS[[0x27, 0x3C, 0x3E, 0x7C]] = 1
+
+
+def unit_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    kind = _CLASS[buf]
+    edge = np.ones(len(buf) + 1, bool)
+    edge[1:-1] = ((kind[1:] == 0) != (kind[:-1] == 0)) | ((kind[1:] ^ kind[:-1]) == 1) & (kind[1:] >= 2) & (kind[:-1] >= 2)
+    edge[offsets] = True
+    at = np.flatnonzero(edge)
+    if len(at) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    word = kind[at[:-1]] > 0
+    return at[:-1][word], at[1:][word]
 
 
 class Neighbours:
@@ -134,7 +213,8 @@ def cut(used: np.ndarray, first: np.ndarray, length: np.ndarray, sizes: list[int
     Piece, first token, length, number of the sequence and offset in it of each new piece.
     """
     end = np.cumsum(length)
-    edge = np.union1d(np.r_[0, end], np.cumsum(sizes))
+    edge = np.sort(np.r_[0, end, np.cumsum(sizes)])
+    edge = edge[np.r_[True, edge[1:] != edge[:-1]]]
     begin, size = edge[:-1], np.diff(edge)
     which = np.searchsorted(end, begin, "right")
     sequence = np.searchsorted(np.cumsum(sizes), begin, "right")
@@ -176,7 +256,7 @@ def packed(shard: Shard, window: int, number: int) -> tuple[list, int]:
 def pack(docs: DataFrame, vocabulary: str, *, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per piece with its ``ids`` (little-endian 32-bit); ``window`` is a power of two.
 
-    ``vocabulary`` is the file of a tokenizer that drops white space, at that path on every
+    ``vocabulary`` is the file of a tokenizer as `Units` needs it, at that path on every
     executor.
     """
     def rows(columns: list, task: int) -> pa.RecordBatch:
@@ -195,11 +275,11 @@ def pack(docs: DataFrame, vocabulary: str, *, window: int = WINDOW, shard_tokens
         )
 
     def run(batches):
-        tokenizer = Tokenizer.from_file(vocabulary)
+        units = Units(Tokenizer.from_file(vocabulary))
         task, number, shard = TaskContext.get().partitionId(), 0, Shard()
         for batch in batches:
             for part in parts(batch, "text", PART_BYTES):
-                ids, at = token_ids(tokenizer, part.column("text"))
+                ids, at = units.encode(part.column("text"))
                 total = np.diff(at)
                 whole = total // window
                 text, nth = np.repeat(np.arange(len(total)), whole), expand(np.zeros(len(whole), np.int64), whole)[0]
