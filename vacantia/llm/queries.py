@@ -3,7 +3,7 @@
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, mixing, packing, phrases, secrets, strata, suffixes, toxicity
+from vacantia.llm import contamination, embeddings, hilbert, jaccard, licenses, mixing, packing, phrases, prefixes, secrets, strata, suffixes, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,6 +71,10 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.trie(prefixes.rebuilt(table(spark, folder, "conversations")))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_jaccard_join": op2_jaccard_join,
@@ -84,6 +88,7 @@ QUERIES = {
     "op10_repeated_phrases": op10_repeated_phrases,
     "op11_ranked_search": op11_ranked_search,
     "op12_packing": op12_packing,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -158,5 +163,34 @@ s AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1
       FROM q JOIN f USING (w) JOIN p USING (w) JOIN m USING (doc_id) GROUP BY ALL)
 SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0) WHERE r <= 10
+""",
+    "op13_prefix_trie": """
+WITH t AS (
+  SELECT conv_id, turn, md5(length(r) || ':' || r || x) AS k, strlen(x) AS b
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+o AS (SELECT conv_id, list({'k': k, 'b': b} ORDER BY turn NULLS FIRST, k) AS l FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT], [ord(c)::BIGINT FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda acc, byte: list_reduce(list_concat([xor(acc, byte)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 9 AS h
+  FROM o),
+r AS (
+  SELECT o.conv_id, list_concat(coalesce(f.l, [])[1:h.h], o.l[h.h + 1:]) AS l
+  FROM o JOIN h USING (conv_id) LEFT JOIN o f ON f.conv_id = o.conv_id - o.conv_id % 5),
+m AS (
+  SELECT conv_id, d, md5(array_to_string([e.k FOR e IN l[1:d]], '')) AS p, md5(array_to_string([e.k FOR e IN l[1:d - 1]], '')) AS pp,
+    len(l) = d AS ended, CASE WHEN d > 0 THEN l[d].b ELSE 0 END AS b
+  FROM (SELECT conv_id, l, unnest(generate_series(0, len(l))) AS d FROM r)),
+n AS (
+  SELECT d, p, any_value(pp) AS pp, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(b) AS b,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM m GROUP BY d, p),
+c AS (SELECT d - 1 AS d, pp AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+u AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (d, p)),
+s AS (
+  SELECT m.d, m.p, CAST(sum((u.n_convs - 1) * u.b) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves
+  FROM u JOIN m ON m.conv_id = u.conv_id AND m.d <= u.d GROUP BY m.d, m.p)
+SELECT u.conv_id, u.d AS depth, v.conv_id AS parent_conv_id, u.n_convs, u.n_children, s.n_leaves, s.saved_tokens, u.ends_sha256
+FROM u JOIN s USING (d, p) LEFT JOIN n v ON u.d > 0 AND v.d = u.d - 1 AND v.p = u.pp
 """,
 }
