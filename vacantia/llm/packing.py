@@ -17,6 +17,7 @@ Other columns are not looked at.
 """
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -48,7 +49,7 @@ class Units:
     lower-cased beforehand. Each different unit is encoded once; the last ``keep`` stay known.
     """
 
-    def __init__(self, tokenizer: Tokenizer, keep: int = 1 << 20):
+    def __init__(self, tokenizer: Tokenizer, keep: int = 1 << 19):
         self.tokenizer, self.keep = tokenizer, keep
         self.ends = np.zeros(tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
@@ -79,9 +80,9 @@ class Units:
         flat, size = self.words(texts) if word else self.any(texts)
         start = len(self.ids) + np.cumsum(size) - size
         self.ids = np.r_[self.ids, flat]
-        key, start, size = np.r_[self.known, key], np.r_[self.start, start], np.r_[self.size, size]
-        order = np.argsort(key)
-        self.known, self.start, self.size = key[order], start[order], size[order]
+        place = np.searchsorted(self.known, key)  # both in order
+        self.known = np.insert(self.known, place, key)
+        self.start, self.size = np.insert(self.start, place, start), np.insert(self.size, place, size)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, each closed by ``END``, and the offsets."""
@@ -118,6 +119,12 @@ class Units:
         return out, total
 
 
+@lru_cache(maxsize=1)
+def units_of(vocabulary: str) -> Units:
+    """One per worker process, which runs many tasks; what it knows changes no result."""
+    return Units(Tokenizer.from_file(vocabulary))
+
+
 TOGETHER = 1000  # units encoded in one call
 WORD_END = "</w>"  # closes the last token of a word in the vocabulary
 _CLASS = np.zeros(256, np.uint8)  # 0 white space, 1 no cut on this side, 2 letter or digit, 3 punctuation
@@ -275,7 +282,7 @@ def pack(docs: DataFrame, vocabulary: str, *, window: int = WINDOW, shard_tokens
         )
 
     def run(batches):
-        units = Units(Tokenizer.from_file(vocabulary))
+        units = units_of(vocabulary)
         task, number, shard = TaskContext.get().partitionId(), 0, Shard()
         for batch in batches:
             for part in parts(batch, "text", PART_BYTES):
