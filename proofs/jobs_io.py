@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from proofs.base import COUNTRIES, LOCATIONS, TITLES, pick, proof, rx, stamp, with_tables
@@ -124,7 +125,7 @@ def run_metadata(t):
     for k, day in enumerate(("2001-07-01", "2001-07-02")):
         rows = results.filter(F.col("day") == k).drop("day")
         writers.write_run_metadata(header, rows, root, day, per_document=200)
-    return snapshots.read_run_log(t.spark, f"{root}/metadata").select(
+    return snapshots.read_published_run_log(t.spark, root).select(
         F.col("snapshot_date").cast("string").alias("snapshot_date"), "extractor", "company_slug",
         "success", "job_count", F.col("duration_ms").cast("bigint").alias("event_id"),
     )
@@ -302,7 +303,11 @@ def daily_header(t):
     )
 )
 def snapshot_latest(t):
-    """Two dated writes, one of them repeated; the newest date is read back."""
+    """Two dated writes, one of them repeated, and one that dies between its tables.
+
+    The newest published date is read back: of the last day, whose jobs were written and whose
+    companies were not, nothing is seen.
+    """
     root = _scratch(t, "snapshots")
     jobs = t.jobs.withColumn("id", F.col("ingest_seq").cast("string"))
     firms = t.companies
@@ -312,6 +317,13 @@ def snapshot_latest(t):
     writers.write_snapshot(jobs, firms, root, "2024-01-01")
     writers.write_snapshot(jobs, firms, root, "2024-01-02")
     writers.write_snapshot(revised, firms, root, "2024-01-02")
+    broken = firms.withColumn("country", F.raise_error(F.concat(F.lit("lost executor "), "slug")).cast("string"))
+    try:
+        writers.write_snapshot(jobs, broken, root, "2024-01-03")
+    except PySparkException:
+        pass
+    if snapshots.dates(t.spark, root)[-1] != "2024-01-02":
+        raise AssertionError("a broken write became visible")
     stored = snapshots.latest(snapshots.read_jobs(t.spark, root))
     return stored.select(F.col("id").cast("bigint").alias("ingest_seq"), "title", "source")
 

@@ -1,3 +1,6 @@
+import random
+import re
+import time
 from datetime import datetime
 
 import pytest
@@ -187,6 +190,64 @@ def test_html_to_markdown(run):
         assert run(text.page_text, ["a" + blank * 100_000 + "b"]) == ["a\n\nb"]
 
 
+# What the tags of well-formed pages become, as a chain of rules over the whole text.
+_CHAIN = [
+    (r"(?is)<script\b.*?</script>", ""), (r"(?is)<style\b.*?</style>", ""),
+    (r"(?is)<(?:!--.*?-->|head\b.*?</head>|!doctype[^>]*>)", ""), (r"[ \t\r\n]+", " "), (r"(?i) ?<br ?/?> ?", "  \n"),
+    (r"(?i)<h([1-6])\b[^>]*>\s*", "\n\n\x01\\1 "),
+    (r"(?i)(?:(?<!\s)\s+)?</h[1-6]>\s*|</?(?:ul|ol|p|div|section|article|table|tr|blockquote)\b[^>]*>", "\n\n"),
+    (r"(?i)<li\b[^>]*>\s*", "\n* "), (r"(?i)</?(?:b|strong)\b[^>]*>", "**"), (r"(?i)</?(?:i|em)\b[^>]*>", "*"),
+    (r"""(?i)<a\b[^>]*?href="([^"]*)"[^>]*>([^<]*)</a>""", r"[\2](\1)"), (r"(?i)(?:(?<!\s)\s+)?</li>|<[^>]+>", ""),
+]
+
+
+def chain(page):
+    for pattern, repl in _CHAIN:
+        page = re.sub(pattern, repl, page)
+    for n in range(1, 7):
+        page = page.replace(f"\x01{n}", "#" * n)
+    for old, new in text._ENTITIES:
+        page = page.replace(old, new)
+    return re.sub(r"[ \t]*\n[ \t\n]*\n", "\n\n", page).strip(" \t\n")
+
+
+def test_scanned_tags_against_the_rules(run):
+    """Random runs of tags and text give what the chain of rules gives."""
+    rng = random.Random(11)
+    parts = [
+        "a", "b c", " ", "\n", "  x ", "&amp;", ">", "<br>", "<BR/>", "<br class=x>", "<h1>", "</h1>", "<h2 id=a> ", " </H2>", "<h7>", "</h2 >",
+        "<p>", "</p>", "<div class='q'>", "<tr>", "<ul>", "<li>", "<li > ", " </li>", "</LI>", "<b>", "</strong>", "<em>", "</i>", "<bold>",
+        '<a href="/u">', '<a class="z" HREF="v" x>', "<a>", "</a>", "<span>", "</span> ", "<!-- c <b> -->", "<script>if (a) {}</script>",
+        "<style>p{}</style>", "<!DOCTYPE html>", "<head><title>t</title></head>", "<img src='i'>", "<>", "<header>", "<p/>", "</p-x>",
+    ]
+    pages = ["".join(rng.choices(parts, k=rng.randrange(1, 40))) for _ in range(3000)]
+    assert run(text.page_text, pages) == [chain(p) for p in pages]
+
+
+def test_openings_without_an_end_are_text(run):
+    pages = [
+        "a < b <b>c</b>", "x <!-- y", "<!-- a <!-- b --> c <!-- d", "<script>a", "<SCRIPT>a</script>b<script>c", "1 < 2 > 3", "<",
+        "a<", "<p", "--> a", "<!---->b", "x\x01\x08y<p>z", "<head>a<head>b</head>c", "</script>a",
+    ]
+    assert run(text.page_text, pages) == [
+        "a < b **c**", "x <!-- y", "c <!-- d", "a", "bc", "1  3", "<", "a<", "<p", "--> a", "b", "x\x08y\n\nz", "c", "a",
+    ]
+
+
+@pytest.mark.parametrize("opening", ["<", "<!--", "<a ", "<head ", "<script ", "<p>", "</li>", '<a href="', "<h1> ", " <br>", "&lt;", "> ", "<li> "])
+def test_hostile_pages_take_linear_time(spark, opening):
+    """A megabyte of one opening: the work grows with the page, not with its square."""
+    def seconds(n):
+        pages = spark.range(0, 1, 1, 1).select(F.repeat(F.lit(opening), F.lit(n) + F.col("id").cast("int")).alias("html"))
+        started = time.perf_counter()
+        pages.select(F.length(text.page_text(F.col("html")))).collect()
+        return time.perf_counter() - started
+
+    n = (1 << 20) // len(opening)
+    small, large = seconds(n // 8), seconds(n)
+    assert large < 24 * max(small, 0.25) and large < 60
+
+
 def test_links_and_names(run):
     md = "[Acme](https://acme.test) [gh](https://github.com/a) [ B c ](http://b.test/x) [x](https://a.test/#h)"
     assert [[tuple(p) for p in r] for r in run(text.markdown_links, [md])] == [

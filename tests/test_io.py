@@ -2,11 +2,12 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from vacantia import schemas
 from vacantia.plans import daily, read_model
-from vacantia.sinks import writers
+from vacantia.sinks import publish, writers
 from vacantia.sources import AGGREGATOR_READERS, BOARD_READERS, seed, snapshots
 from vacantia.sources import payloads as P
 from vacantia.streaming import incremental
@@ -95,6 +96,48 @@ def test_snapshots(spark, tmp_path):
     assert snapshots.read_companies(spark, root).columns[:15] == schemas.COMPANIES.names
 
 
+def test_a_run_becomes_visible_as_a_whole(spark, tmp_path):
+    """A job that dies between its tables changes nothing that is read; its repetition does."""
+    root = str(tmp_path / "data")
+    firms = schemas.conform(spark.createDataFrame([("acme", "Acme")], "slug string, name string"), schemas.COMPANIES)
+    broken = firms.withColumn("name", F.raise_error(F.lit("lost")).cast("string"))
+
+    def seen():
+        return (
+            sorted((str(r["snapshot_date"]), r["id"]) for r in snapshots.read_jobs(spark, root).collect()),
+            sorted((str(r["snapshot_date"]), r["name"]) for r in snapshots.read_companies(spark, root).collect()),
+        )
+
+    with pytest.raises(PySparkException):
+        writers.write_snapshot(jobs(spark, {"id": "0"}), broken, root, "2026-05-01")
+    assert seen() == ([], []) and snapshots.dates(spark, root) == []
+    writers.write_snapshot(jobs(spark, {"id": "1"}), firms, root, "2026-05-01")
+    before = seen()
+    for day in ("2026-05-01", "2026-05-02"):
+        with pytest.raises(PySparkException):
+            writers.write_snapshot(jobs(spark, {"id": "9"}), broken, root, day)
+        assert seen() == before
+    writers.write_snapshot(jobs(spark, {"id": "2"}), firms, root, "2026-05-02")
+    writers.write_snapshot(jobs(spark, {"id": "3"}), firms, root, "2026-05-01")
+    assert seen() == ([("2026-05-01", "3"), ("2026-05-02", "2")], [("2026-05-01", "Acme"), ("2026-05-02", "Acme")])
+    assert snapshots.dates(spark, root) == ["2026-05-01", "2026-05-02"]
+    assert [r["id"] for r in snapshots.read_jobs(spark, root, ["2026-05-02"]).collect()] == ["2"]
+
+
+def test_a_written_table_stays_hidden_until_the_manifest(spark, tmp_path):
+    root = str(tmp_path / "data")
+    run = publish.Publication(spark, root, "v1", "day")
+    run.write("a", spark.range(3))
+    assert publish.read(spark, root, "a", "day") is None
+    run.commit()
+    again = publish.Publication(spark, root, "v1", "day")
+    again.write("a", spark.range(5))
+    assert publish.read(spark, root, "a", "day").count() == 3
+    again.commit()
+    assert publish.read(spark, root, "a", "day").count() == 5
+    assert publish.read(spark, root, "b", "day") is None
+
+
 def test_run_metadata_files(spark, tmp_path):
     for day, n in (("2026-05-01", 0), ("2026-05-02", 4)):
         (tmp_path / day).mkdir()

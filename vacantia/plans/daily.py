@@ -164,13 +164,13 @@ def run(
     # Deduped once: the exchange on url happens here and nowhere else.
     once = f"{root}/unique/run_date={date}"
     deduped(found).write.mode("overwrite").parquet(once)
-    prior = snapshots.read_jobs(spark, root).filter(F.col("snapshot_date") < F.lit(date).cast("date"))
+    before = [d for d in snapshots.dates(spark, root) if d < date]
+    prior = snapshots.read_jobs(spark, root, before[-1:])
     out = build_snapshot(
-        curated, found, snapshots.latest(prior), attempts=P.attempts(payloads, landing),
+        curated, found, prior.drop("snapshot_date"), attempts=P.attempts(payloads, landing),
         sources=sources, unique=spark.read.parquet(once),
     )
-    writers.write_snapshot(out.jobs, out.companies, root, date)
-    writers.write_run_metadata(out.header, out.run_log, root, date)
+    writers.write_run(out.jobs, out.companies, out.header, out.run_log, root, date)
 
 
 def diff(spark: SparkSession, root: str, today: str, yesterday: str) -> DataFrame:
@@ -179,7 +179,7 @@ def diff(spark: SparkSession, root: str, today: str, yesterday: str) -> DataFram
     The log is written once; feed, summary and alert all read the written table
     instead of joining the snapshots again.
     """
-    stored = snapshots.read_jobs(spark, root)
+    stored = snapshots.read_jobs(spark, root, [today, yesterday])
     now, before = snapshots.on_date(stored, today), snapshots.on_date(stored, yesterday)
     changes.refuse_if_broken(now, before)
     path = f"{root}/changes/diff_date={today}"

@@ -7,6 +7,7 @@ from vacantia.functions.ids import job_path
 from vacantia.functions.text import head, or_else
 from vacantia.functions.times import rfc822_text
 from vacantia.operators.ranking import newest
+from vacantia.sinks.publish import Publication
 
 
 def job_rows(jobs: DataFrame) -> DataFrame:
@@ -27,33 +28,44 @@ def company_rows(companies: DataFrame) -> DataFrame:
     return schemas.conform(companies, schemas.COMPANIES)
 
 
-def _write_one_date(df: DataFrame, path: str, date: str) -> None:
-    """Replace one date folder, schema included even when there are no rows."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(
-        f"{path}/snapshot_date={date}"
-    )
-
-
 def write_snapshot(jobs: DataFrame, companies: DataFrame, root: str, date: str) -> None:
-    """Write both tables under their date; another date is never touched.
+    """Write both tables under their date and publish them together.
 
-    Tasks write straight into the date folder, which the committer publishes as a
-    whole. The newest date is the latest snapshot, so no copy is kept.
+    Another date is never touched. The newest published date is the latest snapshot, so no
+    copy is kept.
     """
-    _write_one_date(job_rows(jobs), f"{root}/jobs", date)
-    _write_one_date(company_rows(companies), f"{root}/companies", date)
+    run = Publication(jobs.sparkSession, root, date)
+    run.write("jobs", job_rows(jobs))
+    run.write("companies", company_rows(companies))
+    run.commit()
+
+
+def write_run(
+    jobs: DataFrame, companies: DataFrame, header: DataFrame, run_log: DataFrame, root: str, date: str
+) -> None:
+    """The whole result of a day: both tables, run log and metadata, published together."""
+    run = Publication(jobs.sparkSession, root, date)
+    run.write("jobs", job_rows(jobs))
+    run.write("companies", company_rows(companies))
+    _write_metadata(run, header, run_log, 1000)
+    run.commit()
 
 
 def write_run_metadata(
     header: DataFrame, run_log: DataFrame, root: str, date: str, per_document: int = 1000
 ) -> None:
-    """Metadata documents, and the extractor results as a table.
+    """Metadata documents, and the extractor results as a table, published together."""
+    run = Publication(run_log.sparkSession, root, date)
+    _write_metadata(run, header, run_log, per_document)
+    run.commit()
+
+
+def _write_metadata(run: Publication, header: DataFrame, run_log: DataFrame, per_document: int) -> None:
+    """Each document holds the header and about ``per_document`` results, in a file of its own.
 
-    Each document holds the header and about ``per_document`` results, in a file of its
-    own, so none grows with the number of companies; `read_run_log` reads them back.
+    So none grows with the number of companies; `snapshots.read_run_log` reads them back.
     """
-    run_log.write.mode("overwrite").parquet(f"{root}/run_log/snapshot_date={date}")
-    rows = run_log.sparkSession.read.schema(schemas.RESULT).parquet(f"{root}/run_log/snapshot_date={date}")
+    rows = run.spark.read.schema(schemas.RESULT).parquet(run.write("run_log", run_log))
     documents = max(1, -(-rows.count() // per_document))
     part = F.pmod(F.xxhash64("extractor", "company_slug"), F.lit(documents)).cast("int")
     results = rows.groupBy(part.alias("part")).agg(
@@ -63,7 +75,7 @@ def write_run_metadata(
     kinds = {f.name: f.dataType for f in header.schema}
     results.select(
         "part", *[F.lit(v).cast(kinds[k]).alias(k) for k, v in known.items()], "extractor_results"
-    ).repartition("part").write.mode("overwrite").partitionBy("part").json(f"{root}/metadata/{date}")
+    ).repartition("part").write.partitionBy("part").json(run.folder("metadata"))
 
 
 def change_log_rows(events: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vacantia import schemas
 from vacantia.operators.quality import flatten_runs
+from vacantia.sinks import publish
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -22,13 +23,23 @@ def _dated(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("snapshot_date", T.DateType())])
 
 
-def read_jobs(spark: SparkSession, root: str) -> DataFrame:
-    """All dated snapshots; filter on ``snapshot_date`` to prune partitions."""
-    return read_table(spark, f"{root}/jobs", _dated(schemas.JOBS))
+def read_jobs(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
+    """All published snapshots, or those of the named dates, with their ``snapshot_date``."""
+    return _read(spark, root, "jobs", schemas.JOBS, dates)
 
 
-def read_companies(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/companies", _dated(schemas.COMPANIES))
+def read_companies(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
+    return _read(spark, root, "companies", schemas.COMPANIES, dates)
+
+
+def _read(spark: SparkSession, root: str, table: str, schema: T.StructType, dates: list[str] | None) -> DataFrame:
+    stored = publish.read(spark, root, table, versions=dates)
+    return schemas.empty(spark, _dated(schema)) if stored is None else schemas.conform(stored, _dated(schema))
+
+
+def dates(spark: SparkSession, root: str, table: str = "jobs") -> list[str]:
+    """Published dates, oldest first; from the manifest, no table is listed or read."""
+    return sorted(publish.published(spark, root, table))
 
 
 def on_date(snapshots: DataFrame, date: str) -> DataFrame:
@@ -43,10 +54,21 @@ def latest(snapshots: DataFrame) -> DataFrame:
 
 def read_run_log(spark: SparkSession, pattern: str) -> DataFrame:
     """Extractor results of every metadata document; the date is the folder it is under."""
-    docs = (
-        spark.read.schema(schemas.RUN_METADATA).option("multiLine", True)
-        .option("recursiveFileLookup", True).json(pattern)
-    )
-    day = F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})/(?:part=\d+/)?[^/]*$", 1)
+    return _run_log(spark, [pattern])
+
+
+def read_published_run_log(spark: SparkSession, root: str) -> DataFrame:
+    """The same of the published runs below a snapshot root."""
+    return _run_log(spark, publish.folders(spark, root, "metadata"))
+
+
+def _run_log(spark: SparkSession, paths: list[str]) -> DataFrame:
+    docs = schemas.empty(spark, schemas.RUN_METADATA).withColumn("__path", F.lit(""))
+    if paths:
+        docs = (
+            spark.read.schema(schemas.RUN_METADATA).option("multiLine", True)
+            .option("recursiveFileLookup", True).json(paths).withColumn("__path", F.col("_metadata.file_path"))
+        )
+    day = F.regexp_extract("__path", r"(\d{4}-\d{2}-\d{2})/(?:run=\w+/)?(?:part=\d+/)?[^/]*$", 1)
     dated = docs.withColumn("__day", day.cast("date"))
     return flatten_runs(dated, F.col("__day"))
