@@ -342,8 +342,36 @@ def _stream(t, name: str):
     "FROM events GROUP BY 1"
 )
 def stream_ingest(t):
-    """First arrival per key over the whole feed."""
+    """First arrival per key over the whole feed, in twenty micro-batches that keep state."""
     root = _scratch(t, "ingest")
+    keyed = _epochs(t, root, 20).withColumn(
+        "key", F.concat_ws("-", "event_type", F.col("user_id").cast("string"))
+    )
+    incremental.start_first_arrivals(
+        keyed, f"{root}/table", f"{root}/checkpoint", key="key", order=[F.col("ts"), F.col("event_id")]
+    ).awaitTermination()
+    return t.spark.read.parquet(f"{root}/table").select("key", "event_id")
+
+
+def _epochs(t, root: str, n: int):
+    """The events as a feed of ``n`` files, written in order of time, one for each micro-batch."""
+    rows = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    seconds = F.unix_seconds("ts")
+    bounds = rows.select(F.percentile_approx(seconds, [i / n for i in range(1, n)])).first()[0] or []
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = rows.filter(seconds >= low) if low is not None else rows
+        part = part.filter(seconds < high) if high is not None else part
+        part.coalesce(1).write.mode("append").parquet(f"{root}/feed")
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
+
+
+@proof(
+    "SELECT event_type || '-' || user_id AS key, arg_min(event_id, (ts, event_id)) AS event_id "
+    "FROM events GROUP BY 1"
+)
+def stream_ingest_buckets(t):
+    """The same without state: stored keys lie in hash buckets."""
+    root = _scratch(t, "ingest-buckets")
     keyed = _stream(t, "events").withColumn(
         "key", F.concat_ws("-", "event_type", F.col("user_id").cast("string"))
     )
@@ -376,17 +404,15 @@ def stream_window(t):
       SELECT user_id, arg_max(event_type, event_id) AS tag FROM events GROUP BY 1) ON user_id = c_custkey"""
 )
 def stream_upsert(t):
-    """Last event per user overlaid on the customer table, micro-batch by micro-batch."""
+    """Last event per user overlaid on the customer table, from a log that merges itself."""
     root = _scratch(t, "upsert")
     base = t.customer.select(F.col("c_custkey").alias("id"), F.lit("none").alias("tag"))
-    updates = _stream(t, "events").select(
+    updates = _epochs(t, root, 12).select(
         F.col("user_id").alias("id"), F.col("event_type").alias("tag"), "event_id"
     )
-    apply = incremental.log_updates(f"{root}/log", key="id", sequence="event_id")
-    incremental.upsert_batches(updates, apply, f"{root}/checkpoint").awaitTermination()
-    return incremental.with_updates(
-        base, f"{root}/log", ["tag"], key="id", sequence="event_id"
-    )
+    log = incremental.UpdateLog(t.spark, f"{root}/log", key="id", sequence="event_id", ratio=3)
+    incremental.upsert_batches(updates, log.apply, f"{root}/checkpoint").awaitTermination()
+    return log.over(base, ["tag"])
 
 
 @proof("SELECT DISTINCT event_type || '-' || user_id AS key FROM events")

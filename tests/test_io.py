@@ -268,3 +268,47 @@ def test_watermarked_first_seen(spark, tmp_path):
     stream = spark.readStream.schema("id string, ts timestamp").parquet(source)
     incremental.drain(incremental.first_seen(stream, key="id", ts="ts", delay="1 day"), str(tmp_path / "out"), str(tmp_path / "state"))
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2"]
+
+
+def feed_of(spark, folder, rows, schema):
+    """A stream that gives one row set per micro-batch, in order."""
+    for i, part in enumerate(rows):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{folder}/{i:03}")
+    return (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(folder)
+    )
+
+
+def test_first_arrivals_keep_state(spark, tmp_path):
+    """The first batch of a key decides, the order inside it; a later smaller row changes nothing."""
+    rows = [[("a", 5, "x"), ("a", 4, "y"), ("b", 1, "z")], [("a", 1, "late"), ("c", 2, "c")], [("c", 0, "late")], [("d", 1, "d"), ("b", 0, "late")]]
+    folder, root, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    stream = feed_of(spark, folder, rows, "id string, n int, tag string")
+    for _ in range(2):  # a second start finds nothing new
+        query = incremental.start_first_arrivals(stream, root, state, key="id", order=[F.col("n")])
+        query.awaitTermination()
+    want = [("a", 4, "y"), ("b", 1, "z"), ("c", 2, "c"), ("d", 1, "d")]
+    assert sorted((r["id"], r["n"], r["tag"]) for r in spark.read.parquet(root).collect()) == want
+    spark.createDataFrame([("a", 0, "late"), ("e", 1, "e")], "id string, n int, tag string").coalesce(1).write.parquet(f"{folder}/100")
+    incremental.start_first_arrivals(stream, root, state, key="id", order=[F.col("n")]).awaitTermination()
+    assert sorted((r["id"], r["n"], r["tag"]) for r in spark.read.parquet(root).collect()) == [*want, ("e", 1, "e")]
+
+
+def test_update_log_merges_itself(spark, tmp_path):
+    """After any number of epochs few runs are live, replays and crashes change nothing."""
+    log = incremental.UpdateLog(spark, str(tmp_path / "log"), key="id", sequence="n", ratio=2, range_rows=3)
+    base = spark.createDataFrame([(str(i), "none") for i in range(6)], "id string, tag string")
+    assert log.over(base, ["tag"]).collect() == base.collect()
+    want = {str(i): "none" for i in range(6)}
+    for epoch in range(11):
+        rows = [(str((epoch * 2 + k) % 5), f"{epoch}-{k}", epoch * 10 + k) for k in range(3)]
+        batch = spark.createDataFrame(rows, "id string, tag string, n int")
+        log.apply(batch, epoch)
+        log.apply(spark.createDataFrame([("0", "replay", 1000)], "id string, tag string, n int"), epoch)
+        want |= {i: tag for i, tag, _ in rows}
+        _, live, applied = log.state()
+        assert len(live) <= 4 and applied == {"batch": epoch}
+        assert [sum(n == level for _, n in live) <= 1 for level in range(5)] == [True] * 5
+    spark.range(3).write.parquet(f"{log.root}/runs/left-by-a-crash")
+    assert {r["id"]: r["tag"] for r in log.over(base, ["tag"]).collect()} == want
+    assert all(r["tag"] != "replay" for r in log.newest().collect())
