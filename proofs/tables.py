@@ -1,5 +1,7 @@
 """Merges, diffs, counts, rankings and samples over the derived tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from proofs.base import (
@@ -19,8 +21,9 @@ from vacantia.functions import classify as C
 from vacantia.functions import ids
 from vacantia.functions import text as X
 from vacantia.functions.times import posted_within
-from vacantia.operators import changes, facets, merge, quality, ranking, search, visibility
+from vacantia.operators import changes, facets, merge, quality, ranking, search, search_index, visibility
 from vacantia.plans import read_model
+from vacantia.session import shared_dir
 from vacantia.sinks import writers
 
 # --- merges -------------------------------------------------------------------
@@ -370,15 +373,31 @@ def facet_orders(t):
     )
 
 
-@proof(
-    with_tables(
+_FACETS_SQL = with_tables(
         f"""SELECT 'where' AS facet, w.where_value AS value, count(*) AS n FROM w JOIN companies c ON c.slug = w.company_slug WHERE {_PUBLIC} GROUP BY 2
         UNION ALL SELECT 'remote', remote_policy, count(*) FROM w JOIN companies c ON c.slug = w.company_slug WHERE {_PUBLIC} AND coalesce(remote_policy, '') <> '' GROUP BY 2
         UNION ALL SELECT 'role', role_family, count(*) FROM w JOIN companies c ON c.slug = w.company_slug WHERE {_PUBLIC} AND coalesce(role_family, '') <> '' GROUP BY 2""",
         w=WHERE_CTE,
     )
-)
+
+
+@proof(_FACETS_SQL)
 def search_facets(t):
+    """Counts of the index of public rows, from its bitmaps."""
+    rows = visibility.public_jobs(
+        read_model.with_where(t.jobs, t.companies).drop("company_country"), t.companies
+    )
+    root = f"{shared_dir(t.spark)}/facets-{uuid.uuid4().hex}"
+    search_index.write_day(
+        rows, F.col("title"), root, "2026-05-01", key="ingest_seq",
+        facets={"where": "where", "remote": "remote_policy", "role": "role_family"},
+    )
+    return search_index.facet_counts(t.spark, root)
+
+
+@proof(_FACETS_SQL)
+def read_model_facets(t):
+    """The same by one pass over the rows."""
     rows = visibility.public_jobs(
         read_model.with_where(t.jobs, t.companies).drop("company_country"), t.companies
     )
@@ -761,6 +780,49 @@ _SCORE = " + ".join(
     ORDER BY round({_SCORE}, 9) DESC, doc_id LIMIT 25"""
 )
 def faceted_search(t):
+    """From the stored index, whose two halves were appended one after the other."""
+    hits = search_index.search(
+        t.spark, _document_index(t), _QUERY, facets=["lang", "source"],
+        selected={"lang": ["en", "de"], "source": ["src1", "src2", "src3"]},
+    )
+    return hits.select(F.col("key").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def _document_index(t) -> str:
+    """The index over all documents, written once for a session and a folder."""
+    place = (t.spark.sparkContext.applicationId, t.folder)
+    if place not in _INDEXES:
+        root = f"{shared_dir(t.spark)}/index-{uuid.uuid4().hex}"
+        for k, day in enumerate(("2026-05-01", "2026-05-02")):
+            rows = t.documents.filter(F.col("doc_id") % 2 == k)
+            search_index.write_day(rows, F.col("text"), root, day, key="doc_id", facets={"lang": "lang", "source": "source"}, block_rows=1 << 12)
+        _INDEXES[place] = root
+    return _INDEXES[place]
+
+
+@proof(
+    """WITH d AS (SELECT lang, source FROM documents WHERE lang IN ('en', 'fr') AND source IN ('src0', 'src2', 'src5'))
+    SELECT 'lang' AS facet, lang AS value, count(*) AS n FROM d GROUP BY 2
+    UNION ALL SELECT 'source', source, count(*) FROM d GROUP BY 2"""
+)
+def selected_facets(t):
+    """Facet counts under a selection, from bitmaps."""
+    return search_index.facet_counts(t.spark, _document_index(t), {"lang": ["en", "fr"], "source": ["src0", "src2", "src5"]})
+
+
+@proof(
+    f"""WITH d AS (SELECT doc_id, lang, source, {_TOK} AS toks FROM documents),
+    f AS (SELECT doc_id, lang, source, len(toks) AS n, {_TF} FROM d),
+    s AS (SELECT count(*) AS docs, avg(n) AS mean, {_DF} FROM f)
+    SELECT doc_id, round({_SCORE}, 6) AS score FROM f, s
+    WHERE {' AND '.join(f'tf{i} > 0' for i in range(len(_WORDS)))} AND lang IN ('en', 'de') AND source IN ('src1', 'src2', 'src3')
+    ORDER BY round({_SCORE}, 9) DESC, doc_id LIMIT 25"""
+)
+def faceted_scan(t):
+    """The same without an index: one pass over the texts."""
     hits = search.search(
         t.documents.select("doc_id", "lang", "source", "text"), F.col("text"), _QUERY,
         key="doc_id", facets={"lang": "lang", "source": "source"},

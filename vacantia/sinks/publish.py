@@ -74,8 +74,16 @@ def folders(
 def read(
     spark: SparkSession, root: str, table: str, column: str = "snapshot_date", versions: list[str] | None = None
 ) -> DataFrame | None:
-    """Published rows with their version as a column; None where there are none."""
+    """Published rows with their version as a column; None where there are none.
+
+    A version partitioned further and without rows has no file that tells its columns.
+    """
     paths = folders(spark, root, table, column, versions)
     if not paths:
         return None
-    return spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("run")
+    try:
+        return spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("run")
+    except AnalysisException as exc:
+        if is_missing(exc):
+            return None
+        raise
