@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from vacantia import schemas
+from vacantia.operators import changes
 from vacantia.plans import daily, read_model
 from vacantia.sinks import publish, writers
 from vacantia.sources import AGGREGATOR_READERS, BOARD_READERS, seed, snapshots
@@ -124,6 +125,42 @@ def test_a_run_becomes_visible_as_a_whole(spark, tmp_path):
     assert [r["id"] for r in snapshots.read_jobs(spark, root, ["2026-05-02"]).collect()] == ["2"]
 
 
+def test_diff_opens_changed_buckets_only(spark, tmp_path):
+    """Files of equal buckets may even be unreadable; other bucket counts add up."""
+    root = str(tmp_path / "data")
+    firms = schemas.empty(spark, schemas.COMPANIES)
+    rows = [{"id": str(i), "title": f"t{i}", "url": f"https://a.test/{i}"} for i in range(40)]
+    changed = [r | ({"title": "new title"} if r["id"] == "7" else {}) for r in rows if r["id"] != "9"]
+    writers.write_snapshot(jobs(spark, *rows), firms, root, "2026-05-01", buckets=8)
+    writers.write_snapshot(jobs(spark, *reversed(changed)), firms, root, "2026-05-02", buckets=32)
+    writers.write_snapshot(jobs(spark, *changed), firms, root, "2026-05-03", buckets=4)
+    digests = [snapshots.read_digests(spark, root, f"2026-05-0{d}") for d in (2, 1)]
+    common, differ = changes.changed_buckets(*digests)
+    want = {r[0] for r in spark.createDataFrame([("7",), ("9",)], "id string").select(F.pmod(F.hash("id"), F.lit(8))).collect()}
+    assert common == 8 and set(differ) == want
+    for file in (tmp_path / "data" / "jobs").rglob("*.parquet"):
+        bucket = int(str(file).split("bucket=")[1].split("/")[0])
+        if "2026-05-03" not in str(file) and bucket % 8 not in want:
+            file.write_bytes(b"not parquet")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    events = daily.diff(spark, root, "2026-05-02", "2026-05-01").collect()
+    assert sorted((e["event"], e["id"], e["new"]) for e in events) == [("changed", "7", "new title"), ("removed", "9", None)]
+    assert changes.changed_buckets(snapshots.read_digests(spark, root, "2026-05-03"), digests[0]) == (4, [])
+    assert daily.diff(spark, root, "2026-05-03", "2026-05-02").count() == 0
+    with pytest.raises(ValueError):
+        writers.write_snapshot(jobs(spark), firms, root, "2026-05-04", buckets=3)
+
+
+def test_a_diff_against_a_broken_run_is_refused(spark, tmp_path):
+    root = str(tmp_path / "data")
+    firms = schemas.empty(spark, schemas.COMPANIES)
+    writers.write_snapshot(jobs(spark, {"id": "1"}), firms, root, "2026-05-01")
+    writers.write_snapshot(jobs(spark), firms, root, "2026-05-02")
+    with pytest.raises(changes.EmptySnapshotError):
+        daily.diff(spark, root, "2026-05-02", "2026-05-01")
+    assert [r["event"] for r in daily.diff(spark, root, "2026-05-01", "2026-05-02").collect()] == ["new"]
+
+
 def test_a_written_table_stays_hidden_until_the_manifest(spark, tmp_path):
     root = str(tmp_path / "data")
     run = publish.Publication(spark, root, "v1", "day")

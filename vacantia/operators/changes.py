@@ -105,6 +105,38 @@ def change_events(
     )
 
 
+def bucket_digests(jobs: DataFrame) -> DataFrame:
+    """``n`` and two sums of row hashes for each bucket, over the columns that a diff compares.
+
+    Equal figures mean equal rows, whatever their order; only pruned columns are read, and the
+    sums are formed before the shuffle. Sums of two dates can be added up to coarser buckets.
+    """
+    columns = ["id", *dict.fromkeys(SUMMARY + TRACKED), *[c for c in ("ingest_seq",) if c in jobs.columns]]
+    row = F.struct(*[F.col(c) for c in columns])
+    rows = repaired(jobs)
+    hashes = [F.xxhash64(F.lit(seed), row).cast("decimal(38,0)") for seed in (1, 2)]
+    return rows.groupBy("bucket").agg(
+        F.count("*").alias("n"), *[F.sum(h).cast("decimal(38,0)").alias(f"sum_{i}") for i, h in enumerate(hashes)]
+    )
+
+
+def changed_buckets(today: DataFrame, yesterday: DataFrame) -> tuple[int, list[int]] | None:
+    """Number of buckets both dates can be cut into, and those in which they differ.
+
+    None where a date has no digests. Bucket counts are powers of two, so the finer ones add up.
+    """
+    sides, fewest = [], [df.agg(F.min("buckets")).first()[0] for df in (today, yesterday)]
+    if None in fewest:
+        return None
+    common = min(fewest)
+    for df in (today, yesterday):
+        sums = [F.sum(c).alias(c) for c in ("n", "sum_0", "sum_1")]
+        sides.append(df.groupBy((F.col("bucket") % common).alias("bucket")).agg(*sums).select("bucket", F.struct("n", "sum_0", "sum_1").alias("d")))
+    now, was = sides
+    both = now.join(was.withColumnRenamed("d", "old"), "bucket", "full_outer").filter(~F.col("d").eqNullSafe(F.col("old")))
+    return common, sorted(r[0] for r in both.select("bucket").collect())  # at most one row a bucket
+
+
 def refuse_if_broken(today: DataFrame, yesterday: DataFrame) -> None:
     """Stop before writing a diff against an empty (broken) run."""
     if today.isEmpty() and not yesterday.isEmpty():

@@ -9,7 +9,7 @@ replaces its version with its own manifest row.
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 MANIFEST = "version string, run string, sequence long, tables array<string>"
 
@@ -43,9 +43,11 @@ class Publication:
         self.tables.append(table)
         return folder(self.root, table, self.column, self.version, self.run)
 
-    def write(self, table: str, df: DataFrame) -> str:
+    def write(self, table: str, df: DataFrame, by: str | None = None) -> str:
+        """With ``by``, in folders of that column; a folder with many rows gets several files."""
         path = self.folder(table)
-        df.write.option("compression", "snappy").parquet(path)
+        writer = (df.hint("rebalance", by) if by else df).write.option("compression", "snappy")
+        (writer.partitionBy(by) if by else writer).parquet(path)
         return path
 
     def commit(self) -> None:
@@ -72,17 +74,20 @@ def folders(
 
 
 def read(
-    spark: SparkSession, root: str, table: str, column: str = "snapshot_date", versions: list[str] | None = None
+    spark: SparkSession, root: str, table: str, column: str = "snapshot_date", versions: list[str] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame | None:
     """Published rows with their version as a column; None where there are none.
 
-    A version partitioned further and without rows has no file that tells its columns.
+    With a schema, folder columns included, no file is opened for its columns. Without one, a
+    version partitioned further and without rows has no file that tells them.
     """
     paths = folders(spark, root, table, column, versions)
     if not paths:
         return None
     try:
-        return spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("run")
+        reader = spark.read.option("basePath", f"{root}/{table}")
+        return (reader.schema(schema) if schema else reader).parquet(*paths).drop("run")
     except AnalysisException as exc:
         if is_missing(exc):
             return None

@@ -1,11 +1,12 @@
 """Snapshot, change log, feed and read-model outputs."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vacantia import fixed_values as V, schemas
 from vacantia.functions.ids import job_path
 from vacantia.functions.text import head, or_else
 from vacantia.functions.times import rfc822_text
+from vacantia.operators.changes import bucket_digests
 from vacantia.operators.ranking import newest
 from vacantia.sinks.publish import Publication
 
@@ -28,25 +29,40 @@ def company_rows(companies: DataFrame) -> DataFrame:
     return schemas.conform(companies, schemas.COMPANIES)
 
 
-def write_snapshot(jobs: DataFrame, companies: DataFrame, root: str, date: str) -> None:
+#: Folders of a snapshot of jobs, by hash of the id. Any power of two, also another one the
+#: next day; some million rows a folder are a good size.
+BUCKETS = 16
+
+
+def write_snapshot(jobs: DataFrame, companies: DataFrame, root: str, date: str, buckets: int = BUCKETS) -> None:
     """Write both tables under their date and publish them together.
 
     Another date is never touched. The newest published date is the latest snapshot, so no
     copy is kept.
     """
     run = Publication(jobs.sparkSession, root, date)
-    run.write("jobs", job_rows(jobs))
-    run.write("companies", company_rows(companies))
+    _write_tables(run, jobs, companies, buckets)
     run.commit()
 
 
+def _write_tables(run: Publication, jobs: DataFrame, companies: DataFrame, buckets: int) -> None:
+    """Jobs in buckets of their ids, a digest of what a diff compares in each, and companies."""
+    if buckets < 1 or buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
+    rows = job_rows(jobs)
+    bucket = F.pmod(F.hash("id"), F.lit(buckets)).cast("int")
+    path = run.write("jobs", rows.withColumn("bucket", bucket), by="bucket")
+    stored = run.spark.read.schema(rows.schema.add("bucket", T.IntegerType())).parquet(path)
+    run.write("digests", bucket_digests(stored).withColumn("buckets", F.lit(buckets)))
+    run.write("companies", company_rows(companies))
+
+
 def write_run(
     jobs: DataFrame, companies: DataFrame, header: DataFrame, run_log: DataFrame, root: str, date: str
 ) -> None:
     """The whole result of a day: both tables, run log and metadata, published together."""
     run = Publication(jobs.sparkSession, root, date)
-    run.write("jobs", job_rows(jobs))
-    run.write("companies", company_rows(companies))
+    _write_tables(run, jobs, companies, BUCKETS)
     _write_metadata(run, header, run_log, 1000)
     run.commit()
 

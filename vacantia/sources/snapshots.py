@@ -23,6 +23,11 @@ def _dated(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("snapshot_date", T.DateType())])
 
 
+def _stored(schema: T.StructType) -> T.StructType:
+    """With the columns that folders hold."""
+    return T.StructType([*_dated(schema).fields, T.StructField("run", T.StringType()), T.StructField("bucket", T.IntegerType())])
+
+
 def read_jobs(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
     """All published snapshots, or those of the named dates, with their ``snapshot_date``."""
     return _read(spark, root, "jobs", schemas.JOBS, dates)
@@ -33,10 +38,28 @@ def read_companies(spark: SparkSession, root: str, dates: list[str] | None = Non
 
 
 def _read(spark: SparkSession, root: str, table: str, schema: T.StructType, dates: list[str] | None) -> DataFrame:
-    stored = publish.read(spark, root, table, versions=dates)
+    stored = publish.read(spark, root, table, versions=dates, schema=_stored(schema))
     return schemas.empty(spark, _dated(schema)) if stored is None else schemas.conform(stored, _dated(schema))
 
 
+def read_digests(spark: SparkSession, root: str, date: str) -> DataFrame:
+    """Digests of the buckets of a snapshot; no rows where it has none."""
+    stored = publish.read(spark, root, "digests", versions=[date])
+    return spark.createDataFrame([], _DIGESTS) if stored is None else stored
+
+
+_DIGESTS = "bucket int, n long, sum_0 decimal(38,0), sum_1 decimal(38,0), buckets int"
+
+
+def read_buckets(spark: SparkSession, root: str, date: str, common: int, buckets: list[int]) -> DataFrame:
+    """Jobs of a date whose bucket, counted modulo ``common``, is one of ``buckets``."""
+    stored = publish.read(spark, root, "jobs", versions=[date], schema=_stored(schemas.JOBS))
+    if stored is None:
+        return schemas.empty(spark, schemas.JOBS)
+    # A filter on folders: other buckets are not opened.
+    return schemas.conform(stored.filter((F.col("bucket") % common).isin(buckets)), schemas.JOBS)
+
+
 def dates(spark: SparkSession, root: str, table: str = "jobs") -> list[str]:
     """Published dates, oldest first; from the manifest, no table is listed or read."""
     return sorted(publish.published(spark, root, table))
