@@ -21,7 +21,7 @@ from vacantia.functions import classify as C
 from vacantia.functions import ids
 from vacantia.functions import text as X
 from vacantia.functions.times import posted_within
-from vacantia.operators import changes, facets, merge, quality, ranking, search, search_index, visibility
+from vacantia.operators import changes, facets, merge, quality, rank_index, ranking, search, search_index, visibility
 from vacantia.plans import read_model
 from vacantia.session import shared_dir
 from vacantia.sinks import writers
@@ -556,6 +556,37 @@ def front_page_cap(t):
     )
 )
 def page_of_rank(t):
+    """Ranks of the stored ranking; nothing is sorted when it is read."""
+    ranked = rank_index.ranks(t.spark, _listing(t), "2026-05-01")
+    return ranked.select("ingest_seq", "global_rank", F.ceil(F.col("global_rank") / 100).cast("bigint").alias("page"))
+
+
+def _listing(t) -> str:
+    """The listing of jobs, written in order once."""
+    root = f"{shared_dir(t.spark)}/listing-{uuid.uuid4().hex}"
+    rank_index.write(t.jobs.select("ingest_seq", "company_slug", "posted_at"), _order(), root, "2026-05-01")
+    return root
+
+
+@proof(
+    with_tables(
+        f"""SELECT ingest_seq, global_rank FROM (SELECT ingest_seq, row_number() OVER (ORDER BY {_W1}) AS global_rank FROM jobs)
+        WHERE global_rank BETWEEN 701 AND 800"""
+    )
+)
+def listing_page(t):
+    """Page eight, read from the folders that hold it."""
+    return rank_index.page(t.spark, _listing(t), "2026-05-01", 8).select("ingest_seq", "global_rank")
+
+
+@proof(
+    with_tables(
+        f"""SELECT ingest_seq, global_rank, CAST(ceil(global_rank / 100.0) AS BIGINT) AS page FROM (
+          SELECT ingest_seq, row_number() OVER (ORDER BY {_W1}) AS global_rank FROM jobs)"""
+    )
+)
+def page_of_rank_once(t):
+    """The same without a stored ranking."""
     slim = t.jobs.select("ingest_seq", "company_slug", "posted_at")
     return ranking.pages(slim, _order()).select("ingest_seq", "global_rank", "page")
 
@@ -569,7 +600,9 @@ def page_of_rank(t):
 def company_postings(t):
     slim = t.jobs.select("ingest_seq", "company_slug", "posted_at", "title")
     order = [F.col("posted_at").desc_nulls_last(), F.col("title"), F.col("ingest_seq")]
-    return ranking.positions_within(slim, ["company_slug"], order, "company_position").select(
+    root = f"{shared_dir(t.spark)}/companies-{uuid.uuid4().hex}"
+    rank_index.write(slim, order, root, "2026-05-01", group="company_slug")
+    return rank_index.group_positions(t.spark, root, "2026-05-01", "company_slug", "company_position").select(
         "ingest_seq", "company_slug", "company_position"
     )
 
