@@ -5,6 +5,7 @@
 written twice.
 """
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -12,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vacantia.functions.ids import stable_id
+from vacantia.session import shared_dir
 
 NOW = "TIMESTAMP '2001-07-20 06:00:00'"
 
@@ -177,3 +179,16 @@ def stamp(col, fmt: str = "yyyy-MM-dd HH:mm:ss"):
 
 def stamp_sql(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written_once(t: Tables, name: str, build: Callable[[str], None]) -> str:
+    """Folder of stored tables that several queries of a session read, written by the first."""
+    place = (t.spark.sparkContext.applicationId, t.folder, name)
+    if place not in _WRITTEN:
+        root = f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+        build(root)
+        _WRITTEN[place] = root
+    return _WRITTEN[place]

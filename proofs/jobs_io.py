@@ -12,7 +12,8 @@ from vacantia.operators import changes
 from vacantia.plans import daily
 from vacantia.session import shared_dir
 from vacantia.sinks import writers
-from vacantia.sources import payloads as P, routes, seed, snapshots
+from vacantia.functions import validation
+from vacantia.sources import payloads as P, quarantine, routes, seed, snapshots
 from vacantia.streaming import incremental
 
 
@@ -328,6 +329,61 @@ def snapshot_latest(t):
     return stored.select(F.col("id").cast("bigint").alias("ingest_seq"), "title", "source")
 
 
+_LANDED = """SELECT CAST(CASE c_custkey % 9 WHEN 8 THEN 7 ELSE c_custkey % 2 + 1 END AS STRING) AS schema_version,
+  CASE WHEN c_custkey % 13 = 5 THEN 'Bad Slug' ELSE 'c' || CAST(c_custkey AS STRING) END AS slug, c_name AS label, c_name AS name,
+  CASE WHEN c_custkey % 7 = 3 THEN 'FRA' ELSE 'FR' END AS country, 'ai, tech' AS categories, 'https://c.test' AS career_url,
+  CASE c_custkey % 5 WHEN 1 THEN 'many' WHEN 2 THEN '' ELSE CAST(c_custkey AS STRING) END AS stars"""
+_VERSIONS = [
+    quarantine.Version(1, {"slug": "slug", "name": "label", "country": "country", "career_url": "career_url"}),
+    quarantine.Version(2, {"slug": "slug", "name": "name", "country": "country", "career_url": "career_url",
+                           "categories": "categories", "top_repo_stars": "stars"}),
+]
+
+
+@proof(
+    f"""WITH l AS ({_LANDED.replace("STRING", "VARCHAR")}, c_custkey FROM customer),
+    r AS (SELECT *, concat_ws(',', CASE WHEN schema_version = '7' THEN 'unknown_version' END,
+      CASE WHEN schema_version = '2' AND stars = 'many' THEN 'type:top_repo_stars' END,
+      CASE WHEN schema_version <> '7' AND slug = 'Bad Slug' THEN 'slug' END,
+      CASE WHEN schema_version <> '7' AND country = 'FRA' THEN 'country' END) AS reasons FROM l)
+    SELECT 'read' AS result, slug, CASE WHEN schema_version = '2' THEN TRY_CAST(nullif(stars, '') AS BIGINT) END AS stars, reasons FROM r WHERE reasons = ''
+    UNION ALL SELECT 'quarantine', slug, NULL, reasons FROM r WHERE reasons <> ''
+    UNION ALL SELECT 'replayed', slug, NULL, '' FROM r WHERE reasons = 'country'"""
+)
+def typed_reads(t):
+    """Two schema versions; the quarantine is written, and replayed once three letters are allowed."""
+    landed = t.sql(_LANDED + " FROM {customer}", customer=t.customer)
+    good, bad = quarantine.read(landed, schemas.COMPANIES, _VERSIONS, validation.company_violations())
+    path = _scratch(t, "quarantine")
+    bad.write.parquet(path)
+    stored = t.spark.read.parquet(path)
+    lenient = F.filter(validation.company_violations(), lambda r: r != "country")
+    again, _ = quarantine.replay(stored, schemas.COMPANIES, _VERSIONS, lenient)
+    null = F.lit(None).cast("long").alias("stars")
+    rows = good.select(F.lit("read").alias("result"), "slug", F.col("top_repo_stars").alias("stars"), F.lit("").alias("reasons"))
+    rows = rows.unionAll(stored.select(F.lit("quarantine"), "slug", null, F.array_join("reasons", ",")))
+    return rows.unionAll(again.select(F.lit("replayed"), "slug", null, F.lit("")))
+
+
+@proof(
+    """SELECT 'F' AS status, TRUE AS refused, CAST(0 AS BIGINT) AS events UNION ALL
+    SELECT 'O', FALSE, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'O')"""
+)
+def refused_diff(t):
+    """A diff against a run that found nothing is refused; against one that found less it is written."""
+    root = _scratch(t, "refused")
+    jobs = t.jobs.withColumn("id", F.col("ingest_seq").cast("string"))
+    for day, rows in (("2024-01-01", jobs), ("2024-01-02", jobs.filter("FALSE")), ("2024-01-03", jobs.filter("o_orderstatus = 'O'"))):
+        writers.write_snapshot(rows, t.companies, root, day)
+    out = []
+    for status, day in (("F", "2024-01-02"), ("O", "2024-01-03")):
+        try:
+            out.append((status, False, daily.diff(t.spark, root, day, "2024-01-01").count()))
+        except changes.EmptySnapshotError:
+            out.append((status, True, 0))
+    return t.spark.createDataFrame(out, "status string, refused boolean, events long")
+
+
 # --- streams ------------------------------------------------------------------
 
 

@@ -1,7 +1,5 @@
 """Merges, diffs, counts, rankings and samples over the derived tables."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from proofs.base import (
@@ -14,6 +12,7 @@ from proofs.base import (
     stamp,
     stamp_sql,
     with_tables,
+    written_once,
 )
 from proofs.rules import _LANE, _PUBLIC, WHERE_CTE
 from vacantia import fixed_values as V
@@ -21,9 +20,8 @@ from vacantia.functions import classify as C
 from vacantia.functions import ids
 from vacantia.functions import text as X
 from vacantia.functions.times import posted_within
-from vacantia.operators import changes, facets, merge, quality, rank_index, ranking, search, search_index, visibility
+from vacantia.operators import changes, facets, merge, quality, rank_index, ranking, rollups, search, search_index, visibility
 from vacantia.plans import read_model
-from vacantia.session import shared_dir
 from vacantia.sinks import writers
 
 # --- merges -------------------------------------------------------------------
@@ -387,10 +385,9 @@ def search_facets(t):
     rows = visibility.public_jobs(
         read_model.with_where(t.jobs, t.companies).drop("company_country"), t.companies
     )
-    root = f"{shared_dir(t.spark)}/facets-{uuid.uuid4().hex}"
-    search_index.write_day(
-        rows, F.col("title"), root, "2026-05-01", key="ingest_seq",
-        facets={"where": "where", "remote": "remote_policy", "role": "role_family"},
+    names = {"where": "where", "remote": "remote_policy", "role": "role_family"}
+    root = written_once(
+        t, "facets", lambda root: search_index.write_day(rows, F.col("title"), root, "2026-05-01", key="ingest_seq", facets=names)
     )
     return search_index.facet_counts(t.spark, root)
 
@@ -526,9 +523,57 @@ def best_provider(t):
     )
 )
 def velocity_wow(t):
+    """From counts kept over three days, of which the last holds all jobs as they are."""
+    out = rollups.weekly_velocity(t.spark, _three_days(t), "2026-05-03")
+    return out.withColumn("period", F.col("period").cast("string"))
+
+
+def _three_days(t) -> str:
+    """Three written snapshots and their counts: rows come, go, change hands and dates."""
+    jobs, k = t.jobs, F.col("ingest_seq")
+    moved = jobs.filter(k % 3 != 1).withColumns({
+        "company_slug": F.when(k % 7 == 0, F.lit("other")).otherwise(F.col("company_slug")),
+        "posted_at": F.when(k % 5 == 0, F.col("posted_at") + F.expr("interval 9 days")).otherwise(F.col("posted_at")),
+    })
+
+    def build(root: str) -> None:
+        for day, rows in (("2026-05-01", jobs.filter(k % 4 != 0)), ("2026-05-02", moved.unionAll(moved.filter(k % 11 == 0))), ("2026-05-03", jobs)):
+            writers.write_snapshot(rows, t.companies, root, day)
+            rollups.update(t.spark, root, day)
+
+    return written_once(t, "rollup", build)
+
+
+@proof(
+    with_tables(
+        """SELECT company_slug, CAST(c.period AS VARCHAR) AS period, n, p AS previous_n, n - p AS delta
+        FROM (SELECT *, CASE WHEN lag(n) OVER w IS NULL THEN NULL WHEN lag(period) OVER w = period - INTERVAL 7 DAY THEN lag(n) OVER w ELSE 0 END AS p FROM c
+        WINDOW w AS (PARTITION BY company_slug ORDER BY c.period)) c""",
+        c="""SELECT company_slug, CAST(date_trunc('week', posted_at) AS DATE) AS period, count(*) AS n FROM jobs
+           WHERE posted_at IS NOT NULL GROUP BY 1, 2""",
+    )
+)
+def velocity_recount(t):
+    """The same by a recount of the jobs."""
     return changes.weekly_velocity(t.jobs).withColumn("period", F.col("period").cast("string"))
 
 
+@proof(with_tables("SELECT company_slug, count(*) AS n FROM jobs GROUP BY 1"))
+def company_counts_kept(t):
+    return rollups.company_counts(t.spark, _three_days(t), "2026-05-03")
+
+
+@proof(
+    with_tables(
+        f"""SELECT company_slug, n FROM (SELECT company_slug, count(*) AS n FROM jobs
+        WHERE posted_at > {NOW} - INTERVAL 7 DAY GROUP BY 1) ORDER BY n DESC, company_slug LIMIT 15"""
+    )
+)
+def recent_activity_kept(t):
+    recent = rollups.recent_counts(t.spark, _three_days(t), "2026-05-03", now() - F.expr("interval 7 days"))
+    return recent.orderBy(F.col("n").desc(), "company_slug").limit(15)
+
+
 # --- rankings and samples -----------------------------------------------------
 
 _W1 = "posted_at DESC NULLS LAST, company_slug, ingest_seq"
@@ -563,9 +608,8 @@ def page_of_rank(t):
 
 def _listing(t) -> str:
     """The listing of jobs, written in order once."""
-    root = f"{shared_dir(t.spark)}/listing-{uuid.uuid4().hex}"
-    rank_index.write(t.jobs.select("ingest_seq", "company_slug", "posted_at"), _order(), root, "2026-05-01")
-    return root
+    slim = t.jobs.select("ingest_seq", "company_slug", "posted_at")
+    return written_once(t, "listing", lambda root: rank_index.write(slim, _order(), root, "2026-05-01"))
 
 
 @proof(
@@ -600,8 +644,7 @@ def page_of_rank_once(t):
 def company_postings(t):
     slim = t.jobs.select("ingest_seq", "company_slug", "posted_at", "title")
     order = [F.col("posted_at").desc_nulls_last(), F.col("title"), F.col("ingest_seq")]
-    root = f"{shared_dir(t.spark)}/companies-{uuid.uuid4().hex}"
-    rank_index.write(slim, order, root, "2026-05-01", group="company_slug")
+    root = written_once(t, "companies", lambda root: rank_index.write(slim, order, root, "2026-05-01", group="company_slug"))
     return rank_index.group_positions(t.spark, root, "2026-05-01", "company_slug", "company_position").select(
         "ingest_seq", "company_slug", "company_position"
     )
@@ -821,19 +864,14 @@ def faceted_search(t):
     return hits.select(F.col("key").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
-_INDEXES: dict[tuple[str, str], str] = {}
-
-
 def _document_index(t) -> str:
-    """The index over all documents, written once for a session and a folder."""
-    place = (t.spark.sparkContext.applicationId, t.folder)
-    if place not in _INDEXES:
-        root = f"{shared_dir(t.spark)}/index-{uuid.uuid4().hex}"
+    """The index over all documents, in two appended halves."""
+    def build(root: str) -> None:
         for k, day in enumerate(("2026-05-01", "2026-05-02")):
             rows = t.documents.filter(F.col("doc_id") % 2 == k)
             search_index.write_day(rows, F.col("text"), root, day, key="doc_id", facets={"lang": "lang", "source": "source"}, block_rows=1 << 12)
-        _INDEXES[place] = root
-    return _INDEXES[place]
+
+    return written_once(t, "index", build)
 
 
 @proof(

@@ -1,6 +1,6 @@
 """Snapshot-to-snapshot change detection."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vacantia.functions.money import band, band_text
 from vacantia.operators.merge import one_per_id
@@ -224,13 +224,16 @@ def weekly_velocity(
     had rows. The first period of a key has none before. Rows collapse to one per key and
     period before the window sees them.
     """
-    from pyspark.sql import Window
-
     counts = (
         jobs.filter(F.col(ts).isNotNull())
         .groupBy(key, F.date_trunc(period, F.col(ts)).cast("date").alias("period"))
         .agg(F.count("*").alias("n"))
     )
+    return velocity(counts, key, period)
+
+
+def velocity(counts: DataFrame, key: str, period: str = "week") -> DataFrame:
+    """The same from counts ``(key, period, n)``."""
     w = Window.partitionBy(key).orderBy("period")
     before = F.date_sub("period", 1)
     right_before = F.lag("period").over(w) == F.date_trunc(period, before).cast("date")
