@@ -24,6 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacantia import fixed_values as V
+from vacantia.functions.once import evaluate_once
 from vacantia.operators.merge import first_per_key
 from vacantia.operators.search import WORD_SEPARATOR, query_terms
 from vacantia.sinks import publish
@@ -31,6 +32,7 @@ from vacantia.sinks.publish import Publication
 
 BUCKETS = 64
 BLOCK_ROWS = 1 << 14  # on average; a bitmap holds twice as many
+TASK_BLOCKS = 4
 FIRST_BLOCKS = 4
 K1, B = 1.2, 0.75
 
@@ -43,37 +45,70 @@ def _facet(name: str) -> str:
     return f"f_{name}"
 
 
+def _numbered(rows: DataFrame, blocks: int, tasks: int, once: bool) -> DataFrame:
+    """One row per key with ``block`` and ``slot``; all rows of a block come to one task.
+
+    With ``once`` keys are known not to repeat, so the rows move by block alone.
+    """
+    if not once:
+        # A key that repeats is cut to one row a task before it moves.
+        rows = first_per_key(rows, ["key"], [F.col("bytes").desc(), F.col("hash")])
+    placed = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")).repartitionById(tasks, F.col("block"))
+    # Numbered inside the block: a window of bounded size.
+    placed = placed.withColumn("slot", F.expr("row_number() OVER (PARTITION BY block ORDER BY key) - 1"))
+    full = F.raise_error(F.lit("a block holds more rows than a bitmap")).cast("int")
+    return placed.withColumn("slot", F.when(F.col("slot") < (1 << 15), F.col("slot")).otherwise(full)).drop("bytes", "hash")
+
+
+def _term_counts(rows: DataFrame, kept: list[str]) -> DataFrame:
+    """``kept``, ``term`` and ``tf`` of every different word of a row, counted inside the row."""
+    # Sorted words lie in runs; a run ends where the next word differs.
+    rows = evaluate_once(rows.filter("len > 0"), sorted=F.sort_array("words")).drop("words")
+    ends = F.filter(
+        F.sequence(F.lit(1), F.size("sorted")), lambda i: F.coalesce(F.get("sorted", i) != F.get("sorted", i - 1), F.lit(True))
+    )
+    rows = evaluate_once(rows, ends=ends)
+    counts = F.transform(
+        "ends",
+        lambda end, i: F.struct(
+            F.get("sorted", end - 1).alias("term"), (end - F.coalesce(F.get("ends", i - 1), F.lit(0))).alias("tf")
+        ),
+    )
+    return rows.select(*kept, F.inline(counts))
+
+
 def write_day(
     df: DataFrame, text: Column, root: str, day: str, *, key: str, facets: dict[str, str], block_rows: int = BLOCK_ROWS
 ) -> None:
-    """Index the rows of one day; a repeated day replaces its own index."""
+    """Index the rows of one day; a repeated day replaces its own index.
+
+    The texts move once, to the task of their block (twice where keys repeat); words are
+    counted and postings collected there, so no posting is shuffled.
+    """
     spark = df.sparkSession
     names = [_facet(f) for f in facets]
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_SEPARATOR), lambda w: w != "")
+    body = F.coalesce(text, F.lit(""))
+    words = F.filter(F.split(F.lower("text"), WORD_SEPARATOR), lambda w: w != "")
     rows = df.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), words.alias("words"), *[F.col(c).cast("string").alias(_facet(f)) for f, c in facets.items()]
-    )
-    rows = first_per_key(rows, ["key"], [F.size("words").desc(), F.xxhash64("words", *names)])
+        F.col(key).alias("key"), body.alias("text"), *[F.col(c).cast("string").alias(_facet(f)) for f, c in facets.items()]
+    ).withColumns({"bytes": F.octet_length("text"), "hash": F.xxhash64("text", *names)})
     run = Publication(spark, root, day, "day")
-    blocks = max(1, -(-df.count() // block_rows))
-    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
-    slim = rows.select("key", F.size("words").alias("len"), block.alias("block"), *names)
-    # Numbered inside the block: a window of bounded size.
-    numbered = slim.withColumn("slot", F.expr("row_number() OVER (PARTITION BY block ORDER BY key) - 1"))
-    full = F.raise_error(F.lit("a block holds more rows than a bitmap")).cast("int")
-    numbered = numbered.withColumn("slot", F.when(F.col("slot") < (1 << 15), F.col("slot")).otherwise(full))
-    stored = spark.read.parquet(run.write("rows", numbered))
-    run.write("totals", stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("len"), F.lit(0)).alias("words")))
-    counted = rows.select("key", F.explode("words").alias("term")).groupBy("key", "term").agg(F.count("*").cast("int").alias("tf"))
-    postings = (
-        counted.join(stored, "key").groupBy("term", "block").agg(
-            F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"),
-            F.sort_array(F.collect_list(F.struct("slot", "key", "tf", "len", *names))).alias("postings"),
-        ).withColumn("bucket", _bucket(F.col("term")))
+    keyed = df.filter(F.col(key).isNotNull()).count()
+    blocks = max(1, -(-keyed // block_rows))
+    # Each task writes a file per bucket: beyond the session's parallelism a task takes several blocks.
+    tasks = min(blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks // TASK_BLOCKS))
+    slim = rows.select("key", F.size(words).alias("len"), *names, "bytes", "hash")
+    stored = spark.read.parquet(run.write("rows", _numbered(slim, blocks, tasks, False)))
+    totals = spark.read.parquet(run.write("totals", stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("len"), F.lit(0)).alias("words"))))
+    once = totals.first()["n"] == keyed
+    split = evaluate_once(_numbered(rows, blocks, tasks, once), words=words).withColumn("len", F.size("words")).drop("text")
+    counted = _term_counts(split, ["key", "block", "slot", "len", *names]).withColumn("bucket", _bucket(F.col("term")))
+    postings = counted.groupBy("term", "block", "bucket").agg(
+        F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"),
+        F.sort_array(F.collect_list(F.struct("slot", "key", "tf", "len", *names))).alias("postings"),
     )
     path = run.folder("postings")
-    postings.repartitionByRange("bucket", "term", "block").sortWithinPartitions("bucket", "term", "block").write.partitionBy(
-        "bucket").parquet(path)
+    postings.sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(path)
     frequencies = spark.read.schema(postings.schema).parquet(path).groupBy("bucket", "term").agg(F.sum("n").alias("n"))
     frequencies.repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(
         run.folder("terms"))
