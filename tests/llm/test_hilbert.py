@@ -54,3 +54,22 @@ def test_empty_and_tiny_tables(spark):
     assert hilbert.shard(docs(spark, []), shards=4).collect() == []
     out = hilbert.shard(docs(spark, [(1, "a", "en", "s", None, 1)]), shards=4).collect()
     assert [(r["shard"], r["slot"]) for r in out] == [(0, 0)]
+
+
+def test_whole_strings_make_the_cells(spark):
+    """Fifteen sources that differ only after a long beginning lie in a shard each."""
+    rows = [(i, "same", "en", f"https://example.org/crawl/{i % 15:02d}", None, i) for i in range(300)]
+    for keep in (True, False):
+        out = hilbert.shard(docs(spark, rows), shards=15, keep=keep).collect()
+        assert len({(r["shard"], r["doc_id"] % 15) for r in out}) == 15
+
+
+def test_cells_follow_the_rows_not_the_values(spark):
+    values = [None] * 10 + ["hot"] * 200 + [f"v{i:03d}" for i in range(190)]
+    df = spark.createDataFrame([(v, 1) for v in values], "s string, n int").repartition(5)
+    total, (cell, _) = hilbert.cells(df, ["s", "n"])
+    known = sorted(v for v in values if v)
+    cuts = {known[-(-len(known) * i // 16) - 1] for i in range(1, 16)}
+    assert total == 400
+    for r in df.select("s", cell.alias("c")).distinct().collect():
+        assert r["c"] == (0 if r["s"] is None else sum(r["s"] >= c for c in cuts))

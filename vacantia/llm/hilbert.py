@@ -1,7 +1,7 @@
 """Sharding along a Hilbert curve, with DataFrame functions only.
 
-Each metadata dimension is turned into an order-preserving number and cut at its own
-quantiles into ``2 ** BITS`` cells; the cells' place on the Hilbert curve, then the
+Each metadata dimension is cut at its own quantiles, those of whole strings included, into
+``2 ** BITS`` cells; the cells' place on the Hilbert curve, then the
 document's id, give one total order, which is cut into runs of equal row counts. Rows that
 agree or are close in any dimension share few files, so readers skip files by their
 minimum and maximum of each dimension.
@@ -13,14 +13,14 @@ repeated rows take neighbouring slots; of an empty table nothing comes. Other co
 through, but for those named like a result, which the result replaces.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vacantia.operators.ranking import positions
+from vacantia.session import cut_lineage
 
 SHARDS = 40
 BITS = 4
 OVERHEAD = 16  # bytes counted for each row besides its text
-_PREFIX = 6  # bytes of a string that its number holds; 48 bits are exact in a double
 
 
 def _rotate(x: int, by: int, n: int) -> int:
@@ -69,30 +69,50 @@ def curve_index(cells: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(steps, start, level, lambda acc: acc["index"])
 
 
-def ordinal(df: DataFrame, name: str) -> Column:
-    """A number in the order of the column's values, as far as its prefix tells."""
-    if dict(df.dtypes)[name] == "string":
-        prefix = F.rpad(F.substring(F.col(name).cast("binary"), 1, _PREFIX), _PREFIX, F.lit(b"\0"))
-        return F.conv(F.hex(prefix), 16, 10).cast("double")
-    return F.col(name).cast("double")
+def _string_cuts(df: DataFrame, names: list[str], parts: int) -> dict[str, list[str]]:
+    """For each column the values at which its share of rows passes a multiple of ``1 / parts``.
+
+    Whole values count, however long a beginning they share. Rows are counted by value
+    first, so a hot value is one row of what is sorted.
+    """
+    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])
+    counts = df.select(F.inline(entries)).filter("value IS NOT NULL").groupBy("name", "value").agg(F.count("*").alias("n"))
+    ordered = cut_lineage(counts.orderBy("name", "value")).withColumn("part", F.spark_partition_id())
+    # At most one row per column and partition of the sorted values.
+    sums = ordered.groupBy("name", "part").agg(F.sum("n").alias("m"))
+    before = sums.select(
+        "name", "part", F.sum("m").over(Window.partitionBy("name")).alias("total"),
+        (F.sum("m").over(Window.partitionBy("name").orderBy("part")) - F.col("m")).alias("before"),
+    )
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("name", "part").orderBy("value"))
+    shares = ordered.join(before, ["name", "part"]).withColumn("upto", upto)
+    passed = shares.filter(f"least(upto * {parts} div total, {parts - 1}) > (upto - n) * {parts} div total")
+    out: dict[str, list[str]] = {n: [] for n in names}
+    for r in passed.select("name", "value").collect():  # fewer than ``parts`` a column
+        out[r["name"]].append(r["value"])
+    return out
 
 
-def cells(df: DataFrame, dimensions: list[Column], bits: int = BITS) -> list[Column]:
-    """Quantile cell of each dimension. The cuts, ``2 ** bits`` a dimension, are literals."""
+def cells(df: DataFrame, dimensions: list[str], bits: int = BITS) -> tuple[int, list[Column]]:
+    """Number of rows, and quantile cell of each dimension.
+
+    The cuts, fewer than ``2 ** bits`` a dimension, are literals.
+    """
     parts = 1 << bits
-    cuts = df.agg(
-        *[
-            F.percentile_approx(d, [i / parts for i in range(1, parts)], 10000).alias(f"c{i}")
-            for i, d in enumerate(dimensions)
-        ]
-    ).first()
+    kinds = dict(df.dtypes)
+    texts = [d for d in dimensions if kinds[d] == "string"]
+    values = {d: F.col(d) if d in texts else F.col(d).cast("double") for d in dimensions}
+    shares = [i / parts for i in range(1, parts)]
+    numbers = [d for d in dimensions if d not in texts]
+    total, *found = df.agg(F.count("*"), *[F.percentile_approx(values[d], shares, 10000) for d in numbers]).first()
+    cuts = dict(zip(numbers, found)) | (_string_cuts(df, texts, parts) if texts else {})
     out = []
-    for d, cut in zip(dimensions, cuts):
+    for d in dimensions:
         cell = F.lit(0)
-        for c in sorted(set(cut or [])):
-            cell = cell + F.when(d >= c, 1).otherwise(0)
+        for c in sorted(set(cuts[d] or [])):
+            cell = cell + F.when(values[d] >= c, 1).otherwise(0)
         out.append(cell)
-    return out
+    return total, out
 
 
 def shard(
@@ -109,16 +129,19 @@ def shard(
     """
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     size = F.octet_length(body).cast("bigint") + OVERHEAD
-    at = cells(docs, [*[ordinal(docs, c) for c in by], size.cast("double")], bits)
-    new = {
-        "curve": curve_index(at, bits), "size": size, "text_crc32": F.crc32(body), "law": F.lit("rows"),
-    }
-    own = {*new, "shard", "slot", "grown_shard", "__place", *order}
+    own = {"curve", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "__place", *order}
     kept = [c for c in docs.columns if c.lower() not in own] if keep else ["doc_id"]
-    total = docs.count()
+    dims = {f"__dim{i}": F.col(c) for i, c in enumerate(by)}
+    measured = [*[c.alias(k) for k, c in dims.items()], size.alias("size"), F.crc32(body).alias("text_crc32")]
+    base = docs.select(*(order or kept), *measured)
+    if order or not keep:
+        # No text is in it: written once, so the texts are read once for cuts and places.
+        base = cut_lineage(base)
+    total, at = cells(base, [*dims, "size"], bits)
+    new = {"curve": curve_index(at, bits), "size": F.col("size"), "text_crc32": F.col("text_crc32"), "law": F.lit("rows")}
     row = "(__place - 1)"
     number = F.expr(f"{row} * {shards} div {max(total, 1)}")
-    placed = docs.select(*(order or kept), *[c.alias(k) for k, c in new.items()])
+    placed = base.select(*(order or kept), *[c.alias(k) for k, c in new.items()])
     if order:
         # The curve cuts the runs, then each run is put in order; the texts come to it once.
         cut = positions(placed, [F.col(c) for c in ("curve", *order)], "__place").withColumn("shard", number)
