@@ -137,7 +137,11 @@ def _prune(enough: np.ndarray, least: tuple[int, int]):
     p, q = least
 
     def run(table: pa.Table) -> pa.Table:
-        order, start, count = pairs.runs(*(np.asarray(table.column(c)) for c in ("key", "low", "high")))
+        column = lambda c: np.asarray(table.column(c))
+        # Stars around the smallest part, whatever order the rows come in: the same links each time.
+        order, start, count = pairs.runs(
+            column("key"), column("low"), column("high"), then=(column("part"), column("class_id"))
+        )
         n = np.asarray(table.column("n"))[order]
         sign = bytes_matrix(table.column("sign"))[order]
 

@@ -50,9 +50,12 @@ def spread(
     return out.withColumn("task", task).drop("__blocks", "__other")
 
 
-def runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order that brings equal keys together, and start and size of each run in it."""
-    order = np.lexsort(keys[::-1])
+def runs(*keys: np.ndarray, then: tuple[np.ndarray, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order that brings equal keys together, and start and size of each run in it.
+
+    Rows of a run are in the order of ``then``.
+    """
+    order = np.lexsort((*then[::-1], *keys[::-1]))
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
