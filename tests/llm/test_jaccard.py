@@ -3,7 +3,9 @@ import re
 import numpy as np
 import pytest
 
-from vacantia.llm import jaccard
+from pyspark.sql import functions as F
+
+from vacantia.llm import jaccard, pairs
 
 SCHEMA = "doc_id long, text string, class_id string"
 
@@ -71,13 +73,43 @@ def test_one_document_of_each_group_stays(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     kept = jaccard.keep_one(df)
     assert kept.columns == df.columns
-    want = [r for r, p in zip(rows, [None] * len(rows))]
     first = {eval(x)[0]: eval(x)[3] for x in plain(rows)}
-    want = [r for r in rows if first[r[0]] == r[0]]
+    want = [r for r in dict.fromkeys(rows) if first[r[0]] == r[0]]  # of equal rows one stays
     assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))
     assert jaccard.similar(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("limits", [{}, {"block": 4, "set_block": 2}])
+def test_ids_with_several_texts(spark, limits):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [
+        (3, a), (7, a), (7, b), (9, b + " more"), (7, b), (7, a + " more"), (2, c), (2, c), (2, c + " more"), (2, None),
+        (2, ""), (11, b + " more"), (None, a), (None, a), (12, "alone"),
+    ]
+    rows = [(*r, "clash") for r in rows]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = jaccard.similar(df, **limits).collect()
+    assert sorted(map(repr, map(tuple, got))) == plain(rows)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_one(df, **limits).collect()]
+    of_two = [x for x in kept if x[0] == 2 and x[1]]
+    assert len(of_two) == 1 and of_two[0][1] in (c, c + " more")
+    rest = [x for x in kept if x not in of_two]
+    want = [(3, a), (7, b), (2, None), (2, ""), (None, a), (None, a), (12, "alone")]
+    assert sorted(map(repr, rest)) == sorted(map(repr, want))
+
+
+def test_groups_larger_than_a_block_are_dealt_by_pairs_of_blocks(spark):
+    rows = spark.range(0, 20_000).select(F.lit(5).cast("long").alias("key"), F.col("id").alias("member"))
+    small = spark.range(0, 300).select((F.col("id") % 100 + 10).alias("key"), (F.col("id") + 50_000).alias("member"))
+    met = pairs.spread(rows.unionAll(small), "key", "member", block=256, tasks=3, own_pairs=True)
+    sizes = met.groupBy("task").agg(F.count("*").alias("n"), F.countDistinct("key", "low", "high").alias("k")).collect()
+    blocks = -(-20_000 // 256)
+    large = [r for r in sizes if r["task"] < 0]
+    assert len(large) == blocks * (blocks + 1) // 2 and {r["k"] for r in large} == {1}
+    assert max(r["n"] for r in large) <= 2 * 256 * 1.4
+    assert sum(r["n"] for r in sizes if r["task"] >= 0) == 300 and sum(r["n"] for r in large) == 20_000 * blocks
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     n = jaccard.BANDS * jaccard.PER_BAND
     enough = jaccard.least_matches(n, jaccard.STEP, 0.8, jaccard.EPSILON)

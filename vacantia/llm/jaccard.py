@@ -12,15 +12,15 @@ pruning starts from a uniform prior. A pair counts also if its classes are joine
 other path.
 
 Defined cases: a null text, an empty one or one without words links with nothing; rows
-without an id are compared with nothing and come back alone; rows that share an id are
-one document in what is joined, and each counts as a row in ``n_links``.
+without an id are compared with nothing and come back alone; rows that share an id are rows
+of their own, each with the class of its own text, and each counts as a row in ``n_links``.
 """
 
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from vacantia.llm import pairs
 from vacantia.llm.arrays import U64, mix, odd_constants, parts, window_hashes
@@ -37,6 +37,7 @@ FIRST_BANDS = 2  # bands whose components later bands need not compare again
 BLOCK = 2048  # rows of a bucket that meet in a task
 SET_BLOCK = 256  # the same where shingles are compared
 ROWS = 20_000
+SET_BYTES = 32 << 20  # of shingles in a task
 PART_BYTES = 1 << 20
 
 
@@ -60,6 +61,13 @@ def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(text, np.arange(len(count) + 1))
 
 
+def set_hashes(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set."""
+    sums = [np.r_[U64(0), np.cumsum(v)] for v in (value, mix(value))]
+    first, second = ((x[bounds[1:]] - x[bounds[:-1]]).view(np.int64) for x in sums)
+    return first, second
+
+
 def minhash(value: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
     """``n`` MinHash values of each set that is not empty (zeros for the others)."""
     out = np.zeros((len(bounds) - 1, n), np.uint32)
@@ -106,8 +114,7 @@ def _signatures(k: int, bands: int, per_band: int):
                 value, bounds = shingles(part.column("text"), k)
                 sign = minhash(value, bounds, n)
                 size = np.diff(bounds)
-                total = np.r_[U64(0), np.cumsum(value)]
-                second = np.r_[U64(0), np.cumsum(mix(value))]
+                first, second = set_hashes(value, bounds)
                 band = np.zeros((len(size), bands), U64)
                 for j, c in enumerate(odd_constants(per_band, 4)):
                     band += mix(sign[:, j::per_band].astype(U64) + c) * c
@@ -115,13 +122,12 @@ def _signatures(k: int, bands: int, per_band: int):
                 low = (sign & np.uint32(255)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array(size),
-                        pa.array((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64)),
-                        pa.array((second[bounds[1:]] - second[bounds[:-1]]).view(np.int64)),
+                        part.column("doc_id"), part.column("text_hash"), pa.array(size),
+                        pa.array(first), pa.array(second),
                         pa.array([x.tobytes() for x in low], pa.binary()),
                         pa.ListArray.from_arrays(np.arange(len(size) + 1, dtype=np.int32) * bands, band.ravel()),
                     ],
-                    ["doc_id", "n", "h1", "h2", "sign", "bands"],
+                    ["doc_id", "text_hash", "n", "h1", "h2", "sign", "bands"],
                 )
 
     return run
@@ -220,46 +226,60 @@ def _verify(least: tuple[int, int]):
 
 
 def _shingle_rows(k: int):
+    names = ["class_id", "cluster", "weight"]
+
     def run(batches):
         for batch in batches:
             for part in parts(batch, "text", PART_BYTES):
                 value, bounds = shingles(part.column("text"), k)
-                data = [value[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                # An id may have texts of other classes as well.
+                first, second = set_hashes(value, bounds)
+                own = (first == np.asarray(part.column("h1"))) & (second == np.asarray(part.column("h2")))
+                own &= np.diff(bounds) == np.asarray(part.column("n"))
+                rows = np.flatnonzero(own)
+                data = [value[a:b].tobytes() for a, b in zip(bounds[rows].tolist(), bounds[rows + 1].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in ("class_id", "cluster", "weight")] + [pa.array(data, pa.binary())],
-                    ["class_id", "cluster", "weight", "shingles"],
+                    [part.column(c).take(pa.array(rows)) for c in names] + [pa.array(data, pa.binary())],
+                    [*names, "shingles"],
                 )
 
     return run
 
 
-def similar(
+def _rows(
     docs: DataFrame, *, shingle: int = SHINGLE, least: tuple[int, int] = LEAST, bands: int = BANDS,
     per_band: int = PER_BAND, epsilon: float = EPSILON, block: int = BLOCK, set_block: int = SET_BLOCK,
 ) -> DataFrame:
-    """One row per document: class, links (other documents as similar), component.
-
-    ``class_id`` is the smallest id with the same shingles, ``component_id`` the smallest
-    one reachable over links.
-    """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """``similar`` with ``text_hash`` and ``component``, which tells components of one id apart."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     signed = cut_lineage(
         texts.filter("doc_id IS NOT NULL").mapInArrow(
             _signatures(shingle, bands, per_band),
-            "doc_id long, n long, h1 long, h2 long, sign binary, bands array<long>",
+            "doc_id long, text_hash long, n long, h1 long, h2 long, sign binary, bands array<long>",
         )
     )
     same = ["n", "h1", "h2"]
     classes = signed.filter("n > 0").groupBy(*same).agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("weight"),
+        F.min("doc_id").alias("first"), F.count("*").alias("weight"),
         F.min("sign").alias("sign"), F.min("bands").alias("bands"),
     )
-    classes = cut_lineage(classes)
-    tasks = max(1, classes.count() * bands // ROWS)
+    classes = cut_lineage(classes.withColumn("class_id", F.col("first")))
+    # Where classes have their smallest id in common, all but one take a number of their own.
+    several = cut_lineage(
+        classes.groupBy("first").agg(F.count("*").alias("__n"), F.min(F.struct(*same)).alias("__of"))
+        .filter("__n > 1").drop("__n")
+    )
+    repeated = not several.isEmpty()
+    if repeated:
+        other = F.col("__of").isNotNull() & (F.col("__of") != F.struct(*same))
+        number = F.when(other, F.xxhash64("first", *same)).otherwise(F.col("first"))
+        classes = cut_lineage(classes.join(several, "first", "left").withColumn("class_id", number).drop("__of"))
+    rows, shingled = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    tasks = max(1, rows * bands // ROWS)
     enough = least_matches(bands * per_band, STEP, least[0] / least[1], epsilon)
     # The first bands join most of what is alike. The others compare only what is still
     # apart, so large groups of near copies are not linked anew in every band.
-    parts_ = classes.select("class_id", F.col("class_id").alias("part")).distinct()
+    parts_ = classes.select("class_id", F.col("class_id").alias("part"))
     for begin, end in ((0, FIRST_BANDS), (FIRST_BANDS, bands)):
         some = F.explode(F.slice("bands", begin + 1, end - begin)).alias("key")
         banded = classes.join(parts_, "class_id").select("class_id", "part", some)
@@ -276,39 +296,78 @@ def similar(
         )
     several = parts_.groupBy(F.col("part").alias("cluster")).agg(F.count("*").alias("size")).filter("size > 1")
     clusters = parts_.withColumnRenamed("part", "cluster").join(several.select("cluster"), "cluster")
-    inside = clusters.join(classes.groupBy("class_id").agg(F.sum("weight").alias("weight")), "class_id")
-    sets = texts.withColumnRenamed("doc_id", "class_id").join(inside, "class_id").mapInArrow(
+    inside = clusters.join(classes.select("class_id", "first", "weight", *same), "class_id")
+    sets = texts.select(F.col("doc_id").alias("first"), "text").join(inside, "first").mapInArrow(
         _shingle_rows(shingle), "class_id long, cluster long, weight long, shingles binary"
     )
     # Written once, as the dealing to blocks counts its groups first.
     sets = cut_lineage(sets)
     met = pairs.spread(
-        sets, "cluster", "class_id", block=set_block, tasks=max(1, tasks // bands), own_pairs=True,
-        size=F.octet_length("shingles"), block_bytes=8 << 20,
+        sets, "cluster", "class_id", block=set_block, tasks=max(1, rows // ROWS, 8 * shingled // SET_BYTES),
+        own_pairs=True, size=F.octet_length("shingles"), block_bytes=8 << 20,
     )
     verified = cut_lineage(met.groupBy("task").applyInArrow(_verify(least), "class_id long, links long, root long"))
     links = verified.groupBy("class_id").agg(F.sum("links").alias("links"))
     joined = pairs.components(verified.select(F.col("class_id").alias("a"), F.col("root").alias("b")))
     known = (
-        classes.select(*same, "class_id", "weight").join(links, "class_id", "left")
+        classes.select(*same, "class_id", "first", "weight").join(links, "class_id", "left")
         .join(joined.withColumnRenamed("id", "class_id"), "class_id", "left")
         .select(
-            *same, "class_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "class_id").alias("component_id"),
+            *same, F.col("first").alias("class_id"),
+            (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+            F.coalesce("component", "class_id").alias("component"),
         )
     )
-    ids = signed.select("doc_id", *same)
-    found = ids.filter("n > 0").join(known, same).select("doc_id", "class_id", "n_links", "component_id")
-    alone = ids.filter("n = 0").select("doc_id").unionAll(texts.filter("doc_id IS NULL").select("doc_id"))
+    if repeated:
+        least_id = known.groupBy("component").agg(F.min("class_id").alias("component_id"))
+        known = known.join(least_id, "component")
+    else:
+        known = known.withColumn("component_id", F.col("component"))
+    out = ["doc_id", "text_hash", "class_id", "n_links", "component", "component_id"]
+    ids = signed.select("doc_id", "text_hash", *same)
+    found = ids.filter("n > 0").join(known, same).select(*out)
+    alone = ids.filter("n = 0").select("doc_id", "text_hash")
+    alone = alone.unionAll(texts.filter("doc_id IS NULL").select("doc_id", "text_hash"))
+    # Without words: no component, so that nothing is dropped for them.
+    none = F.lit(None).cast("long")
     return found.unionAll(
         alone.select(
-            "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-            F.col("doc_id").alias("component_id"),
+            "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+            none.alias("component"), F.col("doc_id").alias("component_id"),
         )
     )
 
 
+def similar(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: class, links (other documents as similar), component.
+
+    ``class_id`` is the smallest id with the same shingles, ``component_id`` the smallest
+    one reachable over links. Options are the constants above, by name.
+    """
+    return _rows(docs, **options).select("doc_id", "class_id", "n_links", "component_id")
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without documents that are similar to one of smaller id, over any path."""
-    gone = similar(docs, **options).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.distinct(), docs["doc_id"] == F.col("__gone"), "left_anti")
+    """``docs`` without documents that are similar to one of smaller id, over any path.
+
+    Of rows that share the smallest id of a component one stays, that of the smallest hash of
+    the text, and one of equal texts; a row with that id and an unrelated text is another
+    component. Rows without an id or without words all stay.
+    """
+    found = _rows(docs, **options).filter("component IS NOT NULL")
+    found = cut_lineage(found.select("doc_id", "text_hash", "component", "component_id"))
+    heads = found.filter("doc_id = component_id")
+    more = heads.groupBy("component").agg(F.count("*").alias("__n"), F.min("text_hash").alias("__stays")).filter("__n > 1")
+    more = cut_lineage(heads.join(more.drop("__n"), "component").select("doc_id", "text_hash", "__stays").distinct())
+    gone = found.filter("doc_id <> component_id").select("doc_id", "text_hash")
+    gone = gone.unionAll(more.filter("text_hash <> __stays").select("doc_id", "text_hash"))
+    row = lambda t: (docs["doc_id"] == t["__id"]) & (F.xxhash64(docs["text"]) == t["__hash"])
+    named = lambda t: t.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    gone = named(gone)
+    kept = docs.join(gone, row(gone), "left_anti")
+    if more.isEmpty():
+        return kept
+    twice = named(more.filter("text_hash = __stays"))
+    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*docs.columns))
+    once = kept.join(twice, row(twice), "left_semi").withColumn("__row", F.row_number().over(order))
+    return kept.join(twice, row(twice), "left_anti").unionAll(once.filter("__row = 1").drop("__row"))

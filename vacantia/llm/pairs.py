@@ -27,6 +27,9 @@ def spread(
     Adds ``task``, ``low`` and ``high`` (the blocks that meet) and ``own`` (the block of the
     row). With ``own_pairs`` a block also meets itself; otherwise only in a group of one
     block, and whoever compares two blocks compares their members among themselves as well.
+
+    ``tasks`` is for groups of one block, which stay as many rows as they are; a group of more
+    adds a task of at most two blocks for every two of its blocks, however many these are.
     """
     size = F.lit(0) if size is None else size
     groups = (
@@ -46,7 +49,9 @@ def spread(
     out = out.withColumn("__other", F.explode(others)).withColumns(
         {"low": F.least("own", "__other"), "high": F.greatest("own", "__other")}
     )
-    task = F.pmod(F.xxhash64(key, "low", "high"), F.lit(tasks)).cast("int")
+    # Groups of one block share the tasks; every two blocks of a larger one have their own.
+    few = F.pmod(F.xxhash64(key), F.lit(tasks).cast("long"))
+    task = F.when(F.col("__blocks") == 1, few).otherwise(-1 - F.shiftrightunsigned(F.xxhash64(key, "low", "high"), 1))
     return out.withColumn("task", task).drop("__blocks", "__other")
 
 
