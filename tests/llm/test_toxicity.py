@@ -69,6 +69,26 @@ def test_edge_rows(spark):
     assert {r["predicted"] for r in toxicity.scores(df, marks.filter("toxic = 1")).collect()} == {1}
 
 
+def test_long_texts_are_learnt_from(spark):
+    docs, labels = bags(300)
+    long_ = [(i, t + ". plain words" * 4000 if i % 4 else t + ". plain words" * 9000, x, y) for i, t, x, y in docs]
+    df, marks = spark.createDataFrame(long_, DOCS), spark.createDataFrame(labels, LABELS)
+    rows = toxicity.scores(df, marks).collect()
+    assert np.mean([r["predicted"] == int(r["doc_id"] % 4 == 0) for r in rows]) > 0.97
+    # The bound of the bytes takes fewer rows, of any length that fits.
+    small = toxicity.train(df, marks, most_bytes=1 << 19)
+    assert len(toxicity.train(df, marks).features) > len(small.features)
+
+
+def test_many_offending_sentences_of_one_text(spark):
+    docs, labels = bags(200)
+    text = "é plain. zoudéxk here! " * 40_000
+    df = spark.createDataFrame([*docs, (1000, text, 0.0, None)], DOCS)
+    row = toxicity.scores(df, spark.createDataFrame(labels, LABELS)).filter("doc_id = 1000").first()
+    spans = [text[x["start"] : x["end"]] for x in row["sentences"] if "zou" in text[x["start"] : x["end"]]]
+    assert spans == [" zoudéxk here!"] * 40_000
+
+
 def test_sentences_cut_texts_without_gaps():
     texts = ["a b. c!? d\ne", "", None, "x", ".", "é. ü"]
     s = toxicity.Sentences(pa.array(texts, pa.string()))

@@ -6,13 +6,14 @@ product of what is left of each. Only documents are labelled: the likelihood of
 labels trains the sentence model, which then also tells the offending sentences.
 
 Scores depend on the text alone. Rows with crc32 of the id's text divisible by 5 are held
-out. The model is fitted on at most ``SAMPLE_ROWS`` of the other labelled rows (those with
-the smallest hashes of their ids) whose text has at most ``SAMPLE_BYTES`` bytes; all rows
-are scored over their whole texts.
+out. The model is fitted on at most ``SAMPLE_ROWS`` of the other labelled rows, those with
+the smallest hashes of their ids, whose whole texts have at most ``SAMPLE_BYTES`` bytes
+together: a text of any length is learnt from as long as it fits into what is left of these.
+All rows are scored over their whole texts.
 
 Defined cases: a null or empty text is one empty sentence; a row without an id is not held
 out and not learnt from; a label that is null or neither 0 nor 1 is no label, and of
-several labels of an id the largest counts; with labels of one kind only (or none) every
+several labels of an id the largest counts; equal rows are learnt from once; with labels of one kind only (or none) every
 score is the share of 1 among them (0).
 """
 
@@ -26,8 +27,9 @@ from vacantia.llm.arrays import U64, Words, expand, mix, parts
 from vacantia.llm.contamination import free_name, lower_words, member
 
 SAMPLE_ROWS = 6_000
-SAMPLE_BYTES = 32_768
+SAMPLE_BYTES = 24 << 20
 FIT_ROWS = 500  # rows looked at together while fitting
+FIT_BYTES = 2 << 20  # and bytes, where they are more than one row
 FEATURES = 4096
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are features besides the word
 LEAST_DOCS = 3
@@ -100,9 +102,8 @@ class Sentences:
     def span(self, sentence: int) -> tuple[int, int]:
         """Byte range of a sentence, its ending byte included."""
         t = int(self.text[sentence])
-        base = int(self.first[t])
-        k = sentence - base
-        cut = int(np.searchsorted(self.cuts, self.offsets[t])) + k
+        k = sentence - int(self.first[t])
+        cut = sentence - t  # ends before it: one for each earlier sentence that is no text's last
         begin = int(self.offsets[t]) if k == 0 else int(self.cuts[cut - 1]) + 1
         last = sentence == int(self.first[t + 1]) - 1
         return begin, int(self.offsets[t + 1]) if last else int(self.cuts[cut]) + 1
@@ -137,8 +138,15 @@ def noisy_or(logits: np.ndarray, first: np.ndarray) -> np.ndarray:
     return -np.expm1(np.add.reduceat(left, first[:-1])) if len(first) > 1 else np.zeros(0)
 
 
-def _steps(n: int) -> range:
-    return range(0, n, FIT_ROWS)
+def _steps(texts: pa.Array) -> list[tuple[int, int]]:
+    """First row and number of the rows that are looked at together."""
+    out, begin, held = [], 0, 0
+    for i, size in enumerate(_byte_sizes(texts).tolist()):
+        if i > begin and (i - begin == FIT_ROWS or held + size > FIT_BYTES):
+            out.append((begin, i - begin))
+            begin, held = i, 0
+        held += size
+    return [*out, (begin, len(texts) - begin)]
 
 
 def _document_counts(s: Sentences, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,7 +170,8 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
     if share in (0.0, 1.0):
         return Model(none, np.zeros(0), 40.0 if share else -800.0)
     # Documents of each kind that a feature is in, some documents at a time.
-    counted = [_document_counts(Sentences(texts.slice(a, FIT_ROWS)), y[a : a + FIT_ROWS]) for a in _steps(len(y))]
+    steps = _steps(texts)
+    counted = [_document_counts(Sentences(texts.slice(a, n)), y[a : a + n]) for a, n in steps]
     known, at = np.unique(np.concatenate([c[0] for c in counted]), return_inverse=True)
     total = np.bincount(at, np.concatenate([c[1] for c in counted]))
     ones = np.bincount(at, np.concatenate([c[2] for c in counted]))
@@ -173,8 +182,8 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
     del counted, known, at
     # Entries (sentence, chosen feature) of all words, and the text of each sentence.
     rows, columns, texts_of, count, base = [], [], [], [], 0
-    for a in _steps(len(y)):
-        s = Sentences(texts.slice(a, FIT_ROWS))
+    for a, n in steps:
+        s = Sentences(texts.slice(a, n))
         word, value = s.features()
         hit, place = member(value, chosen)
         word, place = word[hit], place[hit]
@@ -218,17 +227,25 @@ def train(
         labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id"))
         .agg(F.max("toxic").cast("int").alias("__toxic"))
     )
-    texts = docs.select("doc_id", "text").filter(
-        (F.coalesce(F.octet_length("text"), F.lit(0)) <= most_bytes) & ~held_out()
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("__hash")).filter(~held_out())
+    # The sample is chosen by id and size first, so that only its texts are moved.
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")
+    first = (
+        texts.select("doc_id", "__hash", size).join(marked, F.col("doc_id") == F.col("__id"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "__hash").limit(rows).collect()
     )
-    # The sample is chosen by id first, so that only its texts are moved.
-    sample = (
-        texts.select("doc_id").join(marked, F.col("doc_id") == F.col("__id"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("__id", "__toxic").distinct()
+    chosen, free = {}, most_bytes
+    for r in first:
+        key = (r["__id"], r["__hash"])
+        if key not in chosen and r["size"] <= free:
+            chosen[key] = r["__toxic"]
+            free -= r["size"]
+    sample = docs.sparkSession.createDataFrame(
+        [(*k, y) for k, y in chosen.items()], "__id long, __of long, __toxic int"
     )
     table = (
-        texts.join(F.broadcast(sample), F.col("doc_id") == F.col("__id"))
-        .select("doc_id", "text", "__toxic").orderBy("doc_id", F.xxhash64("text")).limit(rows).toArrow()
+        texts.join(F.broadcast(sample), (F.col("doc_id") == F.col("__id")) & (F.col("__hash") == F.col("__of")))
+        .dropDuplicates(["doc_id", "__hash"]).select("doc_id", "text", "__toxic").orderBy("doc_id", "__hash").toArrow()
     )
     return fit(table.column("text").combine_chunks(), np.asarray(table.column("__toxic")))
 
@@ -257,12 +274,14 @@ def judge(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, str
                 logits = model.value.sentence_logits(s)
                 score = noisy_or(logits, s.first)
                 spans: dict[int, list] = {}
+                # Code points before each byte of the part.
+                points = np.r_[0, np.cumsum((s.words.buf & 0xC0) != 0x80)]
                 for i in np.flatnonzero(logits >= np.log(OFFENDING / (1 - OFFENDING))).tolist():
                     t, (a, b) = int(s.text[i]), s.span(i)
-                    lead = (s.words.buf[int(s.offsets[t]) : b] & 0xC0) != 0x80
-                    first = int(lead[: a - int(s.offsets[t])].sum())
+                    before = int(points[s.offsets[t]])
                     spans.setdefault(t, []).append(
-                        {"start": first, "end": int(lead.sum()), "score": float(1 / (1 + np.exp(-logits[i])))}
+                        {"start": int(points[a]) - before, "end": int(points[b]) - before,
+                         "score": float(1 / (1 + np.exp(-logits[i])))}
                     )
                 found = [{"score": float(x), "sentences": spans.get(t, [])} for t, x in enumerate(score)]
                 yield pa.RecordBatch.from_arrays(
