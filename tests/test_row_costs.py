@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.test_plans import plan
 from vacantia.functions import text
-from vacantia.sources import AGGREGATOR_READERS, seed
+from vacantia.sources import seed
 
 
 def test_seed_is_decoded_by_all_tasks(spark):
@@ -19,3 +19,19 @@ def test_seed_is_decoded_by_all_tasks(spark):
     assert found["file:/seed/c2.yaml"] == (None, ["invalid_yaml"])
     assert found["file:/seed/c3.yaml"] == (None, ["not_a_mapping"])
     assert len(found) == 64
+
+
+def test_html_is_read_without_row_by_row_expressions(spark):
+    page = spark.createDataFrame([("<b>x</b>",)], "html string").select(text.page_text(F.col("html")).alias("m"))
+    shown = plan(page, "extended")
+    assert "lambdafunction" not in shown and "split(" not in shown
+
+
+def test_html_sections_end_as_before(run):
+    pages = [
+        "a<script>x</script>b<script>c", "<script a<script b</script>c", "a<!--<!-->b", "a<!--<!--x-->b", "a<!--x--><!--y",
+        "<head>t</head>u<header>v</header><head>w", "a </h2> b", "<li>a  </li><li>b</li>", "a\x01b",
+    ]
+    assert run(text.page_text, pages) == [
+        "abc", "c", "a<!--<!-->b".replace("<!-->", ""), "ab", "a<!--y", "uvw", "a\n\nb", "* a\n* b", "ab",
+    ]

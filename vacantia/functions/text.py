@@ -1,7 +1,5 @@
 """Text columns: trimming, HTML to text, sections, grounding, extraction."""
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
 from vacantia import fixed_values as V
@@ -71,48 +69,26 @@ _HTML_STEPS = [
     (r"[ \t\r\n]+", " "),
     (r"(?i) ?<br ?/?> ?", "  \n"),
     (r"(?i)<h([1-6])\b[^<>]*>\s*", "\n\n\x01$1 "),
-    (r"(?i)(?:(?<!\s)\s+)?</h[1-6]>\s*|</?(?:ul|ol|p|div|section|article|table|tr|blockquote)\b[^<>]*>", "\n\n"),
+    (r"(?i)</h[1-6]>\s*|</?(?:ul|ol|p|div|section|article|table|tr|blockquote)\b[^<>]*>|\s(?<!\s\s)\s*+</h[1-6]>\s*", "\n\n"),
     (r"(?i)<li\b[^<>]*>\s*", "\n* "),
     (r"(?i)</?(?:b|strong)\b[^<>]*>", "**"),
     (r"(?i)</?(?:i|em)\b[^<>]*>", "*"),
     (r"""(?i)<a\b(?>[^<>]*?href="([^"<>]*)")[^<>]*+>([^<]*+)</a>""", r"[$2]($1)"),
-    (r"(?i)(?:(?<!\s)\s+)?</li>|<[^<>]+>", ""),
+    (r"(?i)<[^<>]+>|\s(?<!\s\s)\s*+</li>", ""),
 ]
 _HEADING_MARKS = [(f"\x01{n}", "#" * n) for n in range(1, 7)]
 
 
-def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)``, the value computed once."""
-    return F.element_at(F.transform(F.array(value), then), 1)
-
-
-def _without(html: Column, opening: str, closing: str, literal: str) -> Column:
+def _without(html: Column, opening: str, closing: str) -> Column:
     """Cuts from each opening to the first closing after it; without one, the opening stays.
 
-    Patterns are for plain words, so each part of the text is read once.
+    An opening that is never closed takes all that follows along, so nothing is read more than twice.
     """
-    end = closing.removeprefix("(?i)")
-
-    def cut(parts: Column) -> Column:
-        last = F.array_max(F.transform(parts, lambda q, i: F.when((F.size(q) == 2) & (i > 0), i)))
-        return _bound(F.coalesce(last, F.lit(0)), lambda n: F.array_join(F.transform(parts, lambda q, i: kept(q, i, n)), ""))
-
-    def kept(part: Column, i: Column, last: Column) -> Column:
-        whole = F.array_join(part, end)
-        return (
-            F.when(i == 0, whole).when(i > last, F.concat(F.lit(literal), whole))
-            .when(F.size(part) == 2, part[1]).otherwise("")
-        )
-
-    def some(text: Column) -> Column:
-        parts = F.transform(F.split(text, opening), lambda p: F.split(p, closing, 2))
-        return F.when(F.contains(F.lower(text), F.lit(literal)), _bound(parts, cut)).otherwise(text)
-
-    return _bound(html, some)
+    return F.regexp_replace(html, f"(?is){opening}.*?{closing}|({opening}.*)", "$1")
 
 
 def drop_scripts(html: Column) -> Column:
-    return _without(_without(html, r"(?i)<script\b", "(?i)</script>", "<script"), r"(?i)<style\b", "(?i)</style>", "<style")
+    return _without(_without(html, r"<script\b", "</script>"), r"<style\b", "</style>")
 
 
 def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -124,11 +100,11 @@ def _replaced(text: Column, pairs: list[tuple[str, str]]) -> Column:
 def html_to_markdown(html: Column) -> Column:
     """Markdown for the tag set postings use; null and empty give the empty string.
 
-    Linear in the page, hostile pages included: comments and head are found by cutting the text
-    at their openings, and a "<" without a ">" before the next one is text.
+    Linear in the page, hostile pages included: a comment or head never closed is looked through
+    once, and a "<" without a ">" before the next one is text.
     """
-    out = F.translate(F.coalesce(html, F.lit("")), "\x01", "")
-    out = _without(_without(out, "<!--", "-->", "<!--"), r"(?i)<head\b", "(?i)</head>", "<head")
+    out = F.replace(F.coalesce(html, F.lit("")), F.lit("\x01"), F.lit(""))
+    out = _without(_without(out, "<!--", "(?<!<!)-->"), r"<head\b", "</head>")
     for pattern, repl in _HTML_STEPS:
         out = F.regexp_replace(out, pattern, repl)
     out = _replaced(_replaced(out, _HEADING_MARKS), _ENTITIES)
