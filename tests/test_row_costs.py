@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.test_plans import plan
 from vacantia.functions import text
-from vacantia.sources import seed
+from vacantia.sources import AGGREGATOR_READERS, seed
 
 
 def test_seed_is_decoded_by_all_tasks(spark):
@@ -35,3 +35,17 @@ def test_html_sections_end_as_before(run):
     assert run(text.page_text, pages) == [
         "abc", "c", "a<!--<!-->b".replace("<!-->", ""), "ab", "a<!--y", "uvw", "a\n\nb", "* a\n* b", "ab",
     ]
+
+
+def test_bof_link_is_sought_once(spark):
+    rows = spark.createDataFrame(
+        [("bof", "c", None, 0, '<a class="lister__item cf" id="item-1"><img alt="Acme logo"><i></i><a href=" /careers/job/7/x/ ">'
+          '<span> Acme Lead </span></a><b class="lister__meta-item--location">Berlin, Germany</li></section><a href="/careers/job/8/y"><span>n</span></a>')],
+        "source string, company_slug string, handle string, page int, body string",
+    ).withColumn("fetched_at", F.lit("2002-01-01").cast("timestamp"))
+    found = AGGREGATOR_READERS["bof"](rows)
+    # The whole block is searched for the link once, the parts are read from the link.
+    assert plan(found, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical")[0].count("regexp_extract(raw") == 3
+    assert [(r["title"], r["url"], r["location"]) for r in found.collect()] == [
+        ("Lead", "https://www.businessoffashion.com/careers/job/7/x/", "Berlin, Germany")
+    ]

@@ -218,14 +218,19 @@ def bof(payloads: DataFrame, block_limit: int | None = None) -> DataFrame:
     blocks = F.transform(
         opened,
         lambda b: head(
-            F.regexp_replace(F.split(b, '</section>|class="lister__item')[0], r'^[^"]*"\s+id="item-\d+"', ""),
+            F.regexp_replace(
+                F.substring_index(F.substring_index(b, "</section>", 1), 'class="lister__item', 1),
+                r'^[^"]*"\s+id="item-\d+"', "",
+            ),
             block_limit,
         ),
     )
+    # The link is sought once; its parts are then read from the few characters it has.
+    linked = evaluate_once(items(payloads, blocks), link=F.regexp_extract("raw", V.LISTING_TITLE, 0))
     found = evaluate_once(
-        items(payloads, blocks),
-        path=strip_computed(F.regexp_extract("raw", V.LISTING_TITLE, 1)),
-        full_title=strip_computed(F.regexp_extract("raw", V.LISTING_TITLE, 2)),
+        linked.filter(F.col("link") != ""),
+        path=strip_computed(F.regexp_extract("link", V.LISTING_TITLE, 1)),
+        full_title=strip_computed(F.regexp_extract("link", V.LISTING_TITLE, 2)),
         place=strip_computed(F.regexp_extract("raw", V.LISTING_LOCATION, 1)),
         brand=strip_computed(F.regexp_extract("raw", V.LISTING_BRAND, 1)),
     )
