@@ -80,6 +80,23 @@ def test_long_texts_are_learnt_from(spark):
     assert len(toxicity.train(df, marks).features) > len(small.features)
 
 
+def test_the_model_is_fitted_outside_the_driver(spark, monkeypatch):
+    docs, labels = bags(200)
+    df, marks = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    usual = toxicity.train(df, marks)
+    here = sorted((i, text, labels[i][1]) for i, text, *_ in docs if not held(i))
+    same = toxicity.fit(pa.array([t for _, t, _ in here]), np.array([y for *_, y in here]))
+    assert (usual.features == same.features).all() and (usual.weights == same.weights).all() and usual.bias == same.bias
+
+    def refuse(*_):
+        raise AssertionError("fitted in the driver")
+
+    monkeypatch.setattr(toxicity, "fit", refuse)  # of this process only
+    assert len(toxicity.train(df, marks).features) == len(usual.features)
+    monkeypatch.undo()
+    assert not len(toxicity.train(df, marks.filter("toxic > 1")).features)
+
+
 def test_many_offending_sentences_of_one_text(spark):
     docs, labels = bags(200)
     text = "é plain. zoudéxk here! " * 40_000

@@ -243,11 +243,28 @@ def train(
     sample = docs.sparkSession.createDataFrame(
         [(*k, y) for k, y in chosen.items()], "__id long, __of long, __toxic int"
     )
-    table = (
+    chosen_texts = (
         texts.join(F.broadcast(sample), (F.col("doc_id") == F.col("__id")) & (F.col("__hash") == F.col("__of")))
-        .dropDuplicates(["doc_id", "__hash"]).select("doc_id", "text", "__toxic").orderBy("doc_id", "__hash").toArrow()
+        .dropDuplicates(["doc_id", "__hash"]).select("doc_id", "__hash", "text", "__toxic")
+        .repartition(1).sortWithinPartitions("doc_id", "__hash")
+    )
+    # Fitted in a task: neither the texts nor what is worked out of them enters the driver.
+    found = chosen_texts.mapInArrow(_fitted, "features binary, weights binary, bias double").first()
+    if found is None:
+        return fit(pa.array([], pa.string()), np.zeros(0))
+    return Model(np.frombuffer(found["features"], U64), np.frombuffer(found["weights"], np.float64), found["bias"])
+
+
+def _fitted(batches):
+    """The model of all rows, which are one sample of bounded size."""
+    held = [b.select(["text", "__toxic"]) for b in batches]
+    empty = None if held else pa.schema([("text", pa.string()), ("__toxic", pa.int32())])
+    table = pa.Table.from_batches(held, empty)
+    model = fit(table.column("text").combine_chunks(), np.asarray(table.column("__toxic")))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([model.features.tobytes()], pa.binary()), pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])],
+        ["features", "weights", "bias"],
     )
-    return fit(table.column("text").combine_chunks(), np.asarray(table.column("__toxic")))
 
 
 def judge(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, str]:
