@@ -40,10 +40,13 @@ class Packed:
         self.at_ = np.ndarray((len(data) + 1,), ">u8", buffer=padded, strides=(1,))
 
     def at(self, place: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        keep = np.clip(stop - place, 0, _STEP)
         value = self.at_[np.minimum(place, len(self.at_) - 1)].astype(U64)
-        drop = (_STEP - keep).astype(U64) * U64(8)
-        return np.where(keep > 0, (value >> np.minimum(drop, U64(63))) << np.minimum(drop, U64(63)), U64(0))
+        # Few strings end within eight bytes; only there something is cut.
+        some = np.flatnonzero(stop - place < _STEP)
+        keep = np.clip(stop[some] - place[some], 0, _STEP)
+        drop = np.minimum((_STEP - keep).astype(U64) * U64(8), U64(63))
+        value[some] = np.where(keep > 0, (value[some] >> drop) << drop, U64(0))
+        return value
 
 
 def smaller_than_next(data: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -58,26 +61,56 @@ def smaller_than_next(data: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return rising[np.minimum.accumulate(decided[::-1])[::-1]]
 
 
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Where rows differ from the row before."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new
+
+
+def _order(group: np.ndarray, key: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Order by key and then bytes left inside each group; groups are numbered and stay in order."""
+    by = np.argsort(key)
+    small = np.uint16 if group[-1] < 1 << 16 else np.int64  # 16 bits sort in linear time
+    by = by[np.argsort(group.astype(small)[by], kind="stable")]
+    if (left < _STEP).any():
+        # Equal bytes are told apart by the string's end; few runs hold one.
+        run = np.cumsum(_runs(group[by], key[by])) - 1
+        ends = np.zeros(run[-1] + 1, bool)
+        ends[run[left[by] < _STEP]] = True
+        some = np.flatnonzero(ends[run])
+        by[some] = by[some][np.lexsort((left[by[some]], run[some]))]
+    return by
+
+
 def sort_directly(packed: Packed, place: np.ndarray, stop: np.ndarray, depth: int) -> np.ndarray:
     """``place`` in the order of the suffixes there, by their first ``depth`` bytes."""
     order = np.arange(len(place))
-    group = np.zeros(len(place), np.int64)
-    active = np.arange(len(place))
-    for done in range(0, depth, _STEP):
-        who = order[active]
-        at, end = place[who] + done, stop[who]
-        left = np.clip(end - at, 0, _STEP)
-        key = packed.at(at, end)
-        by = np.lexsort((left, key, group[active]))
-        order[active] = who[by]
-        key, left, g = key[by], left[by], group[active]
-        new = np.ones(len(g), bool)
-        new[1:] = (g[1:] != g[:-1]) | (key[1:] != key[:-1]) | (left[1:] != left[:-1])
-        group[active] = active[np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))]
-        tied = ~new | np.r_[~new[1:], False]
-        active = active[tied & (left == _STEP)]
+    # Of the places still tied: where they stand in the order, next byte, end, first of a group.
+    active, at, end, head = order.copy(), place, stop, np.zeros(len(place), bool)
+    head[:1] = True
+    for _ in range(0, depth, _STEP):
         if len(active) < 2:
             break
+        key, left = packed.at(at, end), np.minimum(end - at, _STEP)
+        changed = ~head & _runs(key, left)
+        # Copies stay alike for long: only groups whose next bytes differ are sorted.
+        if changed.any():
+            number = np.cumsum(head) - 1
+            differ = np.zeros(number[-1] + 1, bool)
+            differ[number[changed]] = True
+            some = np.flatnonzero(differ[number])
+            by = some[_order(np.cumsum(head[some]) - 1, key[some], left[some])]
+            order[active[some]] = order[active[by]]
+            at, end = at.copy(), end.copy()
+            for x in (key, left, at, end):
+                x[some] = x[by]
+            head = head | _runs(key, left)
+        tied = left == _STEP
+        tied[:-1] &= ~head[:-1] | ~head[1:]
+        tied[-1] &= not head[-1]
+        active, at, end, head = active[tied], at[tied] + _STEP, end[tied], head[tied]
     return place[order]
 
 
@@ -140,9 +173,12 @@ def common_prefix(packed: Packed, a: np.ndarray, b: np.ndarray, stop_a, stop_b,
     for done in range(0, most, _STEP):
         x, y = packed.at(a[todo] + done, stop_a[todo]), packed.at(b[todo] + done, stop_b[todo])
         room = np.minimum(stop_a[todo] - a[todo], stop_b[todo] - b[todo]) - done
-        same = np.zeros(len(todo), np.int64)
-        for j in range(1, _STEP + 1):
-            same += (x ^ y) >> U64(64 - 8 * j) == 0
+        same = np.full(len(todo), _STEP)
+        unlike = np.flatnonzero(x != y)
+        change = x[unlike] ^ y[unlike]
+        same[unlike] = 0
+        for j in range(1, _STEP):
+            same[unlike] += change >> U64(64 - 8 * j) == 0
         same = np.clip(np.minimum(same, room), 0, _STEP)
         out[todo] += same
         todo = todo[same == _STEP]
