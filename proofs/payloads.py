@@ -25,7 +25,10 @@ def _key(prefix: str = "") -> Column:
 
 
 def _landed(t: Tables, source: str, body: Column, handle: Column | None = None) -> DataFrame:
-    return t.orders.select(
+    # Bodies are many times larger than their orders, and reading them costs more still: a file
+    # of a few megabytes, one task's input, is dealt to all tasks of a shuffle before they are built.
+    tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return t.orders.repartition(tasks).select(
         F.lit(source).alias("source"),
         F.concat(F.lit("c-"), F.col("o_custkey").cast("string")).alias("company_slug"),
         (F.lit(None).cast("string") if handle is None else handle).alias("handle"),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from proofs import PROOFS, Tables
 from tests.test_plans import plan
 from vacantia.functions import text
 from vacantia.sources import AGGREGATOR_READERS, seed
@@ -49,3 +50,17 @@ def test_bof_link_is_sought_once(spark):
     assert [(r["title"], r["url"], r["location"]) for r in found.collect()] == [
         ("Lead", "https://www.businessoffashion.com/careers/job/7/x/", "Berlin, Germany")
     ]
+
+
+def test_payloads_of_one_file_are_read_by_all_tasks(spark, tmp_path):
+    orders = spark.range(400).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'1-URGENT' AS o_orderpriority", "DATE '1997-01-02' AS o_orderdate", "id AS unused"
+    )
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    found = PROOFS["payload_wttj"].build(Tables(spark, str(tmp_path)))
+    shown = plan(found, "simple")
+    assert shown.count("REPARTITION_BY_NUM") >= 1 and "body" not in shown.split("REPARTITION_BY_NUM")[-1]
+    # Orders move with the columns that bodies take, before these are built.
+    assert "unused" not in shown
+    assert found.groupBy("title").count().orderBy("title").collect() == [("Buyer", 200), ("Chef", 200), ("Data Lead", 200)]
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() >= 8
