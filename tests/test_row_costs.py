@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from proofs import PROOFS, Tables
 from tests.test_plans import plan
 from vacantia.functions import text
+from vacantia.operators import changes
 from vacantia.sources import AGGREGATOR_READERS, seed
 
 
@@ -64,3 +65,34 @@ def test_payloads_of_one_file_are_read_by_all_tasks(spark, tmp_path):
     assert "unused" not in shown
     assert found.groupBy("title").count().orderBy("title").collect() == [("Buyer", 200), ("Chef", 200), ("Data Lead", 200)]
     assert found.select(F.spark_partition_id().alias("p")).distinct().count() >= 8
+
+
+SNAPSHOT = (
+    "id string, company_slug string, title string, url string, location string, source string, posted_at timestamp, "
+    "remote_policy string, seniority string, salary_min double, salary_max double, salary_currency string, salary_period string"
+)
+
+
+def test_diff_moves_each_row_once(spark):
+    def rows(*some):
+        full = [(i, "c", title, "u\"\\\n\u00e9", None, "s", None, None, who, low, None, "EUR", None) for i, title, who, low in some]
+        return spark.createDataFrame(full, SNAPSHOT).withColumn("posted_at", F.expr("TIMESTAMP '2001-07-20 06:00:00.123456'"))
+
+    was = rows(("a", "x", None, 1.5), ("b", "x", "senior", None), ("c", "x", None, None), (None, "n", None, None), ("f", "x", None, -0.0))
+    now = rows(("a", "x", None, 2.5), ("a", "w", None, 9.0), ("b", "x", None, None), ("d", "\u00fc \"q\"", None, None), (None, "n", None, None),
+               ("f", "x", None, 0.0))
+    found = changes.change_events(now, was)
+    told = {(r["event"], r["id"], r["field"], r["old"], r["new"]) for r in found.collect()}
+    assert told == {
+        ("changed", "a", "salary", "1.5||EUR|year", "2.5||EUR|year"), ("changed", "b", "seniority", "senior", None),
+        ("removed", "c", None, None, None), ("new", "d", None, None, None), ("new", None, None, None, None), ("removed", None, None, None, None),
+    }
+    new = found.filter("event = 'new' AND id = 'd'").selectExpr("title", "url", "location", "unix_micros(posted_at) % 1000000 AS us").first()
+    assert tuple(new) == ("\u00fc \"q\"", "u\"\\\n\u00e9", "", 123456)
+    pair = changes.pair_snapshots(now, was).filter("id = 'f'").selectExpr("unix_micros(now.posted_at) % 1000000", "was.title", "was.salary.min").first()
+    assert tuple(pair) == (123456, "x", 0.0)
+    # What moves is the text that breaks ties and the time, not the columns beside them.
+    shown = found._jdf.queryExecution().optimizedPlan().toString()
+    lines = shown.splitlines()
+    below = [lines[i + 1].split("Project [")[-1] for i, line in enumerate(lines) if "WindowGroupLimit" in line]
+    assert len(below) == 2 and all("StructsToJson" in b and b.split("invoke(")[0].count("#") == 1 for b in below)

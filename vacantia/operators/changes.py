@@ -1,9 +1,12 @@
 """Snapshot-to-snapshot change detection."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vacantia.functions.money import band, band_text
-from vacantia.operators.merge import one_per_id
+from vacantia.functions.once import evaluate_once
+from vacantia.operators.merge import first_per_key, one_per_id
 
 TRACKED = ["title", "url", "location", "salary", "remote_policy", "seniority"]
 SUMMARY = ["company_slug", "title", "url", "location", "source", "posted_at"]
@@ -33,10 +36,31 @@ def repaired(jobs: DataFrame) -> DataFrame:
     )
 
 
-def _comparable(jobs: DataFrame, sequence: str | None) -> DataFrame:
+def _last_rows(jobs: DataFrame, sequence: str | None) -> tuple[DataFrame, T.StructType]:
+    """``id``, ``text`` and ``posted_at`` of one row per id, and the columns that the text holds.
+
+    The text breaks ties between rows of an id. It tells all compared columns but the exact time,
+    so rows move as that alone, not once as text and once as columns.
+    """
     columns = list(dict.fromkeys(SUMMARY + TRACKED))
-    rows = repaired(jobs).select("id", *columns, *([sequence] if sequence in jobs.columns else []))
-    return one_per_id(rows, columns, sequence=sequence)
+    rows = repaired(jobs)
+    held = rows.select(*[c for c in columns if c != "posted_at"]).schema
+    text = F.to_json(F.struct(*columns)).alias("text")
+    rows = rows.select("id", text, "posted_at", *([sequence] if sequence in rows.columns else []))
+    order = [F.col("text").desc()]
+    if sequence in rows.columns:
+        order = [F.col(sequence).desc_nulls_last(), *order]
+    return first_per_key(rows, ["id"], order).select("id", "text", "posted_at"), held
+
+
+def _sides(today: DataFrame, yesterday: DataFrame, sequence: str | None) -> tuple[DataFrame, Callable, Callable]:
+    """The last rows of both dates side by side, and how to read the other columns of each from its text."""
+    now, held_now = _last_rows(today, sequence)
+    was, held_was = _last_rows(yesterday, sequence)
+    both = now.select("id", F.col("text").alias("__now"), F.col("posted_at").alias("__now_at")).join(
+        was.select("id", F.col("text").alias("__was"), F.col("posted_at").alias("__was_at")), "id", "full_outer"
+    )
+    return both, lambda text: F.from_json(text, held_now), lambda text: F.from_json(text, held_was)
 
 
 def pair_snapshots(
@@ -46,11 +70,15 @@ def pair_snapshots(
 
     An id held several times counts with its last row, by ``sequence`` where it is stored.
     """
-    def side(df: DataFrame, name: str) -> DataFrame:
-        rows = _comparable(df, sequence)
-        return rows.select("id", F.struct(*[c for c in rows.columns if c != "id"]).alias(name))
+    both, now, was = _sides(today, yesterday, sequence)
+    read = evaluate_once(both, now=now(F.col("__now")), was=was(F.col("__was")))
+
+    def whole(side: str) -> Column:
+        fields = [F.col(f"__{side}_at") if c == "posted_at" else F.col(side)[c] for c in dict.fromkeys(SUMMARY + TRACKED)]
+        named = [c.alias(n) for n, c in zip(dict.fromkeys(SUMMARY + TRACKED), fields)]
+        return F.when(F.col(side).isNotNull(), F.struct(*named)).alias(side)
 
-    return side(today, "now").join(side(yesterday, "was"), "id", "full_outer")
+    return read.select("id", whole("now"), whole("was"))
 
 
 def _text(side: Column, field: str) -> Column:
@@ -91,14 +119,17 @@ def change_events(
         .when(now.isNull(), F.array(event("removed", null, null, null)))
         .otherwise(changes)
     )
-    exploded = pair_snapshots(today, yesterday, sequence=sequence).select(
-        "id", "now", F.explode(events).alias("e")
-    )
+    both, read_now, read_was = _sides(today, yesterday, sequence)
+    # Equal texts are equal rows, and nothing is told of a removed row: neither is read.
+    known = F.when(F.col("__now").isNull() & F.col("__was").isNotNull(), F.lit("{}")).otherwise(F.col("__was"))
+    differ = both.filter(~F.col("__now").eqNullSafe(F.col("__was")))
+    pairs = evaluate_once(differ, now=read_now(F.col("__now")), was=read_was(known))
+    exploded = pairs.select("id", "now", "__now_at", F.explode(events).alias("e"))
     is_new = F.col("e.event") == "new"
     return exploded.select(
         F.col("e.event").alias("event"),
         "id",
-        *[F.when(is_new, now[c]).alias(c) for c in SUMMARY],
+        *[F.when(is_new, F.col("__now_at") if c == "posted_at" else now[c]).alias(c) for c in SUMMARY],
         F.col("e.field").alias("field"),
         F.col("e.old").alias("old"),
         F.col("e.new").alias("new"),
