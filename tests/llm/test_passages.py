@@ -1,5 +1,6 @@
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -116,3 +117,26 @@ def test_copies_are_not_sorted_again_at_every_step(monkeypatch):
     assert suffix == sorted(suffix)
     # Nearly all stay in groups of four or two for many steps; few of these steps tell members apart.
     assert sum(sorted_rows) < 4 * len(data)
+
+
+@pytest.mark.parametrize("step", ["entries", "finish"])
+def test_a_chunk_of_substring_dedup_is_held_in_few_bytes(step):
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, 40_000, np.uint8)).decode() for _ in range(100)]
+    docs = pa.table({"doc_id": pa.array(range(101), pa.int64()), "text": [*texts, texts[0]]})
+    told = suffixes.SEARCH.replies(suffixes.SEARCH.entries(0, docs, 1))
+    tracemalloc.start()
+    if step == "entries":
+        suffixes.SEARCH.entries(0, docs, 1)
+    else:
+        suffixes._finish(False)(docs, *suffixes.SEARCH.marked(docs, told))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * 4_040_000
+
+
+def test_ranges_join_inside_a_document_only():
+    first, end = suffixes._maximal(np.array([12, 0, 5, 10, 3]), np.array([15, 4, 10, 12, 5]), np.array([0, 10, 10, 20]))
+    assert (first.tolist(), end.tolist()) == ([0, 10], [10, 15])
+    first, end = suffixes._maximal(np.zeros(0, np.int64), np.zeros(0, np.int64), np.array([0, 0]))
+    assert len(first) == len(end) == 0

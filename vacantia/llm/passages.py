@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from vacantia.llm.arrays import U64, expand, mix
 
 CHUNK_BYTES = 4 << 20
-STEP = 1 << 20  # units hashed at a time
+STEP = 1 << 18  # units hashed at a time; a step holds some 15 numbers for each
 HEAVY = 20_000
 UNIFORM, MIXED, SPLIT = 1, 2, 3
 _BASE = 0x9E3779B97F4A7C15
@@ -75,11 +75,12 @@ def sliding_min(key: np.ndarray, w: int) -> np.ndarray:
 
 
 def segments(
-    values: np.ndarray, left: np.ndarray, window: int, gram: int, step: int = STEP
+    values: np.ndarray, left: np.ndarray, window: int, gram: int, step: int = STEP, table: np.ndarray | None = None
 ) -> Segments:
-    """Segments of the texts whose units have these 64-bit values; ``left`` counts the units
-    from each one to the end of its text. Long inputs are taken in steps that overlap by a
-    window, so each window is in one segment."""
+    """Segments of the texts whose units have these 64-bit values (with ``table``, are these
+    places in a table of values); ``left`` counts the units from each one to the end of its
+    text. Long inputs are taken in steps that overlap by a window, so each window is in one
+    segment."""
     found = []
     for a in range(0, max(0, len(values) - window + 1), step):
         v = values[a : a + step + window - 1]
@@ -87,6 +88,7 @@ def segments(
         ok = left[a : a + m] >= window
         if not ok.any():
             continue
+        v = v if table is None else table[v]
         power, inverse = _powers(step + window)
         total = np.zeros(len(v) + 1, U64)
         np.cumsum(v * power[: len(v)], out=total[1:])

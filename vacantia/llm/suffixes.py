@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from vacantia.llm import passages
-from vacantia.llm.arrays import U64, covered, odd_constants, text_bytes
+from vacantia.llm.arrays import U64, odd_constants, text_bytes
 
 LENGTH = 200
 GRAM = 50
@@ -210,8 +210,11 @@ def repeats(content: list[bytes], many: np.ndarray, *_) -> tuple:
 class _Bytes(passages.Chunk):
     def __init__(self, docs: pa.Table, step: int):
         self.buf, self.offsets = text_bytes(docs.column("text"))
-        left = np.repeat(self.offsets[1:], np.diff(self.offsets)) - np.arange(len(self.buf))
-        found = passages.segments(_VALUES[self.buf], left, LENGTH, GRAM, step)
+        # Nothing as long as the chunk is held in more bits than it needs.
+        kind = np.int32 if len(self.buf) < 1 << 31 else np.int64
+        left = np.repeat(self.offsets[1:].astype(kind), np.diff(self.offsets))
+        left -= np.arange(len(self.buf), dtype=kind)
+        found = passages.segments(self.buf, left, LENGTH, GRAM, step, _VALUES)
         super().__init__(found, np.zeros(len(found.start), np.int64))
 
 
@@ -223,22 +226,32 @@ def _content(chunk: _Bytes, start: np.ndarray, windows: np.ndarray) -> list[byte
 SEARCH = passages.Search(LENGTH, _Bytes, _content, repeats, by_document=False)
 
 
+def _maximal(first: np.ndarray, end: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of bytes, none of them over two documents, joined where they meet inside one."""
+    order = np.argsort(first, kind="stable")
+    first, upto = first[order], np.maximum.accumulate(end[order])
+    doc = np.searchsorted(offsets, first, "right")
+    new = np.ones(len(first) + 1, bool)
+    new[1:-1] = (first[1:] > upto[:-1]) | (doc[1:] != doc[:-1])
+    return first[new[:-1]], upto[new[1:]]
+
+
 def _finish(with_text: bool):
     def finish(docs: pa.Table, chunk: _Bytes, first, last, _) -> pa.Table:
-        n = docs.num_rows
-        removed = covered(len(chunk.buf), first, last + LENGTH)
-        edge = np.zeros(len(chunk.buf), bool)
-        edge[1:] = ~removed[:-1]
-        edge[chunk.offsets[:-1][chunk.offsets[:-1] < len(edge)]] = True
-        upto = np.r_[0, np.cumsum(removed)]
-        runs = np.r_[0, np.cumsum(removed & edge)]
-        at = chunk.offsets
+        n, at = docs.num_rows, chunk.offsets
+        first, end = _maximal(first, last + LENGTH, at)
+        change = np.zeros(len(chunk.buf) + 1, np.int8)
+        change[first] += 1
+        change[end] -= 1
+        removed = np.cumsum(change[:-1], dtype=np.int8, out=change[:-1]).view(bool)
+        runs = np.searchsorted(first, at)
+        upto = np.r_[0, np.cumsum(end - first)][runs]
         kept = chunk.buf[~removed].tobytes()
-        kept_at = at - upto[at]
+        kept_at = at - upto
         texts = [kept[kept_at[i] : kept_at[i + 1]] for i in range(n)]
         out = {
             "doc_id": docs.column("doc_id"), "n_bytes": pa.array(np.diff(at)),
-            "n_removed": pa.array(upto[at[1:]] - upto[at[:-1]]), "n_spans": pa.array(runs[at[1:]] - runs[at[:-1]]),
+            "n_removed": pa.array(np.diff(upto)), "n_spans": pa.array(np.diff(runs)),
             "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
         }
         if with_text:
