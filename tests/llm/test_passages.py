@@ -140,3 +140,14 @@ def test_ranges_join_inside_a_document_only():
     assert (first.tolist(), end.tolist()) == ([0, 10], [10, 15])
     first, end = suffixes._maximal(np.zeros(0, np.int64), np.zeros(0, np.int64), np.array([0, 0]))
     assert len(first) == len(end) == 0
+
+
+def test_a_bucket_of_pieces_is_compared_in_few_bytes():
+    rng = np.random.default_rng(6)
+    data = bytes(rng.integers(97, 101, 100_000, np.uint8))
+    pieces = [data[a : a + 300] for a in rng.integers(0, 99_700, 3_000).tolist()]
+    tracemalloc.start()
+    suffixes.repeats(pieces, np.zeros(3_000, bool))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 90 * 900_000

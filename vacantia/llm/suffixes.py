@@ -49,16 +49,21 @@ class Packed:
         return value
 
 
+def _places(n: int) -> type:
+    """The smallest kind of number for places among ``n`` bytes."""
+    return np.int32 if n < 1 << 30 else np.int64
+
+
 def smaller_than_next(data: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Which suffixes sort before the one that starts a byte later; a string's end sorts first."""
-    n = len(data)
+    n, kind = len(data), _places(len(data))
+    ends = stop[:-1] != stop[1:]
     rising, falling = np.zeros(n, bool), np.ones(n, bool)
-    inner = np.flatnonzero(np.arange(1, n + 1) < stop)
-    rising[inner] = data[inner] < data[inner + 1]
-    falling[inner] = data[inner] > data[inner + 1]
+    rising[:-1] = (data[:-1] < data[1:]) & ~ends
+    falling[:-1] = (data[:-1] > data[1:]) | ends
     # Equal neighbours are of the kind of the next place where bytes differ.
-    decided = np.where(rising | falling, np.arange(n), n)
-    return rising[np.minimum.accumulate(decided[::-1])[::-1]]
+    decided = np.where(rising | falling, np.arange(n, dtype=kind), kind(n))[::-1]
+    return rising[np.minimum.accumulate(decided, out=decided)[::-1]]
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -86,22 +91,22 @@ def _order(group: np.ndarray, key: np.ndarray, left: np.ndarray) -> np.ndarray:
 
 def sort_directly(packed: Packed, place: np.ndarray, stop: np.ndarray, depth: int) -> np.ndarray:
     """``place`` in the order of the suffixes there, by their first ``depth`` bytes."""
-    order = np.arange(len(place))
+    order = np.arange(len(place), dtype=place.dtype)
     # Of the places still tied: where they stand in the order, next byte, end, first of a group.
     active, at, end, head = order.copy(), place, stop, np.zeros(len(place), bool)
     head[:1] = True
     for _ in range(0, depth, _STEP):
         if len(active) < 2:
             break
-        key, left = packed.at(at, end), np.minimum(end - at, _STEP)
+        key, left = packed.at(at, end), np.minimum(end - at, _STEP).astype(np.int8)
         changed = ~head & _runs(key, left)
         # Copies stay alike for long: only groups whose next bytes differ are sorted.
         if changed.any():
-            number = np.cumsum(head) - 1
+            number = np.cumsum(head, dtype=place.dtype) - 1
             differ = np.zeros(number[-1] + 1, bool)
             differ[number[changed]] = True
             some = np.flatnonzero(differ[number])
-            by = some[_order(np.cumsum(head[some]) - 1, key[some], left[some])]
+            by = some[_order(np.cumsum(head[some], dtype=place.dtype) - 1, key[some], left[some])]
             order[active[some]] = order[active[by]]
             at, end = at.copy(), end.copy()
             for x in (key, left, at, end):
@@ -122,13 +127,13 @@ def two_stage(data: np.ndarray, offsets: np.ndarray, depth: int) -> np.ndarray:
     n = len(data)
     if not n:
         return np.zeros(0, np.int64)
-    stop = np.repeat(offsets[1:], np.diff(offsets))
-    small = smaller_than_next(data, stop)
-    direct = np.flatnonzero(small)
+    stop = np.repeat(offsets[1:].astype(_places(n)), np.diff(offsets))
+    direct = np.flatnonzero(smaller_than_next(data, stop)).astype(stop.dtype)
     direct = sort_directly(Packed(data), direct, stop[direct], depth)
+    del stop
     first = data[direct]
     direct_at = np.searchsorted(first, np.arange(257))
-    before = np.full(n, -1, np.int64)  # the byte before each place, -1 at a string's start
+    before = np.full(n, -1, np.int16)  # the byte before each place, -1 at a string's start
     before[1:] = data[:-1]
     before[offsets[:-1][offsets[:-1] < n]] = -1
     queue: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -146,7 +151,7 @@ def two_stage(data: np.ndarray, offsets: np.ndarray, depth: int) -> np.ndarray:
 
     # The ends of the strings sort before everything; the last byte of each comes from them.
     ends = offsets[1:][np.diff(offsets) > 0]
-    last = ends - 1
+    last = (ends - 1).astype(direct.dtype)
     by = np.argsort(data[last], kind="stable")
     for c in range(256):
         some = last[by][slice(*np.searchsorted(data[last][by], [c, c + 1]))]
@@ -154,7 +159,7 @@ def two_stage(data: np.ndarray, offsets: np.ndarray, depth: int) -> np.ndarray:
             queue[c].append(some)
     out = []
     for c in range(256):
-        level = np.concatenate(queue[c]) if queue[c] else np.zeros(0, np.int64)
+        level = np.concatenate(queue[c]) if queue[c] else direct[:0]
         induced = []
         while len(level):
             induced.append(level)
@@ -188,8 +193,8 @@ def common_prefix(packed: Packed, a: np.ndarray, b: np.ndarray, stop_a, stop_b,
 def repeats(content: list[bytes], many: np.ndarray, *_) -> tuple:
     """Runs of windows of each piece that occur elsewhere: piece, first, last window."""
     data, offsets = text_bytes(pa.array(content, pa.large_binary()))
-    stop = np.repeat(offsets[1:], np.diff(offsets))
     array = two_stage(data, offsets, LENGTH)
+    stop = np.repeat(offsets[1:].astype(array.dtype), np.diff(offsets))
     array = array[stop[array] - array >= LENGTH]
     again = np.zeros(len(data) + 1, bool)
     if len(array) > 1:
