@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +78,37 @@ def test_empty_index(spark, tmp_path):
     search_index.write_day(spark.createDataFrame([], SCHEMA), F.col("text"), root, "2026-05-01", key="id", facets=FACETS)
     assert search_index.search(spark, root, "data", facets=["kind"], selected={"kind": ["a"]}).collect() == []
     assert search_index.facet_counts(spark, root, {"kind": ["a"]}).collect() == []
+
+
+@pytest.mark.parametrize("least", [1, 1 << 18])
+def test_postings_of_a_block(monkeypatch, least):
+    monkeypatch.setattr(search_index, "BATCH_POSTINGS", least)
+    rows = pa.table({
+        "key": ["k2", "k0", "k1"], "block": pa.array([7, 7, 7], pa.int32()), "slot": pa.array([2, 0, 1], pa.int32()),
+        "spaced": ["b a b", "a", ""], "f_x": [None, "p", "q"],
+    })
+    found = search_index._postings(["f_x"])(pa.concat_tables([rows[:1], rows[1:]]))
+    entry = lambda *v: dict(zip(("slot", "key", "tf", "len", "f_x"), v))
+    names = ("term", "block", "n", "max_tf", "min_len", "postings")
+    assert sorted(found.to_pylist(), key=lambda r: r["term"] or "~") == [dict(zip(names, r)) for r in (
+        ("a", 7, 2, 1, 1, [entry(0, "k0", 1, 1, "p"), entry(2, "k2", 1, 3, None)]),
+        ("b", 7, 1, 2, 3, [entry(2, "k2", 2, 3, None)]),
+        (None, 7, 3, 0, 0, [entry(0, "k0", 0, 1, "p"), entry(1, "k1", 0, 0, "q"), entry(2, "k2", 0, 3, None)]),
+    )]
+    none = search_index._postings([])(rows.slice(2).set_column(3, "spaced", pa.array([""])).set_column(2, "slot", pa.array([0], pa.int32())))
+    assert [(r["term"], r["n"], len(r["postings"])) for r in none.to_pylist()] == [(None, 1, 1)]
+
+
+def test_a_day_splits_its_texts_once_and_bounds_a_block_by_bytes(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "index")
+    monkeypatch.setattr(search_index, "BLOCK_BYTES", 1000)
+    spaced = search_index._spaced
+    calls = []
+    monkeypatch.setattr(search_index, "_spaced", lambda text: calls.append(1) or spaced(text))
+    rows = [(i, "a", "p", f"Wörter, {i % 3} und " + "mehr " * 20) for i in range(60)]
+    search_index.write_day(spark.createDataFrame(rows, SCHEMA), F.col("text"), root, "2026-05-01", key="id", facets=FACETS)
+    assert len(calls) == 1
+    stored = spark.read.parquet(f"{root}/rows")
+    assert (stored.count(), stored.agg(F.sum("len")).first()[0]) == (60, 60 * 23)
+    assert stored.select("block").distinct().count() > 3
+    assert search_index.search(spark, root, "wörter 2", facets=["kind"], page=None).count() == 20

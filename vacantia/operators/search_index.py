@@ -4,14 +4,15 @@ Below a root, each day publishes (see `sinks.publish`, all visible together):
 
 * ``postings``: one row per term and block of rows, with ``n``, the greatest ``tf`` and the
   least length in it, and the rows themselves (number, key, tf, length, facet values),
-  by bucket of the term's hash and sorted by term;
+  by bucket of the term's hash and sorted by term; bucket ``ALL`` lists, under no term, all
+  rows of each block;
 * ``terms``: document frequency of each term, in the same buckets;
 * ``rows``: key, length, number and facet values of each row;
 * ``bitmaps``: for each facet value and block the rows that have it;
 * ``totals``: number of rows and of words.
 
-A block is about ``BLOCK_ROWS`` rows, dealt by the hash of the key, so no list grows with the
-table. A search reads the buckets of its words. It scores the blocks of the highest bounds
+A block is about ``BLOCK_ROWS`` rows or ``BLOCK_BYTES`` of text, whichever is less, dealt by the
+hash of the key, so no list and no task's memory grows with the table. A search reads the buckets of its words. It scores the blocks of the highest bounds
 first, takes the score of the last row wanted as a threshold, and reads of the other blocks
 only those whose bound reaches it.
 
@@ -20,8 +21,12 @@ indexed. Days hold different keys.
 """
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vacantia import fixed_values as V
 from vacantia.functions.once import evaluate_once
@@ -31,7 +36,11 @@ from vacantia.sinks import publish
 from vacantia.sinks.publish import Publication
 
 BUCKETS = 64
+ALL = -1
 BLOCK_ROWS = 1 << 14  # on average; a bitmap holds twice as many
+BLOCK_BYTES = 1 << 24  # on average, too
+MOST_SLOTS = 1 << 15
+BATCH_POSTINGS = 1 << 18
 TASK_BLOCKS = 4
 FIRST_BLOCKS = 4
 K1, B = 1.2, 0.75
@@ -57,24 +66,51 @@ def _numbered(rows: DataFrame, blocks: int, tasks: int, once: bool) -> DataFrame
     # Numbered inside the block: a window of bounded size.
     placed = placed.withColumn("slot", F.expr("row_number() OVER (PARTITION BY block ORDER BY key) - 1"))
     full = F.raise_error(F.lit("a block holds more rows than a bitmap")).cast("int")
-    return placed.withColumn("slot", F.when(F.col("slot") < (1 << 15), F.col("slot")).otherwise(full)).drop("bytes", "hash")
-
-
-def _term_counts(rows: DataFrame, kept: list[str]) -> DataFrame:
-    """``kept``, ``term`` and ``tf`` of every different word of a row, counted inside the row."""
-    # Sorted words lie in runs; a run ends where the next word differs.
-    rows = evaluate_once(rows.filter("len > 0"), sorted=F.sort_array("words")).drop("words")
-    ends = F.filter(
-        F.sequence(F.lit(1), F.size("sorted")), lambda i: F.coalesce(F.get("sorted", i) != F.get("sorted", i - 1), F.lit(True))
-    )
-    rows = evaluate_once(rows, ends=ends)
-    counts = F.transform(
-        "ends",
-        lambda end, i: F.struct(
-            F.get("sorted", end - 1).alias("term"), (end - F.coalesce(F.get("ends", i - 1), F.lit(0))).alias("tf")
-        ),
-    )
-    return rows.select(*kept, F.inline(counts))
+    return placed.withColumn("slot", F.when(F.col("slot") < MOST_SLOTS, F.col("slot")).otherwise(full)).drop("bytes", "hash")
+
+
+def _spaced(text: Column) -> Column:
+    """The lower-cased words, with one space between two of them."""
+    return F.trim(F.regexp_replace(F.lower(text), WORD_SEPARATOR, " "))
+
+
+def _postings(kept: list[str]) -> Callable[[pa.Table], pa.Table]:
+    """Of the rows of a block, one row per term with its postings by slot, and one, without a term, of all rows."""
+    def collect(rows: pa.Table) -> pa.Table:
+        spaced, rows = rows.column("spaced").cast(pa.large_string()), rows.drop_columns(["spaced"])
+        order = np.argsort(rows.column("slot").to_numpy())
+        spaced, rows = spaced.combine_chunks().take(order), rows.take(order).combine_chunks()
+        split = pc.split_pattern(pc.if_else(pc.equal(spaced, ""), None, spaced), " ")
+        words = split.flatten().dictionary_encode()
+        length = np.diff(split.offsets.to_numpy()).astype(np.int32)
+        # A word and its row as one number: sorted, the places of a word in a row lie together.
+        placed = words.indices.to_numpy().astype(np.int64) * MOST_SLOTS + np.repeat(np.arange(len(length)), length)
+        placed.sort()
+        first = np.flatnonzero(np.diff(placed, prepend=-1))
+        tf = np.diff(first, append=len(placed)).astype(np.int32)
+        term, row = np.divmod(placed[first], MOST_SLOTS)
+        start = np.flatnonzero(np.diff(term, prepend=-1))
+        # The rows themselves follow the last term.
+        start, row, tf = np.r_[start, len(row)], np.r_[row, np.arange(len(length))], np.r_[tf, np.zeros_like(length)]
+        terms = pa.concat_arrays([words.dictionary.cast(pa.string()), pa.nulls(1, pa.string())])
+        n, max_tf, min_len = np.diff(start, append=len(row)), np.maximum.reduceat(tf, start), np.minimum.reduceat(length[row], start)
+        # In batches: what rows hold is repeated in their postings.
+        cut = np.unique(np.r_[np.searchsorted(start, np.arange(0, len(row), BATCH_POSTINGS)), len(start)])
+        batches = []
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            some = slice(start[a], start[a] + n[a:b].sum())
+            own = rows.take(row[some]).combine_chunks()
+            entries = {c: own.column(c).combine_chunks() for c in ("slot", "key", *kept)}
+            entries = {"slot": entries.pop("slot"), "key": entries.pop("key"), "tf": pa.array(tf[some]), "len": pa.array(length[row[some]]), **entries}
+            postings = pa.StructArray.from_arrays(list(entries.values()), names=list(entries))
+            batches.append(pa.record_batch({
+                "term": terms[a:b], "block": rows.column("block").combine_chunks().take(np.zeros(b - a, np.int64)),
+                "n": n[a:b], "max_tf": max_tf[a:b], "min_len": min_len[a:b],
+                "postings": pa.ListArray.from_arrays((np.r_[start[a:b], some.stop] - some.start).astype(np.int32), postings),
+            }))
+        return pa.Table.from_batches(batches)
+
+    return collect
 
 
 def write_day(
@@ -82,34 +118,39 @@ def write_day(
 ) -> None:
     """Index the rows of one day; a repeated day replaces its own index.
 
-    The texts move once, to the task of their block (twice where keys repeat); words are
-    counted and postings collected there, so no posting is shuffled.
+    The texts move once, as words, to the task of their block (twice where keys repeat); words
+    are counted and postings collected there, block by block, so no posting is shuffled.
     """
     spark = df.sparkSession
     names = [_facet(f) for f in facets]
     body = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(F.lower("text"), WORD_SEPARATOR), lambda w: w != "")
     rows = df.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), body.alias("text"), *[F.col(c).cast("string").alias(_facet(f)) for f, c in facets.items()]
     ).withColumns({"bytes": F.octet_length("text"), "hash": F.xxhash64("text", *names)})
     run = Publication(spark, root, day, "day")
-    keyed = df.filter(F.col(key).isNotNull()).count()
-    blocks = max(1, -(-keyed // block_rows))
+    keyed, different, size = rows.agg(F.count("*"), F.count_distinct("key"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    blocks = max(1, -(-keyed // block_rows), -(-size // BLOCK_BYTES))
     # Each task writes a file per bucket: beyond the session's parallelism a task takes several blocks.
     tasks = min(blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks // TASK_BLOCKS))
-    slim = rows.select("key", F.size(words).alias("len"), *names, "bytes", "hash")
-    stored = spark.read.parquet(run.write("rows", _numbered(slim, blocks, tasks, False)))
-    totals = spark.read.parquet(run.write("totals", stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("len"), F.lit(0)).alias("words"))))
-    once = totals.first()["n"] == keyed
-    split = evaluate_once(_numbered(rows, blocks, tasks, once), words=words).withColumn("len", F.size("words")).drop("text")
-    counted = _term_counts(split, ["key", "block", "slot", "len", *names]).withColumn("bucket", _bucket(F.col("term")))
-    postings = counted.groupBy("term", "block", "bucket").agg(
-        F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"),
-        F.sort_array(F.collect_list(F.struct("slot", "key", "tf", "len", *names))).alias("postings"),
-    )
+    words = _numbered(evaluate_once(rows, spaced=_spaced(F.col("text"))).drop("text"), blocks, tasks, different == keyed)
+    posting = T.StructType([
+        T.StructField("slot", T.IntegerType()), words.schema["key"], T.StructField("tf", T.IntegerType()),
+        T.StructField("len", T.IntegerType()), *[words.schema[c] for c in names],
+    ])
+    schema = T.StructType([
+        T.StructField("term", T.StringType()), T.StructField("block", T.IntegerType()), T.StructField("n", T.LongType()),
+        T.StructField("max_tf", T.IntegerType()), T.StructField("min_len", T.IntegerType()), T.StructField("postings", T.ArrayType(posting)),
+    ])
+    collected = words.groupBy("block").applyInArrow(_postings(names), schema)
+    bucket = F.when(F.col("term").isNull(), ALL).otherwise(_bucket(F.col("term")))
+    postings = collected.select("term", "block", bucket.alias("bucket"), "n", "max_tf", "min_len", "postings")
     path = run.folder("postings")
     postings.sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(path)
-    frequencies = spark.read.schema(postings.schema).parquet(path).groupBy("bucket", "term").agg(F.sum("n").alias("n"))
+    written = spark.read.schema(postings.schema).parquet(path)
+    listed = written.filter(F.col("bucket") == ALL).select("block", F.inline("postings"))
+    stored = spark.read.parquet(run.write("rows", listed.select("key", "len", *names, "block", "slot")))
+    run.write("totals", stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("len"), F.lit(0)).alias("words")))
+    frequencies = written.filter(F.col("bucket") != ALL).groupBy("bucket", "term").agg(F.sum("n").alias("n"))
     frequencies.repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(
         run.folder("terms"))
     entries = F.array(*[F.struct(F.lit(f).alias("facet"), F.col(_facet(f)).alias("value")) for f in facets])
