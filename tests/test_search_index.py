@@ -112,3 +112,11 @@ def test_a_day_splits_its_texts_once_and_bounds_a_block_by_bytes(spark, tmp_path
     assert (stored.count(), stored.agg(F.sum("len")).first()[0]) == (60, 60 * 23)
     assert stored.select("block").distinct().count() > 3
     assert search_index.search(spark, root, "wörter 2", facets=["kind"], page=None).count() == 20
+
+
+def test_columns_that_are_never_null(spark, tmp_path):
+    root = str(tmp_path / "index")
+    rows = spark.range(30).select("id", F.lit("a").alias("kind"), F.concat(F.lit("data "), F.col("id")).alias("text"))
+    search_index.write_day(rows, F.col("text"), root, "2026-05-01", key="id", facets={"kind": "kind"}, block_rows=8)
+    assert [r["key"] for r in search_index.search(spark, root, "data 7", facets=["kind"]).collect()] == [7]
+    assert list(map(tuple, search_index.facet_counts(spark, root).collect())) == [("kind", "a", 30)]

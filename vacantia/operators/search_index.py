@@ -133,9 +133,10 @@ def write_day(
     # Each task writes a file per bucket: beyond the session's parallelism a task takes several blocks.
     tasks = min(blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks // TASK_BLOCKS))
     words = _numbered(evaluate_once(rows, spaced=_spaced(F.col("text"))).drop("text"), blocks, tasks, different == keyed)
+    # Columns that are never null come back from a task as any other.
     posting = T.StructType([
-        T.StructField("slot", T.IntegerType()), words.schema["key"], T.StructField("tf", T.IntegerType()),
-        T.StructField("len", T.IntegerType()), *[words.schema[c] for c in names],
+        T.StructField("slot", T.IntegerType()), T.StructField("key", words.schema["key"].dataType), T.StructField("tf", T.IntegerType()),
+        T.StructField("len", T.IntegerType()), *[T.StructField(c, T.StringType()) for c in names],
     ])
     schema = T.StructType([
         T.StructField("term", T.StringType()), T.StructField("block", T.IntegerType()), T.StructField("n", T.LongType()),
